@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
 EPOCH = dt.date(1970, 1, 1)
@@ -54,3 +55,11 @@ def period_days(period: str | int | None) -> int:
 
 def period_start(watermark: dt.date, period: str | int | None) -> dt.date:
     return watermark - dt.timedelta(days=period_days(period))
+
+
+def literal_for(df: DataFrame, column: str, value: dt.date | dt.datetime) -> Column:
+    """The value as a literal a scan can compare with the column: a wall-clock column must not
+    meet an instant, or Spark converts the column and the filter stays above the scan."""
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return F.lit(value.isoformat()).cast("timestamp_ntz")
+    return F.lit(value)

@@ -13,12 +13,17 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def _to_space(c: Column, character: str) -> Column:
+    # A byte search; F.translate looks every character up in a map and is ~10x slower on long text.
+    return F.replace(c, F.lit(character), F.lit(" "))
+
+
 def newlines_to_space(c: Column) -> Column:
-    return F.translate(c, "\n\r", "  ")
+    return _to_space(_to_space(c, "\n"), "\r")
 
 
 def commas_to_space(c: Column) -> Column:
-    return F.translate(c, ",", " ")
+    return _to_space(c, ",")
 
 
 def na_to_null(c: Column) -> Column:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from catalog_sync.functions import literal_for
+
 ORDINAL = "_ordinal"
 
 
@@ -55,7 +57,7 @@ def fresh_latest(
     df: DataFrame,
     keys: Sequence[str],
     fetched_at: str,
-    as_of: dt.datetime | Column | None = None,
+    as_of: dt.datetime | None = None,
     ttl_seconds: int | None = None,
     tie_break: Sequence[Column] = (),
 ) -> DataFrame:
@@ -65,9 +67,8 @@ def fresh_latest(
     the scan skip the stale ones.
     """
     if ttl_seconds is not None:
-        moment = as_of if isinstance(as_of, Column) else F.lit(as_of)
-        oldest = moment - F.make_dt_interval(secs=F.lit(ttl_seconds))
-        df = df.filter(F.col(fetched_at) > oldest)
+        oldest = as_of - dt.timedelta(seconds=ttl_seconds)
+        df = df.filter(F.col(fetched_at) > literal_for(df, fetched_at, oldest))
     return first_wins(df, keys, [F.col(fetched_at).desc_nulls_last(), *tie_break])
 
 

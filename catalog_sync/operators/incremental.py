@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalog_sync.functions import genre_line, listing_line, or_default
+from catalog_sync.functions import genre_line, listing_line, literal_for, or_default
 from catalog_sync.operators.dedup import top_n
 from catalog_sync.operators.shape import usable_id
 from catalog_sync.schemas import LATEST_INITIAL_YEAR, MAX_PAGES_PER_YEAR, NO_DATE
@@ -19,7 +19,7 @@ def watermark_frame(df: DataFrame, column: str, ceiling: dt.date | None = None)
     """Highest non-null value as a one-row frame; a ceiling ignores anything beyond it."""
     rows = df.filter(F.col(column).isNotNull())
     if ceiling is not None:
-        rows = rows.filter(F.col(column) <= F.lit(ceiling))
+        rows = rows.filter(F.col(column) <= literal_for(df, column, ceiling))
     return rows.agg(F.max(column).alias("watermark"))
 
 
@@ -42,16 +42,16 @@ def earliest_year(df: DataFrame, column: str) -> DataFrame:
 
 
 def since(df: DataFrame, column: str, start: dt.date) -> DataFrame:
-    return df.filter(F.col(column) >= F.lit(start))
+    return df.filter(F.col(column) >= literal_for(df, column, start))
 
 
 def in_years(df: DataFrame, column: str, first: int | None, last: int | None) -> DataFrame:
     """Inclusive year range written as a date range, which a file scan can evaluate."""
     df = df.filter(F.col(column).isNotNull())
     if first is not None:
-        df = df.filter(F.col(column) >= F.lit(dt.date(first, 1, 1)))
+        df = df.filter(F.col(column) >= literal_for(df, column, dt.date(first, 1, 1)))
     if last is not None:
-        df = df.filter(F.col(column) < F.lit(dt.date(last + 1, 1, 1)))
+        df = df.filter(F.col(column) < literal_for(df, column, dt.date(last + 1, 1, 1)))
     return df
 
 
@@ -66,9 +66,9 @@ def above_id(df: DataFrame, column: str, since_id: int | None) -> DataFrame:
     return df.filter(F.col(column) > since_id) if since_id else df
 
 
-def recent(df: DataFrame, column: str, as_of: dt.datetime | Column, hours: int = 1) -> DataFrame:
-    moment = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return df.filter(F.col(column) > moment - F.make_dt_interval(hours=F.lit(hours)))
+def recent(df: DataFrame, column: str, as_of: dt.datetime, hours: int = 1) -> DataFrame:
+    oldest = as_of - dt.timedelta(hours=hours)
+    return df.filter(F.col(column) > literal_for(df, column, oldest))
 
 
 def sorted_ids(df: DataFrame, column: str) -> DataFrame:
@@ -93,10 +93,12 @@ def stalest_page(
     return df.orderBy(F.col(updated_at).asc_nulls_first(), F.col(id_)).offset(offset).limit(limit)
 
 
-def page_results(pages: DataFrame, max_pages: int) -> DataFrame:
-    """Rows of the result pages, up to the page cap."""
+def page_results(
+    pages: DataFrame, max_pages: int, request: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of the result pages, up to the page cap; ``request`` columns say what was asked."""
     wanted = pages.filter(F.col("page") <= F.least(F.col("total_pages"), F.lit(max_pages)))
-    return wanted.select("page", F.inline("results"))
+    return wanted.select(*request, "page", F.inline("results"))
 
 
 def discover_ids(

@@ -28,6 +28,11 @@ from catalog_sync.schemas import (
 )
 
 
+CAST_ARRAY = "array<struct<id:bigint,name:string,character:string,order:bigint>>"
+CREW_ARRAY = "array<struct<id:bigint,name:string,job:string,department:string>>"
+GENRE_ARRAY = "array<struct<name:string>>"
+
+
 def usable_id(c: Column) -> Column:
     """An id counts as missing when it is NULL or 0."""
     return c.isNotNull() & (c != 0)
@@ -47,10 +52,13 @@ def first_match(array: Column, predicate: Callable[[Column], Column]) -> Column:
     return F.get(F.filter(array, predicate), F.lit(0))
 
 
-def distinct_by(array: Column, field: Callable[[Column], Column]) -> Column:
-    """Keep the first element of each field value."""
-    values = F.transform(array, field)
-    return F.filter(array, lambda x, i: F.array_position(values, field(x)) == i + 1)
+def distinct_by(array: Column, field: str, like: str) -> Column:
+    """Keep the first element of each field value; ``like`` is the array's SQL type."""
+    def keep_new(kept: Column, x: Column) -> Column:
+        seen = F.exists(kept, lambda k: k[field] == x[field])
+        return F.when(seen, kept).otherwise(F.concat(kept, F.array(x)))
+
+    return F.reduce(array, F.array().cast(like), keep_new)
 
 
 def explode_children(
@@ -70,24 +78,21 @@ def explode_children(
 
 
 def genre_names(genres: Column) -> Column:
-    names = F.transform(or_empty(genres, "array<struct<name:string>>"), lambda g: g["name"])
+    names = F.transform(or_empty(genres, GENRE_ARRAY), lambda g: g["name"])
     return F.array_distinct(F.filter(names, lambda n: n.isNotNull()))
 
 
 def genre_string(genres: Column) -> Column:
     """Names in document order, comma separated; a document without genres says so."""
-    names = F.transform(or_empty(genres, "array<struct<name:string>>"), lambda g: g["name"])
+    names = F.transform(or_empty(genres, GENRE_ARRAY), lambda g: g["name"])
     return F.when(F.size(names) == 0, NO_GENRES).otherwise(F.array_join(names, ", "))
 
 
 def cast_credits(cast: Column, legacy_labels: bool = False) -> Column:
     """First eight cast members as credit structs. The cut comes before the id check, so an
     entry without id uses up its place."""
-    top = first_by_position(
-        or_empty(cast, "array<struct<id:bigint,name:string,character:string,order:bigint>>"),
-        MAX_CAST,
-    )
-    kept = distinct_by(F.filter(top, lambda p: usable_id(p["id"])), lambda p: p["id"])
+    top = first_by_position(or_empty(cast, CAST_ARRAY), MAX_CAST)
+    kept = distinct_by(F.filter(top, lambda p: usable_id(p["id"])), "id", CAST_ARRAY)
     label = (lambda v: F.lit(None).cast("string")) if legacy_labels else F.lit
     return F.transform(
         kept,
@@ -105,10 +110,7 @@ def cast_credits(cast: Column, legacy_labels: bool = False) -> Column:
 def crew_credits(crew: Column) -> Column:
     """The first director as an array of at most one credit struct. A first director without id
     is not replaced by the second."""
-    lead = first_match(
-        or_empty(crew, "array<struct<id:bigint,name:string,job:string,department:string>>"),
-        lambda p: p["job"] == LEAD_JOB,
-    )
+    lead = first_match(or_empty(crew, CREW_ARRAY), lambda p: p["job"] == LEAD_JOB)
     credit = F.struct(
         lead["id"].alias("person_id"),
         F.lit("crew").alias("credit_type"),

@@ -8,7 +8,7 @@ documents, and returns ``Changes``: which tables to replace and which rows to ap
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,9 +90,11 @@ class Landing:
 
 @dataclass(frozen=True)
 class Changes:
+    """``errors`` plans the error log when it is asked for."""
+
     replace: dict[str, DataFrame] = field(default_factory=dict)
     append: dict[str, DataFrame] = field(default_factory=dict)
-    errors: DataFrame | None = None
+    errors: Callable[[], DataFrame] | None = None
 
 
 def publish(store: SnapshotStore, changes: Changes, **stream) -> Published:
@@ -143,23 +145,29 @@ def initial_build(
     if landing.persons is not None:
         tables["people"] = needed_people(credits, landing.persons)
 
+    return Changes(tables, errors=lambda: _build_errors(landing, requested, checked, credits))
+
+
+def _build_errors(
+    landing: Landing, requested: DataFrame | None, checked: DataFrame, credits: DataFrame
+) -> DataFrame:
+    valid = checked.filter(F.col(FAILED_RULE).isNull())
+    invalid = checked.filter(F.col(FAILED_RULE).isNotNull())
     actors = credits.filter(F.col("credit_type") == "cast")
+    on = {"id": "movie_id"}
     log = [
         fetch_errors(landing.details, "id", "details"),
         fetch_errors(landing.credits, "movie_id", "credits"),
-        error_rows(
-            checked.filter(F.col(FAILED_RULE).isNotNull()),
-            "validation_error", "validate", "id", F.col(FAILED_RULE),
-        ),
-        error_rows(childless(valid, credits, {"id": "movie_id"}), "no_credits", "shape", "id"),
-        error_rows(childless(valid, actors, {"id": "movie_id"}), "no_actors", "shape", "id"),
+        error_rows(invalid, "validation_error", "validate", "id", F.col(FAILED_RULE)),
+        error_rows(childless(valid, credits, on), "no_credits", "shape", "id"),
+        error_rows(childless(valid, actors, on), "no_actors", "shape", "id"),
     ]
     if landing.persons is not None:
         log.append(fetch_errors(landing.persons, "id", "persons"))
     if requested is not None:
         missing = keep_unknown(requested, checked, ["id"], unique=True)
         log.append(error_rows(missing, "not_found", "details", "id"))
-    return Changes(replace=tables, errors=union_rows(*log))
+    return union_rows(*log)
 
 
 # --- CSV load -----------------------------------------------------------------------
@@ -379,7 +387,8 @@ def sync(
 def sync_documents(tables: Tables, landing: Landing, as_of: dt.datetime) -> Changes:
     """Upsert of the documents at hand over all four tables: known movies are refreshed (given a
     credits document), others inserted. Without anything to refresh this only appends."""
-    docs = stage(_documents(landing, "left"), "documents")
+    arrived = sized(key_set(landing.details, ["id"]))
+    docs = stage(_documents(landing, "left", arrived), "documents")
     movie_ids = tables["movies"].select("id")
     with_credits = docs.filter(F.col("_credits").isNotNull())
     changed = stage(keep_known(with_credits, movie_ids, ["id"], unique=True), "changed")

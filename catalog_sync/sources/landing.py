@@ -35,5 +35,9 @@ def parse_documents(lines: DataFrame, column: str, kind: str) -> DataFrame:
     return lines.select(parsed.alias("_doc")).select("_doc.*")
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.json(path)
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Timestamps keep their microseconds (Spark writes milliseconds by default)."""
+    df.write.mode(mode).options(
+        timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    ).json(path)
