@@ -31,4 +31,5 @@ def round_4dp(d: Column) -> Column:
 
 
 def format_4dp(d: Column) -> Column:
-    return F.format_string("%.4f", round_4dp(d))
+    # format_string prints a NULL as 'null'.
+    return F.when(d.isNotNull(), F.format_string("%.4f", round_4dp(d)))

@@ -73,6 +73,7 @@ def loader_text(c: Column, newlines: bool = False, drop_commas: bool = False) ->
 
 
 def listing_line(ordinal: Column, title: Column, date: Column, id_: Column) -> Column:
+    """Display line of a search result; a missing title shows as ``null``."""
     return F.format_string("%d. %s (%s) - ID: %d", ordinal, title, date, id_)
 
 

@@ -62,6 +62,7 @@ from catalog_sync.operators.upsert import (
 from catalog_sync.schemas import (
     CSV_COLUMNS,
     KEYS,
+    REQUIRED_FIELDS,
     TABLES,
     UPDATABLE_MOVIE_COLUMNS,
     table_ddl,
@@ -207,13 +208,14 @@ def load_csv(
 
 def _documents(landing: Landing, how: str, ids: DataFrame | None = None) -> DataFrame:
     """One row per movie document: table columns, genre names, and the credits that are kept
-    (NULL when there is no credits document and ``how`` is left). Wanted ids filter both sides
+    (NULL when there is no credits document and ``how`` is left). A document lacking a required
+    field counts as none. Wanted ids filter both sides
     before anything is shuffled."""
     details, credits = landing.details, landing.credits
     if ids is not None:
         details = keep_known(details, ids, ["id"], unique=True)
         credits = keep_known(credits, ids, {"movie_id": "id"}, unique=True)
-    details = latest_documents(details, "id").select(
+    details = latest_documents(details, "id").dropna(subset=REQUIRED_FIELDS).select(
         *typed_movie_columns(), genre_names(F.col("genres")).alias("_genres")
     )
     credits = latest_documents(credits, "movie_id").select(

@@ -12,9 +12,9 @@ from catalog_sync.plans.registry import query, table
 from catalog_sync.scratch import scratch_dir
 from catalog_sync.sources.csv_files import read_text_cells, write_text_cells
 from catalog_sync.sources.definitions import create_statement, run_script
-from catalog_sync.sources.landing import read_json, write_json
+from catalog_sync.sources.landing import read_json, read_json_stream, write_json
 from catalog_sync.sources.snapshots import SnapshotStore
-from catalog_sync.streaming.sync import read_stream, stream_upsert
+from catalog_sync.streaming.sync import stream_upsert
 
 
 @query("csv_round_trip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -93,7 +93,7 @@ def sync_stream(spark, d):
     # The newer half lands first, so the second run must not overwrite newer rows.
     for drop in (F.col("ts") >= middle, F.col("ts") < middle):
         write_json(events.filter(drop), f"{root}/landing", mode="append")
-        arriving = read_stream(spark, f"{root}/landing", schema)
+        arriving = read_json_stream(spark, f"{root}/landing", schema)
         run = stream_upsert(
             arriving, store, "events", ["user_id"], "ts", f"{root}/checkpoint", ["event_id"]
         )

@@ -20,8 +20,31 @@ def json_options() -> dict[str, str]:
     return {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
+def _documents(lines: DataFrame, column: str, schema: str) -> DataFrame:
+    text = F.col(column)
+    parsed = F.from_json(text, schema, json_options())
+    return lines.filter(F.trim(text) != "").select(parsed.alias("_doc")).select("_doc.*")
+
+
 def read_json(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    return spark.read.schema(schema).options(**json_options()).json(path)
+    """JSON lines. When the schema has the corrupt-record column every line is parsed in full:
+    Spark's JSON source only parses the fields a query uses, and then a line counts as corrupt or
+    not depending on the query."""
+    if CORRUPT in schema:
+        return _documents(spark.read.text(path), "value", schema)
+    return spark.read.schema(schema).json(path)
+
+
+def read_json_stream(
+    spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """The same for files as they arrive."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if CORRUPT in schema:
+        return _documents(reader.text(path), "value", schema)
+    return reader.schema(schema).json(path)
 
 
 def read_documents(spark: SparkSession, root: str, kind: str) -> DataFrame:
@@ -31,8 +54,7 @@ def read_documents(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 def parse_documents(lines: DataFrame, column: str, kind: str) -> DataFrame:
     """Documents held as JSON text in a column."""
-    parsed = F.from_json(column, DOCUMENTS[kind], json_options())
-    return lines.select(parsed.alias("_doc")).select("_doc.*")
+    return _documents(lines, column, DOCUMENTS[kind])
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

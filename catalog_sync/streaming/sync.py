@@ -19,19 +19,10 @@ from catalog_sync.operators.joins import keep_known
 from catalog_sync.operators.upsert import upsert
 from catalog_sync.plans.jobs import Landing, current_tables, publish, sync_documents
 from catalog_sync.scratch import stage
-from catalog_sync.sources.landing import DOCUMENTS, json_options, read_documents
+from catalog_sync.sources.landing import DOCUMENTS, read_documents, read_json_stream
 from catalog_sync.sources.snapshots import SnapshotStore
 
 
-def read_stream(
-    spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None
-) -> DataFrame:
-    reader = spark.readStream.schema(schema).options(**json_options())
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
-
-
 def _start(
     rows: DataFrame,
     store: SnapshotStore,
@@ -88,7 +79,7 @@ def stream_catalog(
 ) -> StreamingQuery:
     """Sync the four catalog tables from movie documents as they land. The credits and person
     documents of a batch's movies are looked up in the landing zone at that moment."""
-    details = read_stream(spark, f"{landing_root.rstrip('/')}/details", DOCUMENTS["details"])
+    details = read_json_stream(spark, f"{landing_root.rstrip('/')}/details", DOCUMENTS["details"])
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         arrived = stage(batch, "details-batch")
