@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,28 +24,51 @@ def _rank(partition: Sequence[str | Column], order: Sequence[Column]) -> Column:
     return F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
 
 
+def _keep(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str) -> DataFrame:
+    return df.withColumn(rank, _rank(keys, order)).filter(F.col(rank) <= n)
+
+
+def _split_counts(partitions: int) -> list[int]:
+    """Into how many splits a key is cut, round by round, until one task can take the rest."""
+    counts = [partitions]
+    while counts[-1] > 64:
+        counts.append(isqrt(counts[-1]))
+    return counts
+
+
 def top_n(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    rank: str | None = None,
+    row_id: Sequence[str] = (),
 ) -> DataFrame:
     """First ``n`` rows per key.
 
     Up to Spark's group-limit threshold each map task already keeps at most ``n`` rows per key, so
     a hot key costs nothing in the shuffle. Beyond the threshold Spark would gather a whole key
-    in one task; there the key is first split by a hash of its rows, cut to ``n`` per split, and
-    only the survivors meet.
+    in one task; there a key is split by a hash of its rows, cut to ``n`` per split, the survivors
+    split less finely and cut again, and only the last few meet. ``row_id`` names columns that
+    tell rows apart and is all that is hashed. Without it copies of one row would hash alike, so
+    they are counted first and unfolded to at most ``n``.
     """
     name = rank or "_rank"
     spark = df.sparkSession
     threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > threshold:
-        splits = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salted = df.withColumn("_split", F.pmod(F.xxhash64(*df.columns), F.lit(splits)))
-        df = (
-            salted.withColumn(name, _rank([*keys, "_split"], order))
-            .filter(F.col(name) <= n)
-            .drop("_split", name)
-        )
-    out = df.withColumn(name, _rank(keys, order)).filter(F.col(name) <= n)
+        columns = df.columns
+        salt = [F.col(c) for c in row_id or columns]
+        if not row_id:
+            counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+            copies = F.sequence(F.lit(1), F.least("_copies", F.lit(n)))
+            df = counted.select(*columns, F.explode(copies).alias("_copy"))
+            salt.append(F.col("_copy"))
+        for splits in _split_counts(int(spark.conf.get("spark.sql.shuffle.partitions"))):
+            split = df.withColumn("_split", F.pmod(F.xxhash64(*salt), F.lit(splits)))
+            df = _keep(split, [*keys, "_split"], order, n, name).drop("_split", name)
+        df = df.select(*columns)
+    out = _keep(df, keys, order, n, name)
     return out if rank else out.drop(name)
 
 

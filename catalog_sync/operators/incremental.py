@@ -89,7 +89,8 @@ def newest_first(
 def stalest_page(
     df: DataFrame, updated_at: str, id_: str, limit: int, offset: int = 0
 ) -> DataFrame:
-    """A page of the refresh queue: never updated first, then the oldest update."""
+    """A page of the refresh queue: never updated first, then the oldest update. A view for the
+    front of the queue (offset + limit rows are ranked); a refresh does not page."""
     return df.orderBy(F.col(updated_at).asc_nulls_first(), F.col(id_)).offset(offset).limit(limit)
 
 
@@ -114,11 +115,12 @@ def discover_ids(
     flags: Sequence[str] = ("adult", "video"),
 ) -> DataFrame:
     """Ids to process, ascending: the most popular rows of each year, from the earliest year on
-    (the lower bound is the data itself) or of one year. The high-water filter comes after the
-    cap, as it looks at pages already fetched."""
+    (the lower bound is the data itself) or of one year. The listing holds each id once. The
+    high-water filter comes after the cap, as it looks at pages already fetched."""
     order = sort or [F.col("popularity").desc_nulls_last(), F.col(id_)]
     df = in_years(exclude_flags(df, flags), date, year, year or latest_year)
-    ranked = top_n(df.withColumn("_year", F.year(date)), ["_year"], order, max_pages * page_size)
+    listed = df.withColumn("_year", F.year(date))
+    ranked = top_n(listed, ["_year"], order, max_pages * page_size, row_id=[id_])
     ids = above_id(ranked.filter(usable_id(F.col(id_))), id_, since_id)
     return sorted_ids(ids, id_)
 

@@ -279,7 +279,8 @@ def refresh(
 def add_documents(tables: Tables, landing: Landing, ids: DataFrame) -> Changes:
     """Insert the given ids the catalog lacks, with their children; credits are optional, a
     missing details document drops the id. Appends only."""
-    wanted = stage(exclude_existing(key_set(ids, ["id"]), tables["movies"], ["id"]), "new-ids")
+    candidates = stage(key_set(ids, ["id"]), "candidate-ids")
+    wanted = stage(exclude_existing(candidates, tables["movies"], ["id"]), "new-ids")
     docs = stage(_documents(landing, "left", sized(wanted)), "new-documents")
     append = _insert_rows(docs)
     if landing.persons is not None:
@@ -343,7 +344,8 @@ def search(tables: Tables, landing: Landing, query: str, page_size: int = 20) ->
         # Any version of a document may match, only the newest counts: narrow to ids with a
         # match, then decide on their newest version.
         matching = docs.filter(F.contains(F.lower("title"), F.lower(F.lit(query))))
-        docs = keep_known(docs, sized(key_set(matching, ["id"])), ["id"], unique=True)
+        ids = stage(key_set(matching, ["id"]), "matching-ids")
+        docs = keep_known(docs, sized(ids), ["id"], unique=True)
     latest = latest_documents(docs, "id").select(
         *typed_movie_columns(), "adult", genre_string(F.col("genres")).alias("genre_names"),
         F.col("release_date").alias("release_text"),

@@ -20,12 +20,15 @@ from catalog_sync.operators.upsert import (
 from catalog_sync.plans.queries.cleaning import NUMBER_SQL
 from catalog_sync.plans.registry import query, table
 
-AS_OF = F.lit("2024-06-01 12:00:00").cast("timestamp_ntz")
 _AS_OF_SQL = "TIMESTAMP '2024-06-01 12:00:00'"
 _KEY = ["o_orderkey"]
 _LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 
 
+def _stamp():
+    return "updated_at", F.lit("2024-06-01 12:00:00").cast("timestamp_ntz")
+
+
 def _orders(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
 
@@ -83,7 +86,7 @@ def price_update(spark, d):
     source = orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
         "o_orderkey", price.alias("o_totalprice")
     )
-    return update_by_key(target, source, _KEY, ["o_totalprice"], ("updated_at", AS_OF))
+    return update_by_key(target, source, _KEY, ["o_totalprice"], _stamp())
 
 
 @query(
@@ -152,7 +155,7 @@ def refreshed_orders(spark, d):
     orders = table(spark, d, "orders")
     target = orders.select("o_orderkey", "o_totalprice", F.col("o_orderdate").alias("updated_at"))
     source = orders.select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
-    return update_by_key(target, source, _KEY, ["o_totalprice"], ("updated_at", AS_OF))
+    return update_by_key(target, source, _KEY, ["o_totalprice"], _stamp())
 
 
 @query(

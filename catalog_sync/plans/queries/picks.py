@@ -70,7 +70,7 @@ def _top_per_year(spark, d, n: int):
         "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("order_year")
     )
     order = [F.col("o_totalprice").desc(), F.col("o_orderkey")]
-    return top_n(orders, ["order_year"], order, n)
+    return top_n(orders, ["order_year"], order, n, row_id=["o_orderkey"])
 
 
 @query("top_per_year", _top_per_year_sql(50))

@@ -28,9 +28,13 @@ _TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-_RULES = [
-    required("title"), required("release_date"), date_like("release_date"), number_like("budget")
-]
+
+
+def _rules():
+    return [
+        required("title"), required("release_date"), date_like("release_date"),
+        number_like("budget"),
+    ]
 
 
 def _texts(spark, d):
@@ -57,7 +61,7 @@ _FAILED_SQL = """CASE WHEN o_orderpriority = '1-URGENT' THEN 'missing_title'
 
 @query("validate_route", f"SELECT o_orderkey AS id, {_FAILED_SQL} AS failed_rule FROM orders")
 def routed_orders(spark, d):
-    valid, invalid = route(_texts(spark, d), _RULES)
+    valid, invalid = route(_texts(spark, d), _rules())
     return union_rows(invalid.select("id", FAILED_RULE), valid.select("id"))
 
 
@@ -65,7 +69,7 @@ def _errors(spark, d):
     """Error log over the orders: broken documents, orders without lines or returns, customers
     who were asked for and are not there."""
     orders, lines = table(spark, d, "orders"), table(spark, d, "lineitem")
-    checked = check(_texts(spark, d), _RULES).filter(F.col(FAILED_RULE).isNotNull())
+    checked = check(_texts(spark, d), _rules()).filter(F.col(FAILED_RULE).isNotNull())
     returns = lines.filter(F.col("l_returnflag") == "R")
     on = {"o_orderkey": "l_orderkey"}
     return union_rows(

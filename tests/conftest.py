@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

@@ -4,7 +4,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from catalog_sync.operators.dedup import first_wins, fresh_latest, top_n, union_ids, union_rows
+from catalog_sync.operators.dedup import (
+    _split_counts,
+    first_wins,
+    fresh_latest,
+    top_n,
+    union_ids,
+    union_rows,
+)
 from catalog_sync.operators.joins import (
     attach_first_children,
     exclude_existing,
@@ -15,14 +22,15 @@ from catalog_sync.operators.joins import (
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """A third of the rows share one key."""
+    """A third of the rows share one key, a third are copies of one row."""
     rng = random.Random(7)
-    data = [(0 if i % 3 == 0 else rng.randint(1, 40), rng.randint(0, 50), i) for i in range(3000)]
+    data = [(0, rng.randint(0, 50), i) for i in range(1000)] + [(1, 7, 7)] * 1000
+    data += [(rng.randint(1, 40), rng.randint(0, 50), i) for i in range(1000)]
     return data, spark.createDataFrame(data, "k bigint, v bigint, i bigint").repartition(8)
 
 
 @pytest.mark.parametrize("n", [1, 8, 700])
-@pytest.mark.parametrize("threshold", ["1000", "5"])
+@pytest.mark.parametrize("threshold", ["1000", "0"])
 def test_top_n_equals_brute_force(spark, skewed, rows, n, threshold):
     data, df = skewed
     groups = {}
@@ -39,6 +47,23 @@ def test_top_n_equals_brute_force(spark, skewed, rows, n, threshold):
     assert got == want
 
 
+def test_split_counts():
+    assert _split_counts(8) == [8] and _split_counts(20_000) == [20_000, 141, 11]
+
+
+def test_many_splits(spark, skewed, rows):
+    data, df = skewed
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "80")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "0")
+    try:
+        got = rows(top_n(df, ["k"], [F.col("v"), F.col("i")], 2))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert got == rows(top_n(df, ["k"], [F.col("v"), F.col("i")], 2))
+
+
 def test_top_n_rank(spark, rows):
     df = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2)], "k string, v int")
     assert rows(top_n(df, ["k"], [F.col("v")], 2, rank="n"), "k", "v", "n") == [

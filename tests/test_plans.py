@@ -50,7 +50,7 @@ def test_picks_are_cut_before_the_shuffle(lines):
 
 
 def test_deep_cut_splits_the_group_first(orders):
-    df = top_n(orders, ["o_orderstatus"], [F.col("o_orderkey")], 5000)
+    df = top_n(orders, ["o_orderstatus"], [F.col("o_orderkey")], 5000, row_id=["o_orderkey"])
     assert "_split" in re.search(r"Exchange hashpartitioning\([^)]*_split[^)]*\)", plan(df)).group()
     assert exchanges(df) == 2
 
