@@ -273,7 +273,29 @@ def refresh(
     replace = _update_rows(tables, docs, as_of)
     if with_people and landing.persons is not None:
         replace["people"] = _upsert_people(tables, _credits_of(docs), landing.persons)
-    return Changes(replace=replace)
+    return Changes(replace, errors=lambda: _refresh_errors(tables, landing, docs, wanted))
+
+
+def _refresh_errors(
+    tables: Tables, landing: Landing, docs: DataFrame, wanted: DataFrame | None
+) -> DataFrame:
+    """Catalog movies the source no longer has, those it has without credits, and requested ids
+    the catalog lacks."""
+    movies = tables["movies"].select("id")
+    log = []
+    if wanted is not None:
+        unknown = keep_unknown(wanted, movies, ["id"], unique=True)
+        log.append(error_rows(unknown, "not_found", "refresh", "id"))
+        movies = keep_known(movies, wanted, ["id"], unique=True)
+    stale = keep_unknown(movies, docs, ["id"], unique=True)
+    details = latest_documents(landing.details, "id").dropna(subset=REQUIRED_FIELDS)
+    removed = keep_unknown(stale, details, ["id"], unique=True)
+    bare = keep_known(stale, details, ["id"], unique=True)
+    return union_rows(
+        *log,
+        error_rows(removed, "removed_movies", "refresh", "id"),
+        error_rows(bare, "no_credits", "refresh", "id"),
+    )
 
 
 def add_documents(tables: Tables, landing: Landing, ids: DataFrame) -> Changes:

@@ -146,6 +146,14 @@ def test_refresh(landing, catalog, rows):
     assert people[101] == "person 101" and people[2] == "kept" and 500 not in people
 
 
+def test_refresh_errors(spark, landing, catalog, rows):
+    log = jobs.refresh(catalog, landing, AS_OF).errors()
+    assert rows(log, "category", "id") == [("no_credits", 2), ("removed_movies", 50)]
+    ids = spark.createDataFrame([(50,), (3,), (7,)], "id bigint")
+    log = jobs.refresh(catalog, landing, AS_OF, ids).errors()
+    assert rows(log, "category", "id") == [("not_found", 3), ("removed_movies", 50)]
+
+
 def test_refresh_is_idempotent(landing, catalog, rows):
     once = jobs.refresh(catalog, landing, AS_OF).replace
     twice = jobs.refresh(once, landing, AS_OF).replace
