@@ -74,8 +74,9 @@ def exclude_existing(
     source_keys = key_set(source, left)
     target_keys = _renamed_keys(target, on)
     if fits_broadcast(source_keys, max_rows):
+        # The hits are a subset of the counted keys, so they may be broadcast as well.
         present = target_keys.join(F.broadcast(source_keys), left, "left_semi").distinct()
-        return source.join(present, left, "left_anti")
+        return source.join(F.broadcast(present), left, "left_anti")
     return keep_unknown(source, target, on)
 
 

@@ -113,11 +113,13 @@ def order_error_summary(spark, d):
     "error_samples",
     f"""WITH {_ERRORS_SQL}, ids AS (SELECT DISTINCT category, id FROM errors),
        ranked AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY id) AS n FROM ids)
-       SELECT category, list(id ORDER BY id) AS sample_ids FROM ranked
+       SELECT category, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS sample_ids
+       FROM ranked
        WHERE n <= {ERROR_SAMPLE_SIZE} GROUP BY category""",
 )
 def order_error_samples(spark, d):
-    return error_samples(_errors(spark, d))
+    ids = F.array_join(F.col("sample_ids").cast("array<string>"), ",")
+    return error_samples(_errors(spark, d)).select("category", ids.alias("sample_ids"))
 
 
 @query("error_not_found", f"WITH {_ERRORS_SQL} SELECT DISTINCT id FROM errors "
