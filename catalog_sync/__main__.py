@@ -25,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     def command(name: str, help_: str, landing: bool = True) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=help_)
         sub.add_argument("--store", required=True, help="folder of the published tables")
+        sub.add_argument("--buckets", type=int, default=0, help="cluster movies and people by id")
         if landing:
             sub.add_argument("--landing", required=True, help="folder with details/credits/persons")
         return sub
@@ -72,7 +73,7 @@ def _requested(landing: Landing, year: int | None, since_id: int | None) -> Data
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"catalog_sync {args.command}").getOrCreate()
-    store = SnapshotStore(spark, args.store)
+    store = SnapshotStore(spark, args.store, args.buckets)
     landing = Landing.read(spark, args.landing) if "landing" in args else None
     now = dt.datetime.now()
     tables = jobs.current_tables(store)

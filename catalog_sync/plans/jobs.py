@@ -21,6 +21,7 @@ from catalog_sync.operators.incremental import (
     exclude_flags,
     listing,
     newest_first,
+    page_results,
     since,
     title_search,
     watermark,
@@ -52,6 +53,7 @@ from catalog_sync.operators.shape import (
     needed_people,
     typed_movie_columns,
     typed_movies,
+    usable_id,
 )
 from catalog_sync.operators.upsert import (
     ignoring_duplicates,
@@ -62,6 +64,7 @@ from catalog_sync.operators.upsert import (
 from catalog_sync.schemas import (
     CSV_COLUMNS,
     KEYS,
+    MAX_PAGES_SINCE_DATE,
     REQUIRED_FIELDS,
     TABLES,
     UPDATABLE_MOVIE_COLUMNS,
@@ -319,6 +322,12 @@ def release_listing(landing: Landing) -> DataFrame:
     )
 
 
+def release_pages(pages: DataFrame, max_pages: int = MAX_PAGES_SINCE_DATE) -> DataFrame:
+    """The same listing from fetched result pages, up to a page cap."""
+    rows = page_results(pages, max_pages).filter(usable_id(F.col("id")))
+    return rows.withColumn("release_date", parse_date(F.col("release_date"))).drop("page")
+
+
 def new_candidates(
     listing: DataFrame,
     start: dt.date,
@@ -342,8 +351,9 @@ def add_new(
     page_size: int = 20,
     watermark_ceiling: dt.date | None = None,
 ) -> Changes:
-    """Add what was released since the newest movie of the catalog, minus a look-back period. An
-    empty catalog has no watermark: nothing to do."""
+    """Add what was released since the newest movie of the catalog, minus a look-back period.
+    ``releases`` is the listing to look at (default: the landing documents themselves). An empty
+    catalog has no watermark: nothing to do."""
     mark = watermark(tables["movies"], "release_date", watermark_ceiling)
     if mark is None:
         return Changes()

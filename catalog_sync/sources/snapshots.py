@@ -5,15 +5,21 @@ the folders that make it up. Readers follow the newest record, so all tables cha
 files being read are never touched. A replaced table gets one new folder; appended rows get a
 folder of their own beside the existing ones, so an insert costs what it adds.
 
+With ``buckets`` the tables that hold a key once are stored clustered by it, so joining them on
+the key shuffles the other side only. Child tables are not: one parent may own a large share of
+their rows, and a bucket cannot be split the way a shuffled partition can.
+
 One publisher at a time; readers need no coordination.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -22,8 +28,14 @@ from pyspark.sql import types as T
 
 _MANIFEST = (
     "version BIGINT, stream STRING, batch BIGINT, "
-    "tables ARRAY<STRUCT<name: STRING, columns: STRING, parts: ARRAY<STRING>>>"
+    "tables ARRAY<STRUCT<name: STRING, columns: STRING, "
+    "parts: ARRAY<STRUCT<path: STRING, bucket_key: STRING, buckets: INT>>>>"
 )
+BUCKET_KEYS = {"movies": "id", "people": "id"}
+
+
+def _catalog_name(path: str) -> str:
+    return "snapshot_" + re.sub(r"\W+", "_", path)
 
 
 @dataclass(frozen=True)
@@ -33,9 +45,19 @@ class Published:
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: int = 0,
+        bucket_keys: Mapping[str, str] = BUCKET_KEYS,
+    ):
+        if buckets and not re.match(r"/|\w+:", root):
+            raise ValueError("a bucketed store needs an absolute path")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.bucket_keys = dict(bucket_keys)
 
     def _manifests(self) -> DataFrame | None:
         try:
@@ -79,8 +101,22 @@ class SnapshotStore:
 
     def _open(self, entry: Row) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entry.columns))
-        paths = [f"{self.root}/{part}" for part in entry.parts]
-        return self.spark.read.schema(schema).parquet(*paths)
+        plain = [f"{self.root}/{p.path}" for p in entry.parts if not p.buckets]
+        frames = [self._open_bucketed(p, schema) for p in entry.parts if p.buckets]
+        if plain:
+            frames.append(self.spark.read.schema(schema).parquet(*plain))
+        return reduce(DataFrame.unionByName, frames)
+
+    def _open_bucketed(self, part: Row, schema: T.StructType) -> DataFrame:
+        # Spark keeps the bucket layout in its catalog, not with the files: declare it again.
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        name = _catalog_name(part.path)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{part.bucket_key}`) SORTED BY (`{part.bucket_key}`) "
+            f"INTO {part.buckets} BUCKETS LOCATION '{self.root}/{part.path}'"
+        )
+        return self.spark.read.table(name)
 
     def publish(
         self,
@@ -94,7 +130,7 @@ class SnapshotStore:
         record = self._manifest()
         entries = {t.name: t for t in record.tables} if record else {}
         version = (record.version if record else 0) + 1
-        tables = {n: (e.columns, list(e.parts)) for n, e in entries.items()}
+        tables = {n: (e.columns, [tuple(p) for p in e.parts]) for n, e in entries.items()}
         rows: dict[str, int] = {}
         for name, df in (replace or {}).items():
             part, rows[name] = self._write(name, df, version)
@@ -109,11 +145,20 @@ class SnapshotStore:
         self._commit(version, tables, stream, batch)
         return Published(version, rows)
 
-    def _write(self, name: str, df: DataFrame, version: int) -> tuple[str, int]:
-        part = f"{name}/v={version}-{uuid.uuid4().hex[:8]}"
+    def _write(self, name: str, df: DataFrame, version: int) -> tuple[tuple, int]:
+        path = f"{name}/v={version}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/{part}")
-        return part, seen.get["rows"]
+        rows = F.count(F.lit(1)).alias("rows")
+        key = self.bucket_keys.get(name) if self.buckets else None
+        if key is None:
+            df.observe(seen, rows).write.parquet(f"{self.root}/{path}")
+            return (path, None, None), seen.get["rows"]
+        # One task per bucket. Rows that come out of a join on the key are laid out like this
+        # already, and Spark then leaves the shuffle out.
+        clustered = df.repartition(self.buckets, key).observe(seen, rows)
+        writer = clustered.write.format("parquet").bucketBy(self.buckets, key).sortBy(key)
+        writer.option("path", f"{self.root}/{path}").saveAsTable(_catalog_name(path))
+        return (path, key, self.buckets), seen.get["rows"]
 
     def _commit(self, version, tables, stream, batch) -> None:
         record = (

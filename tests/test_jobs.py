@@ -10,6 +10,7 @@ from catalog_sync.operators.quality import error_summary
 from catalog_sync.plans import jobs
 from catalog_sync.plans.jobs import Changes, Landing
 from catalog_sync.sources.csv_files import write_catalog
+from catalog_sync.sources.landing import read_documents
 from catalog_sync.sources.snapshots import SnapshotStore
 from catalog_sync.streaming import stream_catalog, stream_upsert
 
@@ -205,6 +206,22 @@ def test_add_new(spark, landing, catalog, rows):
         jobs.add_new(catalog, landing, "decade")
 
 
+def test_add_new_from_result_pages(spark, landing, landing_root, catalog, tmp_path, rows):
+    pages = [
+        {"page": 1, "total_pages": 3, "results": [
+            {"id": 10, "release_date": "2024-05-01"}, {"id": 5, "release_date": "soon"},
+            {"id": 9, "release_date": "2024-05-01", "adult": True}, {"id": 0}]},
+        {"page": 2, "total_pages": 3, "results": [
+            {"id": 10, "release_date": "2024-05-01"}, {"id": 1, "release_date": "2024-05-02"}]},
+        {"page": 4, "total_pages": 3, "results": [{"id": 8, "release_date": "2024-05-01"}]},
+    ]
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages" / "p.json").write_text("\n".join(map(json.dumps, pages)))
+    read = read_documents(spark, str(tmp_path), "pages")
+    changes = jobs.add_new(catalog, landing, "week", releases=jobs.release_pages(read))
+    assert rows(changes.append["movies"], "id") == [(10,)]
+
+
 def test_search(landing, catalog, rows):
     found = rows(jobs.search(catalog, landing, "REL"), "ordinal", "id", "line", "genre_line")
     assert found == [(1, 10, "1. released (2024-05-01) - ID: 10", "   Genres: Drama")]
@@ -220,8 +237,27 @@ def test_discover(landing, rows):
     assert rows(jobs.discover(landing, latest_year=2024)) == [(1,), (10,), (2,), (5,), (6,), (7,)]
 
 
-def test_sync(spark, landing, catalog, tmp_path, rows):
-    store = SnapshotStore(spark, str(tmp_path / "store"))
+def test_refresh_of_a_bucketed_store_does_not_shuffle_movies(
+    spark, landing, catalog, tmp_path, rows
+):
+    store = SnapshotStore(spark, str(tmp_path / "store"), buckets=4)
+    jobs.publish(store, Changes(replace=catalog))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = jobs.refresh(store.tables(), landing, AS_OF)
+        movies = changes.replace["movies"].repartition(4, "id")
+        plan = movies._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and plan.count("Exchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = rows(changes.replace["movies"])
+    jobs.publish(store, changes)
+    assert rows(store.table("movies")) == want
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_sync(spark, landing, catalog, tmp_path, rows, buckets):
+    store = SnapshotStore(spark, str(tmp_path / "store"), buckets=buckets)
     jobs.publish(store, Changes(replace=catalog))
     refreshed, added = jobs.sync(store, landing, "week", AS_OF)
     assert added.rows == {"movies": 1, "credits": 2, "genres": 1, "people": 1}

@@ -120,6 +120,34 @@ def test_snapshots(spark, tmp_path, rows):
         store.tables(version=99)
 
 
+def test_bucketed_snapshots(spark, tmp_path, rows):
+    store = SnapshotStore(spark, str(tmp_path / "store"), buckets=4)
+    people = lambda lo, hi: spark.range(lo, hi).withColumn("name", F.lit("x"))
+    genres = spark.createDataFrame([(1, "g")], "movie_id bigint, genre_name string")
+    assert store.publish(replace={"people": people(0, 50), "genres": genres}).rows == {
+        "people": 50, "genres": 1}
+    store.publish(append={"people": people(50, 60)})
+    other = SnapshotStore(spark, str(tmp_path / "store"))  # knows from the manifest
+    assert rows(other.table("people"), "id") == sorted([(i,) for i in range(60)], key=repr)
+    for t in spark.catalog.listTables():
+        if t.name.startswith("snapshot_people"):
+            spark.sql(f"DROP TABLE {t.name}")  # as in a new session: the files stay
+    assert other.table("people").count() == 60
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = people(0, 9).select("id", F.lit(True).alias("hit"))
+        joined = other.table("people").join(hits, "id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") == 2 and plan.count("Exchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined.filter("hit").count() == 9 and joined.count() == 60
+    other.publish(append={"people": people(60, 61)})  # plain part beside bucketed ones
+    assert other.table("people").count() == 61
+    with pytest.raises(ValueError, match="absolute"):
+        SnapshotStore(spark, "relative/path", buckets=4)
+
+
 def test_unpublished_write_is_invisible(spark, tmp_path, rows):
     store = SnapshotStore(spark, str(tmp_path / "store"))
     good = spark.createDataFrame([(1,)], "id int")
