@@ -60,23 +60,33 @@ def keep_unknown(df: DataFrame, parents: DataFrame, on: On, unique: bool = False
     return df.join(keys, _left(on), "left_anti")
 
 
-def exclude_existing(
-    source: DataFrame, target: DataFrame, on: On, max_rows: int = MAX_BROADCAST_KEYS
+def _hits(keys: DataFrame, target: DataFrame, on: On) -> DataFrame:
+    # The keys have been counted and the hits are a subset of them: both may be broadcast.
+    target_keys = _renamed_keys(target, on)
+    return F.broadcast(target_keys.join(F.broadcast(keys), _left(on), "left_semi").distinct())
+
+
+def existing_keys(
+    keys: DataFrame, target: DataFrame, on: On, max_rows: int = MAX_BROADCAST_KEYS
 ) -> DataFrame:
-    """Source rows not yet in the target.
+    """Those of the (distinct) keys the target holds, under the left names.
 
-    A source of bounded size is the usual case (what is new since yesterday) and the target is
-    the whole catalog. An anti join would shuffle every target key to find a few; instead the
-    source keys are broadcast over the target scan and only the hits travel. A larger source
-    takes the plain anti join.
+    A bounded set of keys is the usual case (what is new since yesterday) and the target is the
+    whole catalog. A join would shuffle every target key to find a few; instead the keys are
+    broadcast over the target scan and only the hits travel. More keys take the plain join.
     """
-    left = _left(on)
-    source_keys = key_set(source, left)
-    target_keys = _renamed_keys(target, on)
-    if fits_broadcast(source_keys, max_rows):
-        # The hits are a subset of the counted keys, so they may be broadcast as well.
-        present = target_keys.join(F.broadcast(source_keys), left, "left_semi").distinct()
-        return source.join(F.broadcast(present), left, "left_anti")
+    if fits_broadcast(keys, max_rows):
+        return _hits(keys, target, on)
+    return keep_known(keys, target, on)
+
+
+def exclude_existing(
+    source: DataFrame, target: DataFrame, on: On, max_rows: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
+    """Source rows not yet in the target (a NULL key is not in it), found the same way."""
+    keys = key_set(source, _left(on))
+    if fits_broadcast(keys, max_rows):
+        return source.join(_hits(keys, target, on), _left(on), "left_anti")
     return keep_unknown(source, target, on)
 
 

@@ -29,6 +29,7 @@ from catalog_sync.operators.incremental import (
 from catalog_sync.operators.joins import (
     enrich,
     exclude_existing,
+    existing_keys,
     keep_known,
     keep_unknown,
     key_set,
@@ -270,26 +271,30 @@ def refresh(
 ) -> Changes:
     """Bring movies of the catalog (all, or the given ids) up to date, each exactly once. Needs
     both a details and a credits document; ids the catalog lacks are left alone."""
-    wanted = sized(key_set(ids, ["id"])) if ids is not None else None
-    docs = _documents(landing, "inner", wanted)
-    docs = stage(keep_known(docs, tables["movies"], ["id"], unique=True), "refreshed")
+    if ids is None:
+        docs = keep_known(_documents(landing, "inner"), tables["movies"], ["id"], unique=True)
+    else:
+        ids = stage(key_set(ids, ["id"]), "requested-ids")
+        known = stage(existing_keys(ids, tables["movies"], ["id"]), "known-ids")
+        docs = _documents(landing, "inner", sized(known))
+    docs = stage(docs, "refreshed")
     replace = _update_rows(tables, docs, as_of)
     if with_people and landing.persons is not None:
         replace["people"] = _upsert_people(tables, _credits_of(docs), landing.persons)
-    return Changes(replace, errors=lambda: _refresh_errors(tables, landing, docs, wanted))
+    return Changes(replace, errors=lambda: _refresh_errors(tables, landing, docs, ids))
 
 
 def _refresh_errors(
-    tables: Tables, landing: Landing, docs: DataFrame, wanted: DataFrame | None
+    tables: Tables, landing: Landing, docs: DataFrame, ids: DataFrame | None
 ) -> DataFrame:
     """Catalog movies the source no longer has, those it has without credits, and requested ids
     the catalog lacks."""
     movies = tables["movies"].select("id")
     log = []
-    if wanted is not None:
-        unknown = keep_unknown(wanted, movies, ["id"], unique=True)
+    if ids is not None:
+        unknown = exclude_existing(ids, movies, ["id"])
         log.append(error_rows(unknown, "not_found", "refresh", "id"))
-        movies = keep_known(movies, wanted, ["id"], unique=True)
+        movies = existing_keys(ids, movies, ["id"])
     stale = keep_unknown(movies, docs, ["id"], unique=True)
     details = latest_documents(landing.details, "id").dropna(subset=REQUIRED_FIELDS)
     removed = keep_unknown(stale, details, ["id"], unique=True)
@@ -425,10 +430,10 @@ def sync_documents(tables: Tables, landing: Landing, as_of: dt.datetime) -> Chan
     credits document), others inserted. Without anything to refresh this only appends."""
     arrived = sized(key_set(landing.details, ["id"]))
     docs = stage(_documents(landing, "left", arrived), "documents")
-    movie_ids = tables["movies"].select("id")
+    known = stage(existing_keys(docs.select("id"), tables["movies"], ["id"]), "known-ids")
     with_credits = docs.filter(F.col("_credits").isNotNull())
-    changed = stage(keep_known(with_credits, movie_ids, ["id"], unique=True), "changed")
-    new = exclude_existing(docs, movie_ids, ["id"])
+    changed = keep_known(with_credits, known, ["id"], unique=True)
+    new = keep_unknown(docs, known, ["id"], unique=True)
     append = _insert_rows(new)
     replace: dict[str, DataFrame] = {}
     refreshing = not changed.isEmpty()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from catalog_sync.operators.dedup import fresh_latest
-from catalog_sync.operators.joins import keep_known
+from catalog_sync.operators.joins import existing_keys
 from catalog_sync.operators.upsert import upsert
 from catalog_sync.plans.jobs import Landing, current_tables, publish, sync_documents
 from catalog_sync.scratch import stage
@@ -59,7 +59,7 @@ def stream_upsert(
         tables = store.tables()
         if table not in tables:
             store.publish(replace={table: source}, **mark)
-        elif keep_known(source, tables[table], keys, unique=True).isEmpty():
+        elif existing_keys(source.select(*keys), tables[table], keys).isEmpty():
             store.publish(append={table: source}, **mark)
         else:
             columns = [c for c in source.columns if c not in keys]

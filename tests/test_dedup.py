@@ -15,6 +15,7 @@ from catalog_sync.operators.dedup import (
 from catalog_sync.operators.joins import (
     attach_first_children,
     exclude_existing,
+    existing_keys,
     keep_known,
     keep_unknown,
 )
@@ -102,6 +103,13 @@ def test_exclude_existing_both_ways(spark, rows, max_rows):
     assert rows(got) == [(1,), (None,)]
 
 
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_existing_keys_both_ways(spark, rows, max_rows):
+    keys = spark.createDataFrame([(1,), (2,)], "id int")
+    target = spark.createDataFrame([(2,), (2,), (3,), (None,)], "key int")
+    assert rows(existing_keys(keys, target, {"id": "key"}, max_rows)) == [(2,)]
+
+
 def test_known_and_unknown(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, v string")
     parents = spark.createDataFrame([(1,), (1,), (None,)], "pid int")
