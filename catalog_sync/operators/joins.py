@@ -9,13 +9,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog_sync.operators.dedup import top_n
 
 On = Sequence[str] | Mapping[str, str]
 
-# A key frame of this many rows is broadcast (a BIGINT key costs ~16 bytes: tens of MB at most).
+# A key frame of up to this many rows may be broadcast, if its columns have a fixed width (a
+# BIGINT key costs ~16 bytes: tens of MB at most). Text keys have no such bound.
 MAX_BROADCAST_KEYS = 1_000_000
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def pairs(on: On) -> list[tuple[str, str]]:
@@ -38,7 +41,8 @@ def _left(on: On) -> list[str]:
 
 def fits_broadcast(keys: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> bool:
     """Count the keys; only an answer within the bound allows a broadcast."""
-    return keys.count() <= max_rows
+    fixed = all(isinstance(f.dataType, _FIXED_WIDTH) for f in keys.schema.fields)
+    return fixed and keys.count() <= max_rows
 
 
 def sized(keys: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:

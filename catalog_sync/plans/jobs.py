@@ -69,7 +69,6 @@ from catalog_sync.schemas import (
     REQUIRED_FIELDS,
     TABLES,
     UPDATABLE_MOVIE_COLUMNS,
-    table_ddl,
 )
 from catalog_sync.scratch import stage
 from catalog_sync.sources.csv_files import read_catalog
@@ -107,7 +106,9 @@ def publish(store: SnapshotStore, changes: Changes, **stream) -> Published:
 
 
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    return {t: spark.createDataFrame([], table_ddl(t)) for t in TABLES}
+    """Tables the optimizer knows to be empty, so joins and unions with them vanish."""
+    nothing = spark.range(1).filter(F.lit(False))
+    return {t: _table_shape(nothing.select(), t) for t in TABLES}
 
 
 def current_tables(store: SnapshotStore) -> dict[str, DataFrame]:
@@ -387,7 +388,7 @@ def search(tables: Tables, landing: Landing, query: str, page_size: int = 20) ->
         *typed_movie_columns(), "adult", genre_string(F.col("genres")).alias("genre_names"),
         F.col("release_date").alias("release_text"),
     )
-    hits = title_search(latest, query, page_size=page_size, flags=("adult",))
+    hits = stage(title_search(latest, query, page_size=page_size, flags=("adult",)), "search-page")
     fresh = exclude_existing(hits, tables["movies"], ["id"])
     return listing(
         fresh,

@@ -16,6 +16,7 @@ from catalog_sync.operators.joins import (
     attach_first_children,
     exclude_existing,
     existing_keys,
+    fits_broadcast,
     keep_known,
     keep_unknown,
 )
@@ -110,6 +111,12 @@ def test_existing_keys_both_ways(spark, rows, max_rows):
     assert rows(existing_keys(keys, target, {"id": "key"}, max_rows)) == [(2,)]
 
 
+def test_text_keys_are_never_broadcast(spark):
+    ids = spark.createDataFrame([(1,)], "id bigint")
+    assert fits_broadcast(ids) and not fits_broadcast(ids, max_rows=0)
+    assert not fits_broadcast(ids.select(F.col("id").cast("string")))
+
+
 def test_known_and_unknown(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, v string")
     parents = spark.createDataFrame([(1,), (1,), (None,)], "pid int")

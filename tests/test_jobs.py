@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalog_sync.operators.quality import error_summary
 from catalog_sync.plans import jobs
 from catalog_sync.plans.jobs import Changes, Landing
+from catalog_sync.schemas import TABLES
 from catalog_sync.sources.csv_files import write_catalog
 from catalog_sync.sources.landing import read_documents
 from catalog_sync.sources.snapshots import SnapshotStore
@@ -114,6 +115,13 @@ def test_csv_load(spark, built, tmp_path, rows):
     assert rows(again.append["credits"]) == rows(loaded["credits"])
 
 
+def test_load_into_an_empty_catalog_joins_nothing(spark, built, tmp_path):
+    write_catalog(built.replace, str(tmp_path))
+    movies = jobs.load_csv(spark, str(tmp_path)).replace["movies"]
+    assert "Join" not in movies._jdf.queryExecution().executedPlan().toString()
+    assert {c: t.upper() for c, t in movies.dtypes} == TABLES["movies"]
+
+
 @pytest.fixture(scope="module")
 def catalog(spark):
     """Movies 1, 2, 7 and 50 under old values; 50 is in no source."""
