@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_sync.llm.line_dedup import drop_repeated_lines
+from catalog_sync.llm.minhash import near_duplicates
+from catalog_sync.llm.mixing import copies
+from catalog_sync.llm.sync_packing import pack
+from catalog_sync.llm.tokens import pieces
 from catalog_sync.plans.registry import table
+from catalog_sync.scratch import stage
+
+SEQUENCE = 2048
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 Run = Callable[[SparkSession, str], DataFrame]
 RUNS: dict[str, Run] = {}
@@ -48,3 +62,54 @@ FROM lines LEFT JOIN gone g USING (k) GROUP BY doc_id
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return out.select("doc_id", "n_lines", "n_dropped", sha256("text").alias("kept_sha256"))
+
+
+@query("op6_minhash_near_dedup")
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = stage(
+        pieces(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer("word_bpe_49k.json"), SEQUENCE, 0),
+        "pieces",
+    ).withColumnRenamed("key", "doc_id")
+    return pack(cut, ["doc_id", "piece", "ids_crc32"], SEQUENCE)
+
+
+@query("op7_source_mixing", r"""
+WITH sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+    FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, 2 * source_size AS cap,
+        [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+    FROM totals
+), laid AS (
+    SELECT *, row_number() OVER o AS n,
+        coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS capped,
+        sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free,
+        1.5::DOUBLE * sum(source_size) OVER () AS budget
+    FROM weighed WINDOW o AS (ORDER BY cap / w, source)
+), level AS (
+    SELECT n, (budget - capped) / free AS y FROM laid WHERE cap >= (budget - capped) / free * w
+    ORDER BY n LIMIT 1
+), goals AS (
+    SELECT source, source_size, CASE WHEN laid.n < level.n THEN cap::DOUBLE ELSE level.y * w END AS target,
+        CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+        ('0x' || md5('mix' || coalesce(source, ''))[1:5])::BIGINT / 1048576.0::DOUBLE AS u
+    FROM laid, level
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id) - 1 AS r FROM sized
+)
+SELECT doc_id, size, source_size, target,
+    size * least(floor(rate * (r + 1) + u) - floor(rate * r + u), ceil(rate))::BIGINT AS taken
+FROM ranked JOIN goals ON ranked.source IS NOT DISTINCT FROM goals.source
+""")
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
