@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from catalog_sync.llm.line_dedup import drop_repeated_lines
 from catalog_sync.llm.minhash import near_duplicates
 from catalog_sync.llm.mixing import copies
+from catalog_sync.llm.shared import ship
 from catalog_sync.llm.sync_packing import pack
 from catalog_sync.llm.tokens import pieces
+from catalog_sync.llm.vector_dedup import near_vectors
+from catalog_sync.llm.warc import round_trip
 from catalog_sync.plans.registry import table
 from catalog_sync.scratch import stage
 
@@ -31,7 +34,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     def add(run: Run) -> Run:
-        RUNS[name] = run
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
+        RUNS[name] = shipped
         if sql:
             SQL[name] = sql
         return run
@@ -113,3 +120,15 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@query("op1_embedding_near_dedup")
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query("op4_warc_reassembly")
+def op4_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"), min_bytes=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +14,24 @@ from catalog_sync.scratch import stage
 MAX_ROUNDS = 60
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: they may not share the
+    driver's import path."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp()) / "catalog_sync.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _SHIPPED.add(application)
+
+
 def partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle deals out to, never fewer than there are cores."""
     return max(
