@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog_sync.llm.impact_search import top_k
 from catalog_sync.llm.line_dedup import drop_repeated_lines
 from catalog_sync.llm.minhash import near_duplicates
 from catalog_sync.llm.mixing import copies
 from catalog_sync.llm.shared import ship
 from catalog_sync.llm.sync_packing import pack
 from catalog_sync.llm.tokens import pieces
+from catalog_sync.llm.tree_packing import packed_rows
 from catalog_sync.llm.vector_dedup import near_vectors
 from catalog_sync.llm.warc import round_trip
 from catalog_sync.plans.registry import table
@@ -132,3 +134,15 @@ def op4_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"), min_bytes=0).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op8_exact_top_k")
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@query("op2_token_matrices")
+def op2_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_rows(
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=SEQUENCE
+    )

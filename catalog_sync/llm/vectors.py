@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -14,8 +15,8 @@ def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first usable row's, and ``ragged`` sorts the others out.
     """
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
-    flat = pa.compute.fill_null(column.flatten().cast(pa.float64()), float("nan"))
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+    flat = pc.fill_null(column.flatten().cast(pa.float64()), float("nan"))
     values = np.asarray(flat)
     bad = np.zeros(len(sizes), dtype=bool)
     owner = np.repeat(np.arange(len(sizes)), sizes)
