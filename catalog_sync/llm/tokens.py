@@ -1,19 +1,33 @@
 """Token ids of whole texts, cut into pieces.
 
 The tokenizers used drop white space and never join across it, so a text's ids are the ids of
-its runs of bytes outside ``[\\x20\\x09-\\x0D]`` in order. Each task keeps a bounded cache of runs, as most words come again.
+its runs of bytes outside ``[\\x20\\x09-\\x0D]`` in order. Each Python worker keeps a bounded cache of
+runs over all of its tasks, as most words come again. Punctuation behind a word of letters begins
+a token of its own for these tokenizers, so a new run of known word and punctuation needs no
+encoding. New words are encoded together where the tokenizer marks the ends of words.
 """
 
 from __future__ import annotations
 
+import json
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from unicodedata import normalize
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED = 400_000
+CACHED = 1_000_000
+GROUP = 1 << 20
+
+
+def plain(word: str) -> bool:
+    """Letters only, also once normalised: one token-to-be that nothing joins."""
+    return word.isalpha() and normalize("NFC", word).lower().isalpha()
 
 
 class Runs(dict):
@@ -22,19 +36,58 @@ class Runs(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode
+        suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = tokenizer.get_vocab().items() if suffix else ()
+        self.ends = {i for token, i in vocabulary if token.endswith(suffix)}
 
     def __missing__(self, run: bytes) -> bytes:
-        ids = self.encode(run.decode(), add_special_tokens=False).ids
-        packed = self[run] = b"".join(i.to_bytes(4, "little") for i in ids)
+        text = run.decode()
+        word = text.rstrip(string.punctuation)
+        if len(word) < len(text) and plain(word):
+            packed = self[word.encode()] + self[text[len(word):].encode()]
+        else:
+            packed = array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
+        self[run] = packed
         return packed
 
-    def ids(self, text: bytes) -> bytes:
-        if len(self) > CACHED:
-            self.clear()
-        # Marks of special tokens are recognised in their own case only.
-        runs = (text if b"<|" in text else text.lower()).split()
-        return b"".join(map(self.__getitem__, runs))
+    def learn(self, runs: set[bytes]) -> None:
+        """Encode the unknown plain words among ``runs`` in one go: tokens that end a word part them."""
+        texts = {run.decode().rstrip(string.punctuation) for run in runs}
+        words = [w for w in texts if w.encode() not in self and plain(w)]
+        ids = self.encode(" ".join(words), add_special_tokens=False).ids
+        last = [i for i, x in enumerate(ids, 1) if x in self.ends]
+        if len(last) == len(words) and (not last or last[-1] == len(ids)):
+            packed = array("I", ids).tobytes()
+            for word, start, end in zip(words, [0, *last], last, strict=False):
+                self[word.encode()] = packed[4 * start : 4 * end]
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text, in groups of about ``GROUP`` bytes."""
+        at = 0
+        while at < len(texts):
+            if len(self) > CACHED:
+                self.clear()
+            group, size, unknown = [], 0, set()
+            while at < len(texts) and size < GROUP:
+                text = texts[at]
+                # Marks of special tokens are recognised in their own case only.
+                runs = (text if b"<|" in text else text.lower()).split()
+                unknown.update(runs)
+                group.append(runs)
+                size += len(text)
+                at += 1
+            unknown -= self.keys()
+            if self.ends and unknown:
+                self.learn(unknown)
+            for runs in group:
+                yield b"".join(map(self.__getitem__, runs))
+
+
+@lru_cache(maxsize=1)
+def runs_of(path: str) -> Runs:
+    return Runs(path)
 
 
 def pieces(
@@ -42,20 +95,21 @@ def pieces(
 ) -> DataFrame:
     """key, piece (from 0), start, length, ids_crc32 and, if asked for, ids (binary, 4 bytes each).
 
-    A document is the ids of its text, NULL counting as empty, then ``end_id``; only documents of more than ``size``
-    ids are cut, into pieces of ``size`` of which the last may be shorter.
+    A document is the ids of its text, NULL counting as empty, then ``end_id``; only documents of
+    more than ``size`` ids are cut, into pieces of ``size`` of which the last may be shorter.
     """
     width = 4 * size
     kind = docs.schema[key].dataType.simpleString()
     names = ["key", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = Runs(path)
+        runs = runs_of(path)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             owner, number, length, crc, ids = [], [], [], [], []
-            for i, value in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
-                packed = runs.ids(value or b"") + end
+            texts = [v or b"" for v in batch.column(1).cast(pa.binary()).to_pylist()]
+            for i, packed in enumerate(runs.ids(texts)):
+                packed += end
                 for n, at in enumerate(range(0, len(packed), width)):
                     part = packed[at : at + width]
                     owner.append(i)

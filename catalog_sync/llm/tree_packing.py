@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog_sync.llm.tokens import Runs
+from catalog_sync.llm.tokens import runs_of
 
 BLOCK = 1 << 22
 
@@ -105,7 +105,7 @@ def packed_rows(
             }
 
     def pack(batches):
-        runs, end = Runs(path), end_id.to_bytes(4, "little")
+        runs, end = runs_of(path), end_id.to_bytes(4, "little")
         keys, starts, parts, held, schema = [], [], [], 0, None
 
         def flush():
@@ -120,9 +120,9 @@ def packed_rows(
                 ("positions", pa.binary()),
                 ("docs", pa.list_(pa.struct([(key, batch.schema.field(0).type), ("start", pa.int64())]))),
             ])
-            for owner, value in zip(batch.column(0).to_pylist(),
-                                    batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                ids = np.frombuffer(runs.ids(value or b"") + end, dtype="<u4").astype(wide)
+            texts = [v or b"" for v in batch.column(1).cast(pa.binary()).to_pylist()]
+            for owner, packed in zip(batch.column(0).to_pylist(), runs.ids(texts), strict=True):
+                ids = np.frombuffer(packed + end, dtype="<u4").astype(wide)
                 for at in range(0, len(ids), size):
                     keys.append(owner)
                     starts.append(at)
