@@ -14,6 +14,7 @@ from catalog_sync.llm.mixing import copies
 from catalog_sync.llm.shared import ship
 from catalog_sync.llm.sync_packing import pack
 from catalog_sync.llm.tokens import pieces
+from catalog_sync.llm.toxicity import score_toxicity
 from catalog_sync.llm.tree_packing import packed_rows
 from catalog_sync.llm.vector_dedup import near_vectors
 from catalog_sync.llm.warc import round_trip
@@ -146,3 +147,8 @@ def op2_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_rows(
         table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), size=SEQUENCE
     )
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
