@@ -12,6 +12,7 @@ from catalog_sync.llm.line_dedup import drop_repeated_lines
 from catalog_sync.llm.minhash import near_duplicates
 from catalog_sync.llm.mixing import copies
 from catalog_sync.llm.shared import ship
+from catalog_sync.llm.site_style import main_texts
 from catalog_sync.llm.sync_packing import pack
 from catalog_sync.llm.tokens import pieces
 from catalog_sync.llm.toxicity import score_toxicity
@@ -152,3 +153,8 @@ def op2_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+@query("op10_site_style_text")
+def op10_site_style_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
