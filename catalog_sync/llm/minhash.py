@@ -22,11 +22,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalog_sync.llm.shared import components, ranked
-from catalog_sync.llm.words import mix, shingles
+from catalog_sync.llm.words import WORD_COUNT, mix, shingles
 from catalog_sync.scratch import stage
 
 BANDS = 25
@@ -264,3 +264,24 @@ def near_duplicates(
         .select(F.col("__key").alias(key), "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("component_id") == F.col(key), F.lit(True)))
     )
+
+
+def keep_one(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, that with the smallest key.
+
+    Documents without words or without key are in no group and stay. Of rows that repeat the kept
+    key one stays, the first by a hash of its text.
+    """
+    in_group = F.coalesce(F.col(key).isNotNull() & F.col(text).rlike(WORD_COUNT), F.lit(False))
+    flagged = docs.withColumn("__in", in_group)
+    grouped = flagged.where("__in").drop("__in")
+    kept = stage(
+        near_duplicates(grouped, key, text, words, percent).where("kept").select(key).distinct(), "kept"
+    )
+    turn = Window.partitionBy(key).orderBy(F.xxhash64(text))
+    first = grouped.join(kept, key, "left_semi").withColumn("__turn", F.row_number().over(turn))
+    return first.where("__turn = 1").select(*docs.columns).union(
+        flagged.where("NOT __in").select(*docs.columns)
+    )
