@@ -1,10 +1,74 @@
-"""The corpus pipeline: each stage works on all that the stage before it kept."""
+"""The corpus pipeline: five stages, each over all that the stage before it kept.
+
+Toxic documents go, lines that many documents share go, one document of each group of near
+duplicates stays, sources are mixed to target weights, and what is left is packed into sequences.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalog_sync.llm.line_dedup import drop_repeated_lines
+from catalog_sync.llm.minhash import keep_one
+from catalog_sync.llm.mixing import mix
+from catalog_sync.llm.queries import SEQUENCE, tokenizer
+from catalog_sync.llm.shared import ship
+from catalog_sync.llm.sync_packing import pack
+from catalog_sync.llm.tokens import pieces
+from catalog_sync.llm.toxicity import without_toxic
+from catalog_sync.plans.registry import table
+from catalog_sync.scratch import stage
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.3; labels are learnt from those that are not held out."""
+    ship(spark)
+    return without_toxic(docs, table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines found in 10 documents or more; documents stay, if only as empty texts."""
+    ship(spark)
+    out = drop_repeated_lines(docs, min_docs=10)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles of similarity 0.8 or more."""
+    ship(spark)
+    return keep_one(docs, words=5, percent=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    ship(spark)
+    return mix(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document with its place in a sequence."""
+    ship(spark)
+    cut = stage(
+        pieces(docs, "doc_id", "text", tokenizer("word_bpe_49k.json"), SEQUENCE, 0), "pieces"
+    ).withColumnRenamed("key", "doc_id")
+    return pack(cut, ["doc_id", "piece", "ids_crc32"], SEQUENCE)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+
+#: A trained classifier decides the first stage, so no SQL gives the same rows.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
