@@ -56,8 +56,8 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _or_chunks(pdf):
-    once = np.zeros(CHUNK, dtype=np.uint8)
-    twice = np.zeros(CHUNK, dtype=np.uint8)
+    once = np.zeros(len(pdf["once"].iloc[0]), dtype=np.uint8)
+    twice = once.copy()
     for o, t in zip(pdf["once"], pdf["twice"], strict=True):
         o, t = np.frombuffer(o, dtype=np.uint8), np.frombuffer(t, dtype=np.uint8)
         twice |= t | (once & o)
@@ -67,6 +67,7 @@ def _or_chunks(pdf):
 
 def twice_seen(docs: DataFrame, text: str, min_chars: int, bits: int) -> np.ndarray:
     """The merged twice-seen filter: ``bits`` / 8 bytes, whatever the size of the corpus."""
+    chunk = min(CHUNK, bits // 8)
 
     def fill(batches):
         once, twice = Bloom(bits, HASHES), Bloom(bits, HASHES)
@@ -76,7 +77,7 @@ def twice_seen(docs: DataFrame, text: str, min_chars: int, bits: int) -> np.ndar
                     hashes = _halves(sorted(keys))[:, 0]
                     twice.add(hashes[once.holds(hashes)])
                     once.add(hashes)
-        a, b = once.data.reshape(-1, CHUNK), twice.data.reshape(-1, CHUNK)
+        a, b = once.data.reshape(-1, chunk), twice.data.reshape(-1, chunk)
         used = np.flatnonzero(a.any(axis=1))
         for at in np.array_split(used, max(1, len(used) // 256)):
             yield pa.RecordBatch.from_arrays(
@@ -94,7 +95,7 @@ def twice_seen(docs: DataFrame, text: str, min_chars: int, bits: int) -> np.ndar
     )
     data = np.zeros(bits // 8, dtype=np.uint8)
     for row in merged.select("chunk", "twice").toLocalIterator():
-        data[row[0] * CHUNK : (row[0] + 1) * CHUNK] = np.frombuffer(row[1], dtype=np.uint8)
+        data[row[0] * chunk : (row[0] + 1) * chunk] = np.frombuffer(row[1], dtype=np.uint8)
     return data
 
 
