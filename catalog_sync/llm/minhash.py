@@ -8,10 +8,12 @@ that a hash of (bin, attempt) points to, tried until one is full (optimal densif
 Each band is a bucket. Within a bucket each class is paired with the smallest class only, so a
 bucket of n gives n - 1 candidate pairs. Candidates are confirmed on the full sets, recomputed from the texts, and the
 confirmed links form components. What a star can miss is a link between two members of which one is
-not similar to the centre: for buckets whose members still lie in several components, members of
-different components are compared block by block by their signatures, and pairs that estimate
-within ``MARGIN`` of the threshold are confirmed on the full sets like the others. Members of one
-component are never paired again, so a group of near copies stays linear.
+not similar to the centre. So buckets whose members still lie in several components are compared
+block by block by signature: each member proposes its nearest member of another component, what is
+confirmed joins components, and so on until a round finds no link; then every pair left in different
+components is proposed whose sizes allow the similarity and whose estimate is within ``DEVIATIONS``
+standard deviations of it. Pairs of sets of ``SMALL`` shingles at most are settled where they meet.
+Members of one component are never paired again: a group of near copies gives few pairs.
 """
 
 from __future__ import annotations
@@ -25,15 +27,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalog_sync.llm.shared import components, ranked
+from catalog_sync.llm.shared import components, partitions, ranked
 from catalog_sync.llm.words import WORD_COUNT, mix, shingles
 from catalog_sync.scratch import stage
 
 BANDS = 25
 ROWS = 5
 BINS = BANDS * ROWS
-MARGIN = 0.35
+DEVIATIONS = 4
 BLOCK = 256
+SMALL = 256
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -132,14 +135,46 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return both.mapInArrow(confirm, "src long, dst long")
 
 
-def _mixed_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _least(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """How many bins must agree for a pair whose larger set has ``sizes`` shingles to be proposed."""
+    p = percent / 100
+    deviation = np.sqrt(p * (1 - p) / np.minimum(sizes, BINS))
+    return np.maximum(1, BINS * (p - DEVIATIONS * deviation))
+
+
+def _settled(a: bytes, b: bytes, percent: int) -> bool:
+    """False if both sets are at hand and not similar enough."""
+    if not a or not b:
+        return True
+    one, two = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    same = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * same >= percent * (len(one) + len(two) - same)
+
+
+def _small_sets(texts: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """(key, set) of the members with ``SMALL`` shingles at most: sorted hashes as bytes."""
+
+    def gather(batches):
+        for batch in batches:
+            found = [shingles(value, width) for value in _texts(batch.column(1))]
+            sets = [h.tobytes() if len(h) <= SMALL else b"" for h in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["__key", "__set"])
+
+    own = texts.join(members.select("__key").distinct(), "__key", "left_semi")
+    return own.select("__key", "__text").mapInArrow(gather, "__key long, __set binary")
+
+
+def _mixed_pairs(
+    members: DataFrame, sketches: DataFrame, percent: int, nearest: bool
+) -> DataFrame:
     """Pairs of bucket members in different components that estimate near the threshold.
 
     ``members``: band, bucket, key and component of the buckets that hold several components. Sorted
     by component they are cut into blocks of ``BLOCK``; two blocks meet in a group of their own
-    unless both hold one and the same component.
+    unless both hold one and the same component. ``nearest``: of each member's pairs only the best.
+    Else a pair is looked at in the first band that it shares, and where the small sets of both are
+    at hand (column ``__set`` of ``sketches``) it is settled there: only links leave the task.
     """
-    floor = int(BINS * (percent / 100 - MARGIN))
     bucket = ["__band", "__bucket"]
     placed = stage(
         ranked(members, bucket, ["__component", "__key"], "__rank")
@@ -157,7 +192,7 @@ def _mixed_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataF
         .select(*bucket, "__i", "__j"),
         "meet",
     )
-    rows = placed.select(*bucket, "__block", "__key", "__component", "__sketch")
+    rows = placed.select(*bucket, "__block", *sketches.columns, "__component")
     met = rows.join(meet.withColumn("__block", F.col("__i")), [*bucket, "__block"]).union(
         rows.join(meet.where("__i < __j").withColumn("__block", F.col("__j")), [*bucket, "__block"])
     )
@@ -168,13 +203,30 @@ def _mixed_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataF
         one, two = (
             np.frombuffer(b"".join(x["__sketch"]), dtype=np.uint16).reshape(len(x), BINS) for x in (a, b)
         )
-        ids, of = b["__key"].to_numpy(), b["__component"].to_numpy()
-        found = []
-        for row, k, c in zip(one, a["__key"], a["__component"], strict=True):
-            near = (of != c) & ((two == row).sum(axis=1) >= floor)
-            found += [(min(k, x), max(k, x)) for x in ids[near]]
-        return pd.DataFrame(found, columns=["src", "dst"], dtype="int64")
-
+        large = np.maximum.outer(a["__size"].to_numpy(), b["__size"].to_numpy())
+        small = np.minimum.outer(a["__size"].to_numpy(), b["__size"].to_numpy())
+        same = np.stack([(two == row).sum(axis=1) for row in one])
+        apart = np.not_equal.outer(a["__component"].to_numpy(), b["__component"].to_numpy())
+        near = apart & (same >= _least(large, percent)) & (100 * small >= percent * large)
+        if nearest:
+            same = np.where(near, same, -1)
+            best = np.zeros_like(near)
+            best[np.arange(len(a)), same.argmax(axis=1)] = True
+            best[same.argmax(axis=0), np.arange(len(b))] = True
+            near &= best
+        left, right = np.nonzero(near)
+        if not nearest:
+            shared = (one[left] == two[right]).reshape(len(left), BANDS, ROWS).all(axis=2)
+            first = ~shared[:, : group[0]].any(axis=1)
+            left, right = left[first], right[first]
+            mine, other = a["__set"].to_numpy(), b["__set"].to_numpy()
+            held = [_settled(mine[x], other[y], percent) for x, y in zip(left, right, strict=True)]
+            left, right = left[held], right[held]
+        left, right = a["__key"].to_numpy()[left], b["__key"].to_numpy()[right]
+        return pd.DataFrame({"src": np.minimum(left, right), "dst": np.maximum(left, right)}).drop_duplicates()
+
+    # Dealt out by count: comparing takes time that the rows' size does not show.
+    met = met.repartition(partitions(members.sparkSession), *bucket, "__i", "__j")
     pairs = met.groupBy(*bucket, "__i", "__j").applyInPandas(compare, "src long, dst long")
     return pairs.distinct()
 
@@ -188,6 +240,21 @@ def _repeated_keys(filled: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with their components."""
+    bucket = ["__band", "__bucket"]
+    grouped = stage(
+        members.join(found, members["__key"] == found["id"], "left")
+        .select(*bucket, "__key", F.coalesce("component", "__key").alias("__component")),
+        "grouped",
+    )
+    mixed = (
+        grouped.groupBy(*bucket).agg(F.min("__component").alias("__low"), F.max("__component").alias("__high"))
+        .where("__low <> __high").select(*bucket)
+    )
+    return stage(grouped.join(mixed, bucket), "mixed")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -196,15 +263,15 @@ def near_duplicates(
     Links join documents whose sets of ``words``-word shingles reach ``percent`` / 100 of Jaccard
     similarity; ``component_id`` is the smallest key reachable, ``kept`` marks that document.
     A text of fewer words is one shingle; a NULL, empty or blank text has no shingle, is linked with
-    nothing and kept. Rows that repeat a key are one document: a
-    link of one of them is a link of all that have shingles. A NULL key
-    has a NULL component and is kept. An empty table gives an empty table.
+    nothing and kept. Rows that repeat a key are one document: a link of one of them is a link of
+    all that have shingles. A NULL key has a NULL component and is kept. An empty table gives an empty table.
     """
     signed = stage(_signed(docs, key, text, words), "signed")
     filled = signed.where("n_shingles > 0 AND __key IS NOT NULL")
     classes = stage(
         filled.groupBy("__fa", "__fb").agg(
-            F.min("__key").alias("__rep"), F.first("__bands").alias("__bands"),
+            F.min("__key").alias("__rep"), F.first("n_shingles").alias("n_shingles"),
+            F.first("__bands").alias("__bands"),
             F.first("__sketch").alias("__sketch"),
         ),
         "classes",
@@ -233,25 +300,29 @@ def near_duplicates(
         _confirmed(star, texts, words, percent).union(_repeated_keys(filled, classes)), "links"
     )
     found = components(links)
-    grouped = stage(
-        members.join(found, members["__key"] == found["id"], "left")
-        .select("__band", "__bucket", "__key", F.coalesce("component", "__key").alias("__component")),
-        "grouped",
-    )
-    mixed = (
-        grouped.groupBy("__band", "__bucket")
-        .agg(F.min("__component").alias("__low"), F.max("__component").alias("__high"))
-        .where("__low <> __high").select("__band", "__bucket")
-    )
-    sketches = classes.select(F.col("__rep").alias("__key"), "__sketch")
-    rest = stage(
-        _mixed_pairs(grouped.join(mixed, ["__band", "__bucket"]), sketches, percent)
-        .join(star, ["src", "dst"], "left_anti"),
-        "rest",
+    sketches = classes.select(
+        F.col("__rep").alias("__key"), F.col("n_shingles").alias("__size"), "__sketch"
     )
-    more = stage(_confirmed(rest, texts, words, percent), "links")
-    if not more.isEmpty():
-        found = components(links.union(more))
+    tested, nearest = star, True
+    while True:
+        mixed = _mixed(members, found)
+        if mixed.isEmpty():
+            break
+        known = sketches
+        if not nearest:
+            known = sketches.join(_small_sets(texts, mixed, words), "__key")
+        pairs = stage(
+            _mixed_pairs(mixed, known, percent, nearest).join(tested, ["src", "dst"], "left_anti"), "pairs"
+        )
+        tested = tested.union(pairs)
+        more = stage(_confirmed(pairs, texts, words, percent), "links")
+        linked = not more.isEmpty()
+        if linked:
+            links = links.union(more)
+            found = components(links)
+        if not nearest:
+            break
+        nearest = linked
     rep = classes.select(F.col("__fa").alias("__ca"), F.col("__fb").alias("__cb"), "__rep")
     of = rep.join(found, rep["__rep"] == found["id"], "left").select(
         "__ca", "__cb", F.coalesce("component", "__rep").alias("__component")
