@@ -115,7 +115,8 @@ def components(edges: DataFrame) -> DataFrame:
             "edges",
         )
         if (new := _state(after)) == state:
-            return after.select(src.alias("id"), dst.alias("component"))
+            roots = after.select(dst.alias("id"), dst.alias("component")).distinct()
+            return after.select(src.alias("id"), dst.alias("component")).union(roots)
         now, state = after, new
     raise RuntimeError("components did not settle")
 
