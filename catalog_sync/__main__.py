@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     build.add_argument("--csv", help="also write the tables as CSV files here")
     build.add_argument("--year", type=int, help="only movies released in this year")
     build.add_argument("--since-id", type=int, help="only ids above this one")
+    build.add_argument("--max-pages", type=int, help="with --year: so many pages of 20, most popular first")
     load = command("load-csv", "CSV files to the four tables", landing=False)
     load.add_argument("--csv", required=True)
     load.add_argument("--initial", action="store_true", help="empty the tables first")
@@ -44,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     search = command("search", "list matching movies, add one of them with --select")
     search.add_argument("query")
     search.add_argument("--select", type=int, default=0)
+    search.add_argument("--page", type=int, default=1)
+    search.add_argument("--page-size", type=int, default=20)
     sync = command("sync", "refresh, then add-new")
     sync.add_argument("--period", default="week")
     stream = command("stream", "sync new landing files, then stop")
@@ -52,6 +55,12 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _print(df: DataFrame) -> None:
+    """All rows, one JSON object a line."""
+    for row in df.toJSON().toLocalIterator():
+        print(row)
+
+
 def _finish(store: SnapshotStore, changes: Changes) -> None:
     if changes.replace or changes.append:
         print(jobs.publish(store, changes))
@@ -64,9 +73,11 @@ def _finish(store: SnapshotStore, changes: Changes) -> None:
         log.unpersist()
 
 
-def _requested(landing: Landing, year: int | None, since_id: int | None) -> DataFrame | None:
+def _requested(
+    landing: Landing, year: int | None, since_id: int | None, max_pages: int | None
+) -> DataFrame | None:
     if year:
-        return jobs.discover(landing, year=year, since_id=since_id)
+        return jobs.discover(landing, year=year, since_id=since_id, max_pages=max_pages)
     return above_id(landing.details.select("id"), "id", since_id) if since_id else None
 
 
@@ -78,7 +89,7 @@ def main(argv: list[str] | None = None) -> None:
     now = dt.datetime.now()
     tables = jobs.current_tables(store)
     if args.command == "build":
-        changes = jobs.initial_build(landing, _requested(landing, args.year, args.since_id))
+        changes = jobs.initial_build(landing, _requested(landing, args.year, args.since_id, args.max_pages))
         if args.csv:
             write_catalog(changes.replace, args.csv)
         _finish(store, changes)
@@ -91,17 +102,19 @@ def main(argv: list[str] | None = None) -> None:
         _finish(store, jobs.add_new(tables, landing, args.period))
     elif args.command == "search":
         if args.select:
-            _finish(store, jobs.search_and_add(tables, landing, args.query, args.select))
+            chosen = (args.query, args.select, args.page_size, args.page)
+            _finish(store, jobs.search_and_add(tables, landing, *chosen))
         else:
-            lines = jobs.search(tables, landing, args.query).orderBy(F.col("ordinal"))
-            lines.select("line", "genre_line").show(truncate=False)
+            page = jobs.search(tables, landing, args.query, args.page_size, args.page)
+            lines = page.orderBy(F.col("ordinal"))
+            _print(lines.select("line", "genre_line"))
     elif args.command == "sync":
         print(*jobs.sync(store, landing, args.period, now), sep="\n")
     elif args.command == "stream":
         stream_catalog(spark, args.landing, store, args.checkpoint).awaitTermination()
     else:
-        table_profile(tables).show(1000, truncate=False)
-        key_audit(tables, KEYS, FOREIGN_KEYS).show(1000, truncate=False)
+        _print(table_profile(tables))
+        _print(key_audit(tables, KEYS, FOREIGN_KEYS))
 
 
 if __name__ == "__main__":

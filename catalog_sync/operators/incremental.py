@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from catalog_sync.functions import genre_line, listing_line, literal_for, or_default
 from catalog_sync.operators.dedup import top_n
 from catalog_sync.operators.shape import usable_id
-from catalog_sync.schemas import LATEST_INITIAL_YEAR, MAX_PAGES_PER_YEAR, NO_DATE
+from catalog_sync.schemas import NO_DATE
 
 
 def watermark_frame(df: DataFrame, column: str, ceiling: dt.date | None = None) -> DataFrame:
@@ -95,10 +95,12 @@ def stalest_page(
 
 
 def page_results(
-    pages: DataFrame, max_pages: int, request: Sequence[str] = ()
+    pages: DataFrame, max_pages: int | None = None, request: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of the result pages, up to the page cap; ``request`` columns say what was asked."""
-    wanted = pages.filter(F.col("page") <= F.least(F.col("total_pages"), F.lit(max_pages)))
+    """Rows of the result pages, of all of them unless there is a page cap; ``request`` columns
+    say what was asked."""
+    last = F.col("total_pages") if max_pages is None else F.least("total_pages", F.lit(max_pages))
+    wanted = pages.filter(F.col("page") <= last)
     return wanted.select(*request, "page", F.inline("results"))
 
 
@@ -108,40 +110,54 @@ def discover_ids(
     date: str = "release_date",
     sort: Sequence[Column] | None = None,
     year: int | None = None,
-    latest_year: int | None = LATEST_INITIAL_YEAR,
+    latest_year: int | None = None,
     since_id: int | None = None,
-    max_pages: int = MAX_PAGES_PER_YEAR,
+    max_pages: int | None = None,
     page_size: int = 20,
     flags: Sequence[str] = ("adult", "video"),
 ) -> DataFrame:
-    """Ids to process, ascending: the most popular rows of each year, from the earliest year on
-    (the lower bound is the data itself) or of one year. The listing holds each id once. The
-    high-water filter comes after the cap, as it looks at pages already fetched."""
+    """Ids to process, ascending, of all years or of one. With ``max_pages`` only the most popular
+    rows of each year, up to so many pages. The listing holds each id once. The high-water filter
+    comes after the cap, as it looks at pages already fetched."""
     order = sort or [F.col("popularity").desc_nulls_last(), F.col(id_)]
     df = in_years(exclude_flags(df, flags), date, year, year or latest_year)
-    listed = df.withColumn("_year", F.year(date))
-    ranked = top_n(listed, ["_year"], order, max_pages * page_size, row_id=[id_])
+    ranked = df.filter(F.col(date).isNotNull())
+    if max_pages is not None:
+        listed = ranked.withColumn("_year", F.year(date))
+        ranked = top_n(listed, ["_year"], order, max_pages * page_size, row_id=[id_])
     ids = above_id(ranked.filter(usable_id(F.col(id_))), id_, since_id)
     return sorted_ids(ids, id_)
 
 
+def is_id(query: str) -> bool:
+    return query.isascii() and query.isdigit()
+
+
 def title_search(
     df: DataFrame,
     query: str,
     id_: str = "id",
     title: str = "title",
     popularity: str = "popularity",
-    page_size: int = 20,
+    page_size: int | None = None,
     flags: Sequence[str] = (),
+    page: int = 1,
 ) -> DataFrame:
-    """Digits look up an id; any other text matches inside the title, ignoring case. A title
-    search shows one page, the most popular first."""
-    if query.isdigit():
+    """ASCII digits look up an id; any other text matches inside the title, ignoring case. All hits,
+    or with ``page_size`` the given page of them, the most popular first."""
+    if is_id(query):
         return df.filter(F.col(id_) == int(query))
     hits = exclude_flags(df, flags).filter(
         F.contains(F.lower(title), F.lower(F.lit(query)))
     )
-    return hits.orderBy(F.col(popularity).desc_nulls_last(), F.col(id_)).limit(page_size)
+    return hits if page_size is None else title_page(hits, page_size, page, id_, popularity)
+
+
+def title_page(
+    hits: DataFrame, page_size: int, page: int = 1, id_: str = "id", popularity: str = "popularity"
+) -> DataFrame:
+    order = [F.col(popularity).desc_nulls_last(), F.col(id_)]
+    return hits.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
 
 
 def listing(

@@ -88,10 +88,14 @@ def genre_string(genres: Column) -> Column:
     return F.when(F.size(names) == 0, NO_GENRES).otherwise(F.array_join(names, ", "))
 
 
-def cast_credits(cast: Column, legacy_labels: bool = False) -> Column:
-    """First eight cast members as credit structs. The cut comes before the id check, so an
-    entry without id uses up its place."""
-    top = first_by_position(or_empty(cast, CAST_ARRAY), MAX_CAST)
+def cast_credits(
+    cast: Column, legacy_labels: bool = False, max_cast: int | None = MAX_CAST
+) -> Column:
+    """First ``max_cast`` cast members (all, if None) as credit structs. The cut comes before the id
+    check, so an entry without id uses up its place."""
+    top = or_empty(cast, CAST_ARRAY)
+    if max_cast is not None:
+        top = first_by_position(top, max_cast)
     kept = distinct_by(F.filter(top, lambda p: usable_id(p["id"])), "id", CAST_ARRAY)
     label = (lambda v: F.lit(None).cast("string")) if legacy_labels else F.lit
     return F.transform(
@@ -122,8 +126,10 @@ def crew_credits(crew: Column) -> Column:
     return F.filter(F.array(credit), lambda c: usable_id(c["person_id"]))
 
 
-def credit_list(df_cast: Column, df_crew: Column, legacy_labels: bool = False) -> Column:
-    return F.concat(cast_credits(df_cast, legacy_labels), crew_credits(df_crew))
+def credit_list(
+    df_cast: Column, df_crew: Column, legacy_labels: bool = False, max_cast: int | None = MAX_CAST
+) -> Column:
+    return F.concat(cast_credits(df_cast, legacy_labels, max_cast), crew_credits(df_crew))
 
 
 def latest_documents(docs: DataFrame, key: str) -> DataFrame:

@@ -23,6 +23,8 @@ from catalog_sync.operators.incremental import (
     newest_first,
     page_results,
     since,
+    is_id,
+    title_page,
     title_search,
     watermark,
 )
@@ -63,9 +65,7 @@ from catalog_sync.operators.upsert import (
     upsert,
 )
 from catalog_sync.schemas import (
-    CSV_COLUMNS,
     KEYS,
-    MAX_PAGES_SINCE_DATE,
     REQUIRED_FIELDS,
     TABLES,
     UPDATABLE_MOVIE_COLUMNS,
@@ -328,8 +328,8 @@ def release_listing(landing: Landing) -> DataFrame:
     )
 
 
-def release_pages(pages: DataFrame, max_pages: int = MAX_PAGES_SINCE_DATE) -> DataFrame:
-    """The same listing from fetched result pages, up to a page cap."""
+def release_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """The same listing from fetched result pages, of all of them unless there is a page cap."""
     rows = page_results(pages, max_pages).filter(usable_id(F.col("id")))
     return rows.withColumn("release_date", parse_date(F.col("release_date"))).drop("page")
 
@@ -373,10 +373,13 @@ def add_new(
 # --- search -----------------------------------------------------------------------------
 
 
-def search(tables: Tables, landing: Landing, query: str, page_size: int = 20) -> DataFrame:
-    """Numbered listing of matching movies the catalog lacks."""
+def search(
+    tables: Tables, landing: Landing, query: str, page_size: int = 20, page: int = 1
+) -> DataFrame:
+    """Numbered listing of a page of the matching movies the catalog lacks: known movies take no
+    place, and every match is on some page."""
     docs = landing.details
-    if query.isdigit():
+    if is_id(query):
         docs = docs.filter(F.col("id") == int(query))
     else:
         # Any version of a document may match, only the newest counts: narrow to ids with a
@@ -388,10 +391,10 @@ def search(tables: Tables, landing: Landing, query: str, page_size: int = 20) ->
         *typed_movie_columns(), "adult", genre_string(F.col("genres")).alias("genre_names"),
         F.col("release_date").alias("release_text"),
     )
-    hits = stage(title_search(latest, query, page_size=page_size, flags=("adult",)), "search-page")
+    hits = stage(title_search(latest, query, flags=("adult",)), "search-hits")
     fresh = exclude_existing(hits, tables["movies"], ["id"])
     return listing(
-        fresh,
+        stage(title_page(fresh, page_size, page), "search-page"),
         [F.col("popularity").desc_nulls_last(), F.col("id")],
         date=F.col("release_text"),
         genres=F.col("genre_names"),
@@ -399,12 +402,12 @@ def search(tables: Tables, landing: Landing, query: str, page_size: int = 20) ->
 
 
 def search_and_add(
-    tables: Tables, landing: Landing, query: str, select: int = 1, page_size: int = 20
+    tables: Tables, landing: Landing, query: str, select: int = 1, page_size: int = 20, page: int = 1
 ) -> Changes:
-    """Add the movie listed under number ``select`` (0 cancels)."""
+    """Add the movie listed under number ``select`` of the page (0 cancels)."""
     if select == 0:
         return Changes()
-    chosen = search(tables, landing, query, page_size).filter(F.col("ordinal") == select)
+    chosen = search(tables, landing, query, page_size, page).filter(F.col("ordinal") == select)
     return add_documents(tables, landing, chosen.select("id"))
 
 
@@ -437,13 +440,16 @@ def sync_documents(tables: Tables, landing: Landing, as_of: dt.datetime) -> Chan
     new = keep_unknown(docs, known, ["id"], unique=True)
     append = _insert_rows(new)
     replace: dict[str, DataFrame] = {}
-    refreshing = not changed.isEmpty()
-    if refreshing:
+    if not changed.isEmpty():
         replace = _update_rows(tables, changed, as_of)
     if landing.persons is not None:
+        # People are upserted whatever else the documents hold; a table is appended to where none
+        # of them is known.
         credits = _credits_of(changed).unionByName(append["credits"])
-        if refreshing:
-            replace["people"] = _upsert_people(tables, credits, landing.persons)
+        people = stage(needed_people(credits, landing.persons), "people")
+        if existing_keys(people.select("id"), tables["people"], ["id"]).isEmpty():
+            append["people"] = people
         else:
-            append["people"] = needed_people(credits, landing.persons, tables["people"])
+            columns = [c for c in TABLES["people"] if c != "id"]
+            replace["people"] = upsert(tables["people"], people, ["id"], columns)
     return Changes(replace, append)

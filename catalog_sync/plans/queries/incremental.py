@@ -29,7 +29,7 @@ from catalog_sync.operators.joins import attach_first_children, exclude_existing
 from catalog_sync.operators.quality import row_counts
 from catalog_sync.plans.queries.picks import _LINE_ORDER_SQL, line_order
 from catalog_sync.plans.registry import query, table
-from catalog_sync.schemas import MAX_PAGES_SINCE_DATE
+from catalog_sync.schemas import MAX_PAGES_PER_YEAR, MAX_PAGES_SINCE_DATE
 
 CUT = dt.date(2001, 1, 1)
 PAGE_SIZE = 20
@@ -153,6 +153,24 @@ def part_search(spark, d):
     return union_rows(by_title, title_search(parts, "42", **columns)).drop("adult")
 
 
+_RING = "SELECT p_partkey, p_name, p_retailprice FROM part WHERE contains(lower(p_name), 'ring')"
+
+
+@query("title_search_all", _RING)
+def part_search_all(spark, d):
+    parts = table(spark, d, "part").select("p_partkey", "p_name", "p_retailprice")
+    return title_search(parts, "Ring", "p_partkey", "p_name", "p_retailprice")
+
+
+@query(
+    "title_search_page_2",
+    f"{_RING} ORDER BY p_retailprice DESC, p_partkey LIMIT {PAGE_SIZE} OFFSET {PAGE_SIZE}",
+)
+def part_search_page_2(spark, d):
+    parts = table(spark, d, "part").select("p_partkey", "p_name", "p_retailprice")
+    return title_search(parts, "Ring", "p_partkey", "p_name", "p_retailprice", PAGE_SIZE, page=2)
+
+
 @query(
     "numbered_listing",
     f"""
@@ -267,5 +285,16 @@ def discovered_orders_of_year(spark, d):
         date="o_orderdate",
         sort=[F.col("o_totalprice").desc(), F.col("o_orderkey")],
         year=1999,
+        max_pages=MAX_PAGES_PER_YEAR,
         flags=[],
     )
+
+
+@query(
+    "discover_all_years",
+    """SELECT o_orderkey FROM orders WHERE o_orderkey <> 0 AND o_orderstatus <> 'P'
+       AND o_orderdate IS NOT NULL ORDER BY o_orderkey""",
+)
+def discovered_orders_of_all_years(spark, d):
+    orders = table(spark, d, "orders").withColumn("adult", F.col("o_orderstatus") == "P")
+    return discover_ids(orders, id_="o_orderkey", date="o_orderdate", flags=["adult"])

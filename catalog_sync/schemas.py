@@ -80,8 +80,6 @@ CAST_DEPARTMENT = "Acting"
 CAST_JOB = "Actor"
 NO_DATE = "N/A"
 NO_GENRES = "No genres"
-UNKNOWN_CHARACTER = "Unknown"
-LATEST_INITIAL_YEAR = 2023
 MAX_PAGES_PER_YEAR = 300
 MAX_PAGES_SINCE_DATE = 20
 RESPONSE_TTL_SECONDS = 3600

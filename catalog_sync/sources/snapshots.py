@@ -9,7 +9,9 @@ With ``buckets`` the tables that hold a key once are stored clustered by it, so
 the key shuffles the other side only. Child tables are not: one parent may own a large share of
 their rows, and a bucket cannot be split the way a shuffled partition can.
 
-One publisher at a time; readers need no coordination.
+A version's record is created exclusively: of two publishers from one version the second finds
+it taken before anything of its own is visible, and commits on top of the first. Only where
+both replaced the same table does it fail. Readers need no coordination.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -127,23 +130,32 @@ class SnapshotStore:
     ) -> Published:
         """Write the given tables, then make them current in one step. Tables not named carry
         over. Row counts are taken while writing."""
-        record = self._manifest()
-        entries = {t.name: t for t in record.tables} if record else {}
-        version = (record.version if record else 0) + 1
-        tables = {n: (e.columns, [tuple(p) for p in e.parts]) for n, e in entries.items()}
+        base = self._layout()
+        version = base[0] + 1
         rows: dict[str, int] = {}
+        replaced: dict[str, tuple] = {}
+        appended: dict[str, tuple] = {}
         for name, df in (replace or {}).items():
             part, rows[name] = self._write(name, df, version)
-            tables[name] = (df.schema.json(), [part])
+            replaced[name] = (df.schema.json(), part)
         for name, df in (append or {}).items():
-            columns, parts = tables.get(name, (df.schema.json(), []))
-            if name in entries:
+            known = replaced.get(name) or base[1].get(name)
+            columns = known[0] if known else df.schema.json()
+            if name in base[1]:
                 df = df.select(*[f["name"] for f in json.loads(columns)["fields"]])
             part, written = self._write(name, df, version)
             rows[name] = rows.get(name, 0) + written
-            tables[name] = (columns, [*parts, part] if written or not parts else parts)
-        self._commit(version, tables, stream, batch)
-        return Published(version, rows)
+            appended[name] = (columns, part, written)
+        return Published(self._commit(base, replaced, appended, stream, batch), rows)
+
+    def _layout(self) -> tuple[int, dict[str, tuple]]:
+        """Newest version, and the schema and parts of its tables."""
+        record = self._manifest()
+        if record is None:
+            return 0, {}
+        return record.version, {
+            t.name: (t.columns, [tuple(p) for p in t.parts]) for t in record.tables
+        }
 
     def _write(self, name: str, df: DataFrame, version: int) -> tuple[tuple, int]:
         path = f"{name}/v={version}-{uuid.uuid4().hex[:8]}"
@@ -160,16 +172,49 @@ class SnapshotStore:
         writer.option("path", f"{self.root}/{path}").saveAsTable(_catalog_name(path))
         return (path, key, self.buckets), seen.get["rows"]
 
-    def _commit(self, version, tables, stream, batch) -> None:
-        record = (
-            version,
-            stream,
-            batch,
-            [(name, columns, parts) for name, (columns, parts) in tables.items()],
-        )
-        # One task, one file: the committer's rename makes the record appear whole or not at all.
-        frame = self.spark.createDataFrame([record], _MANIFEST).coalesce(1)
-        frame.write.mode("append").json(f"{self.root}/manifests")
-        written = self._manifests().filter(F.col("version") == version).count()
-        if written != 1:
-            raise RuntimeError(f"{written} publishers wrote version {version} of {self.root}")
+    def _commit(
+        self, base: tuple, replaced: dict, appended: dict, stream: str | None, batch: int | None
+    ) -> int:
+        """Record the written parts on top of the newest version, which may not be ``base``."""
+        now = base
+        while True:
+            version, tables = now[0] + 1, dict(now[1])
+            for name, (columns, part) in replaced.items():
+                if now[1].get(name) != base[1].get(name):
+                    raise RuntimeError(
+                        f"version {now[0]} of {self.root} changed {name} while it was replaced"
+                    )
+                tables[name] = (columns, [part])
+            for name, (columns, part, written) in appended.items():
+                columns, parts = tables.get(name, (columns, []))
+                tables[name] = (columns, [*parts, part] if written or not parts else parts)
+            named = ("path", "bucket_key", "buckets")
+            record = {
+                "version": version, "stream": stream, "batch": batch,
+                "tables": [
+                    {"name": name, "columns": columns, "parts": [dict(zip(named, p, strict=True)) for p in parts]}
+                    for name, (columns, parts) in tables.items()
+                ],
+            }
+            if self._create(f"manifests/v={version}.json", json.dumps(record) + "\n"):
+                return version
+            now = self._layout()
+            if now[0] < version:
+                raise RuntimeError(f"manifests/v={version}.json of {self.root} holds no record: remove it")
+
+    def _create(self, name: str, text: str) -> bool:
+        """Write a small file unless there is one of this name."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in str(e.java_exception):
+                return False
+            raise
+        try:
+            out.write(text.encode())
+        finally:
+            out.close()
+        return True

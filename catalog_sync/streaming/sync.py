@@ -1,7 +1,8 @@
 """New landing files -> newest row per key -> upsert into the snapshot store.
 
-Each micro-batch is one publish that records the stream's batch number, so a batch replayed after
-a failure is recognised and skipped. ``availableNow`` makes a run take what is there and stop,
+Each micro-batch is one publish that records the checkpoint's id and the batch number, so a batch
+replayed after a failure is recognised and skipped. Batches are upserts by newest fetch: a new
+checkpoint reapplies them all without harm. ``availableNow`` makes a run take what is there and stop,
 which is how a scheduler drives a sync; a processing-time trigger keeps it running.
 """
 
@@ -23,17 +24,25 @@ from catalog_sync.sources.landing import DOCUMENTS, read_documents, read_json_st
 from catalog_sync.sources.snapshots import SnapshotStore
 
 
+def stream_id(batch: DataFrame, name: str) -> str:
+    """The id that the query keeps in its checkpoint: batch numbers count within it only, so
+    a new checkpoint applies everything again, and streams into one table do not hide each other."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}@{query}"
+
+
 def _start(
     rows: DataFrame,
     store: SnapshotStore,
     name: str,
     checkpoint: str,
-    apply: Callable[[DataFrame, int], None],
+    apply: Callable[[DataFrame, dict], None],
     trigger: dict,
 ) -> StreamingQuery:
     def once(batch: DataFrame, batch_id: int) -> None:
-        if batch_id > store.last_batch(name):
-            apply(batch, batch_id)
+        stream = stream_id(batch, name)
+        if batch_id > store.last_batch(stream):
+            apply(batch, {"stream": stream, "batch": batch_id})
 
     writer = rows.writeStream.queryName(name).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).foreachBatch(once).start()
@@ -53,9 +62,8 @@ def stream_upsert(
     unknown keys only is appended; otherwise the table is rewritten."""
     order = [F.col(c).desc() for c in tie_break]
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
+    def apply(batch: DataFrame, mark: dict) -> None:
         source = stage(fresh_latest(batch, keys, fetched_at, tie_break=order), f"{table}-batch")
-        mark = {"stream": table, "batch": batch_id}
         tables = store.tables()
         if table not in tables:
             store.publish(replace={table: source}, **mark)
@@ -81,7 +89,7 @@ def stream_catalog(
     documents of a batch's movies are looked up in the landing zone at that moment."""
     details = read_json_stream(spark, f"{landing_root.rstrip('/')}/details", DOCUMENTS["details"])
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
+    def apply(batch: DataFrame, mark: dict) -> None:
         arrived = stage(batch, "details-batch")
         landing = Landing(
             arrived,
@@ -89,6 +97,6 @@ def stream_catalog(
             read_documents(spark, landing_root, "persons"),
         )
         changes = sync_documents(current_tables(store), landing, now())
-        publish(store, changes, stream="catalog", batch=batch_id)
+        publish(store, changes, **mark)
 
     return _start(details, store, "catalog", checkpoint, apply, trigger)

@@ -299,7 +299,7 @@ def test_stream_equals_batch(spark, landing_root, catalog, tmp_path, rows):
         assert rows(store.table(name)) == rows(batch.table(name)), name
 
 
-def test_replayed_batch_is_skipped(spark, tmp_path, rows):
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path, rows):
     schema = "k bigint, at timestamp, v string"
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"k": 1, "at": "2024-01-01T00:00:00Z", "v": "x"}\n')
@@ -308,5 +308,14 @@ def test_replayed_batch_is_skipped(spark, tmp_path, rows):
         spark.readStream.schema(schema).json(str(tmp_path / "in")), store, "t", ["k"], "at",
         str(tmp_path / cp)).awaitTermination()
     run("cp1")
-    run("cp2")  # a lost checkpoint replays batch 0
+    run("cp1")  # nothing new
     assert store.version() == 1 and rows(store.table("t"), "k", "v") == [(1, "x")]
+    (tmp_path / "in" / "b.json").write_text('{"k": 2, "at": "2024-01-02T00:00:00Z", "v": "y"}\n')
+    run("cp2")  # a lost checkpoint counts its batches from 0 again
+    assert rows(store.table("t"), "k", "v") == [(1, "x"), (2, "y")]
+
+
+def test_a_replayed_batch_is_skipped(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.publish(append={"t": spark.range(1)}, stream="t@one", batch=3)
+    assert store.last_batch("t@one") == 3 and store.last_batch("t@two") == -1

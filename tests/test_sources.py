@@ -182,3 +182,20 @@ def test_stage_uses_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(root)
     staged = stage(spark.range(5), "ids")
     assert staged.count() == 5 and all(root in f for f in staged.inputFiles())
+
+
+def test_two_publishers_from_one_version(spark, tmp_path):
+    root = str(tmp_path / "store")
+    SnapshotStore(spark, root).publish(replace={"a": spark.range(2), "b": spark.range(1)})
+    one, two = SnapshotStore(spark, root), SnapshotStore(spark, root)
+    base = one._layout()
+    two._layout = lambda real=two._layout, first=[base]: first.pop() if first else real()
+    one.publish(append={"a": spark.range(10, 12)})
+    assert two.publish(append={"a": spark.range(20, 21)}).version == 3
+    ids = lambda version=None: sorted(r.id for r in one.table("a", version).collect())
+    assert ids() == [0, 1, 10, 11, 20] and ids(2) == [0, 1, 10, 11]
+    late = SnapshotStore(spark, root)
+    late._layout = lambda real=late._layout, first=[base]: first.pop() if first else real()
+    with pytest.raises(RuntimeError, match="changed a"):
+        late.publish(replace={"a": spark.range(5)})
+    assert ids() == [0, 1, 10, 11, 20] and one.version() == 3
