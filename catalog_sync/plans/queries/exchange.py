@@ -27,6 +27,60 @@ def csv_round_trip(spark, d):
     return cells.select(*[F.col(c).try_cast(kinds[c]).alias(c) for c in documents.columns])
 
 
+@query(
+    "csv_mixed_headers",
+    """SELECT doc_id, lang, CASE WHEN doc_id % 3 <> 0 THEN source END AS source FROM documents""",
+)
+def csv_mixed_headers(spark, d):
+    """Files of one folder with other column orders, and one kind that lacks a column."""
+    cells = table(spark, d, "documents").select(F.col("doc_id").cast("string"), "lang", "source")
+    path = scratch_dir(spark, "csv")
+    turn = F.col("doc_id").cast("long") % 3
+    write_text_cells(cells.filter(turn == 0).drop("source"), path)
+    write_text_cells(cells.filter(turn == 1).select("source", "doc_id", "lang"), path, "append")
+    write_text_cells(cells.filter(turn == 2), path, "append")
+    return read_text_cells(spark, path).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", "source"
+    )
+
+
+@query(
+    "csv_bad_lines",
+    r"""SELECT 'kept' AS state, count(*) AS n, count(text) AS texts,
+               coalesce(sum(length(text)), 0)::BIGINT AS chars
+        FROM (SELECT CASE WHEN doc_id % 4 <> 1 THEN replace(text, '"', '') || '\end' END AS text
+              FROM documents WHERE doc_id % 4 <> 3)
+        UNION ALL
+        SELECT 'overlong', count(*), 0, 0 FROM documents WHERE doc_id % 4 = 3""",
+)
+def csv_bad_lines(spark, d):
+    """Padding and backslashes, short lines (no text) and lines with a field too many."""
+    documents = table(spark, d, "documents")
+    escaped = lambda c: F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('""'))
+    quoted = lambda c: F.concat(F.lit('"'), escaped(c), F.lit('"'))
+    kind = F.col("doc_id") % 4
+    key = quoted(F.col("doc_id").cast("string"))
+    cell = quoted(F.concat(F.replace("text", F.lit('"')), F.lit("\\end")))
+    line = (
+        F.when(kind == 1, key)
+        .when(kind == 3, F.concat_ws(",", key, cell, F.lit('"extra"')))
+        .otherwise(F.concat(key, F.lit(",  "), cell))
+    )
+    path = scratch_dir(spark, "csv")
+    documents.select(line.alias("doc_id,text")).write.options(
+        header="true", quote="", escape="\u0002", sep="\u0001", ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+    ).csv(path)
+    kept = read_text_cells(spark, path)
+    over = read_text_cells(spark, path, overlong=True)
+    count = lambda df, state: df.select(
+        F.lit(state).alias("state"), F.count(F.lit(1)).alias("n"), F.count("text").alias("texts"),
+        F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("long").alias("chars"),
+    )
+    lost = over.withColumn("text", F.lit(None).cast("string"))
+    return count(kept, "kept").union(count(lost, "overlong"))
+
+
 @query("json_landing", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def json_landing(spark, d):
     events = table(spark, d, "events")

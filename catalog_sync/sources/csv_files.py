@@ -6,7 +6,10 @@ read as text and typed afterwards, so bad cells turn into NULL under our rules,
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,8 +66,22 @@ def _read_options(multi_line: bool) -> dict[str, str]:
     }
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(header="true", quote='"', escape='"').csv(path).columns
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Columns of the header line -> files that have it. One row per file reaches the driver; files
+    without any line are left out."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("at"),
+    )
+    first = lines.where("at.start = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").collect():
+        names = tuple(next(csv.reader([row.line.removeprefix("\ufeff")], skipinitialspace=True), ()))
+        found.setdefault(names, []).append(unquote(row.file))
+    return found
 
 
 def read_text_cells(
@@ -72,16 +89,27 @@ def read_text_cells(
     path: str,
     columns: list[str] | None = None,
     multi_line: bool = True,
+    overlong: bool = False,
 ) -> DataFrame:
     """All cells as text plus ``_ordinal``, the row's place in the input (file, offset, line).
 
-    Lines with too many fields are skipped, short ones padded with NULL. A file whose cells hold
-    newlines must be read whole by one task (``multi_line``), so large tables should come as many
-    files; with ``multi_line=False`` Spark splits files freely.
+    Each file's own header names its columns; columns that a file lacks are NULL. Lines with too many
+    fields are skipped (``overlong``: these instead of the others), short ones padded with NULL. A
+    file whose cells hold newlines must be read whole by one task (``multi_line``), so large tables
+    should come as many files; with ``multi_line=False`` Spark splits files freely.
     """
-    columns = columns or header_columns(spark, path)
+    groups = {tuple(columns): [path]} if columns else headers(spark, path)
+    if not groups:
+        raise ValueError(f"no header line in {path}")
+    parts = [_cells(spark, files, list(names), multi_line, overlong) for names, files in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _cells(
+    spark: SparkSession, files: list[str], columns: list[str], multi_line: bool, overlong: bool
+) -> DataFrame:
     schema = ", ".join(f"`{c}` STRING" for c in [*columns, _EXTRA])
-    raw = spark.read.schema(schema).options(**_read_options(multi_line)).csv(path)
+    raw = spark.read.schema(schema).options(**_read_options(multi_line)).csv(files)
     ordinal = F.struct(
         F.col("_metadata.file_path"),
         F.col("_metadata.file_block_start"),
@@ -89,8 +117,8 @@ def read_text_cells(
     )
     return (
         raw.select("*", ordinal.alias(ORDINAL))
-        .filter(F.col(_EXTRA).isNull())
-        .select(*[_unescape(F.col(c)).alias(c) for c in columns], ORDINAL)
+        .filter(F.col(_EXTRA).isNotNull() if overlong else F.col(_EXTRA).isNull())
+        .select(*[_unescape(F.col(c)).alias(c) for c in [*columns, *[_EXTRA] * overlong]], ORDINAL)
     )
 
 
@@ -98,11 +126,11 @@ def _unescape(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("\\")), F.regexp_replace(c, r"(?s)\\(.)", "$1")).otherwise(c)
 
 
-def check_header(table: str, columns: list[str]) -> None:
+def check_header(table: str, columns: list[str], file: str | None = None) -> None:
     """Key columns must be there, other missing columns are filled with NULL."""
     missing = [c for c in KEYS[table] if c not in columns]
     if missing:
-        raise ValueError(f"{table}.csv lacks required columns {missing}")
+        raise ValueError(f"{file or table + '.csv'} lacks required columns {missing}")
 
 
 def typed_rows(cells: DataFrame, table: str) -> DataFrame:
@@ -131,9 +159,23 @@ def typed_rows(cells: DataFrame, table: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Typed rows of one catalog CSV (a file or a folder of files), with ``_ordinal``."""
     table = table_of(path)
-    columns = header_columns(spark, path)
-    check_header(table, columns)
-    return typed_rows(read_text_cells(spark, path, columns, multi_line), table)
+    groups = headers(spark, path)
+    for columns, files in groups.items():
+        check_header(table, list(columns), f"{table}.csv ({files[0]})")
+    parts = [_cells(spark, files, list(names), multi_line, False) for names, files in groups.items()]
+    if not parts:
+        raise ValueError(f"no header line in {path}")
+    cells = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return typed_rows(cells, table)
+
+
+def overlong_lines(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The lines that ``read_table`` skips for their excess fields: file and the cells as text."""
+    cells = read_text_cells(spark, path, multi_line=multi_line, overlong=True)
+    names = [c for c in cells.columns if c != ORDINAL]
+    return cells.select(
+        F.col(f"{ORDINAL}.file_path").alias("file"), F.to_json(F.struct(*names)).alias("cells")
+    )
 
 
 def read_catalog(spark: SparkSession, root: str, multi_line: bool = True) -> dict[str, DataFrame]:

@@ -64,6 +64,20 @@ def test_csv_missing_columns(spark, tmp_path):
         csv_files.read_table(spark, str(tmp_path / "other.csv"))
 
 
+def test_each_file_has_its_own_header(spark, tmp_path, rows):
+    folder = tmp_path / "genres.csv"
+    write(folder / "a.csv", '"movie_id","genre_name"\n"1","Drama"\n')
+    write(folder / "b c.csv", '"genre_name","movie_id"\n"War","2"\n"x","3","over"\n')
+    write(folder / "empty.csv", "")
+    read = csv_files.read_table(spark, str(folder))
+    assert rows(read, "movie_id", "genre_name") == [(1, "Drama"), (2, "War")]
+    lost = csv_files.overlong_lines(spark, str(folder)).collect()
+    assert len(lost) == 1 and "over" in lost[0].cells and lost[0].file.endswith("c.csv")
+    write(folder / "d.csv", '"genre_name"\n"War"\n')
+    with pytest.raises(ValueError, match="d.csv"):
+        csv_files.read_table(spark, str(folder))
+
+
 def movie_row(**values):
     return tuple(values.get(c) for c in TABLES["movies"])
 
