@@ -18,11 +18,12 @@ Members of one component are never paired again: a group of near copies gives fe
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -197,38 +198,75 @@ def _mixed_pairs(
         rows.join(meet.where("__i < __j").withColumn("__block", F.col("__j")), [*bucket, "__block"])
     )
 
-    def compare(group, pdf):
-        i, j = group[2], group[3]
-        a, b = pdf[pdf["__block"] == i], pdf[pdf["__block"] == j]
-        one, two = (
-            np.frombuffer(b"".join(x["__sketch"]), dtype=np.uint16).reshape(len(x), BINS) for x in (a, b)
-        )
-        large = np.maximum.outer(a["__size"].to_numpy(), b["__size"].to_numpy())
-        small = np.minimum.outer(a["__size"].to_numpy(), b["__size"].to_numpy())
-        same = np.stack([(two == row).sum(axis=1) for row in one])
-        apart = np.not_equal.outer(a["__component"].to_numpy(), b["__component"].to_numpy())
-        near = apart & (same >= _least(large, percent)) & (100 * small >= percent * large)
-        if nearest:
-            same = np.where(near, same, -1)
-            best = np.zeros_like(near)
-            best[np.arange(len(a)), same.argmax(axis=1)] = True
-            best[same.argmax(axis=0), np.arange(len(b))] = True
-            near &= best
-        left, right = np.nonzero(near)
-        if not nearest:
-            shared = (one[left] == two[right]).reshape(len(left), BANDS, ROWS).all(axis=2)
-            first = ~shared[:, : group[0]].any(axis=1)
-            left, right = left[first], right[first]
-            mine, other = a["__set"].to_numpy(), b["__set"].to_numpy()
-            held = [_settled(mine[x], other[y], percent) for x, y in zip(left, right, strict=True)]
-            left, right = left[held], right[held]
-        left, right = a["__key"].to_numpy()[left], b["__key"].to_numpy()[right]
-        return pd.DataFrame({"src": np.minimum(left, right), "dst": np.maximum(left, right)}).drop_duplicates()
+    names = [*bucket, "__i", "__j", "__block", "__key", "__component", "__size", "__sketch"]
+    names += ["__set"] * ("__set" in sketches.columns)
+
+    def compare(batches):
+        for group in _groups(batches, 4):
+            i, j = group.column(2)[0], group.column(3)[0]
+            a, b = (group.filter(pc.equal(group.column(4), x)) for x in (i, j))
+            one, two = (
+                np.frombuffer(b"".join(x.column(8).to_pylist()), dtype=np.uint16).reshape(len(x), BINS)
+                for x in (a, b)
+            )
+            (mine, of, sizes), (other, of2, sizes2) = (
+                [x.column(k).to_numpy() for k in (5, 6, 7)] for x in (a, b)
+            )
+            large, small = np.maximum.outer(sizes, sizes2), np.minimum.outer(sizes, sizes2)
+            near = np.not_equal.outer(of, of2) & (100 * small >= percent * large)
+            if not near.any():
+                continue
+            same = np.stack([np.count_nonzero(two == row, axis=1) for row in one])
+            near &= same >= _least(large, percent)
+            if nearest:
+                same = np.where(near, same, -1)
+                best = np.zeros_like(near)
+                best[np.arange(len(a)), same.argmax(axis=1)] = True
+                best[same.argmax(axis=0), np.arange(len(b))] = True
+                near &= best
+            left, right = np.nonzero(near)
+            if not nearest and len(left):
+                shared = (one[left] == two[right]).reshape(len(left), BANDS, ROWS).all(axis=2)
+                first = ~shared[:, : group.column(0)[0].as_py()].any(axis=1)
+                left, right = left[first], right[first]
+                sets, sets2 = a.column(9).to_pylist(), b.column(9).to_pylist()
+                held = [_settled(sets[x], sets2[y], percent) for x, y in zip(left, right, strict=True)]
+                held = np.array(held, dtype=bool)
+                left, right = left[held], right[held]
+            left, right = mine[left], other[right]
+            found = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1), axis=0)
+            if len(found):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["src", "dst"]
+                )
 
     # Dealt out by count: comparing takes time that the rows' size does not show.
-    met = met.repartition(partitions(members.sparkSession), *bucket, "__i", "__j")
-    pairs = met.groupBy(*bucket, "__i", "__j").applyInPandas(compare, "src long, dst long")
-    return pairs.distinct()
+    keys = [*bucket, "__i", "__j"]
+    met = met.repartition(partitions(members.sparkSession), *keys).sortWithinPartitions(*keys)
+    return met.select(*names).mapInArrow(compare, "src long, dst long").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows that agree on the first ``keys`` columns, of sorted batches."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if not len(table):
+            continue
+        values = np.stack([table.column(i).to_numpy() for i in range(keys)], axis=1)
+        cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist(), len(table)]
+        if held and tuple(values[0]) != last:
+            yield pa.concat_tables(held).combine_chunks()
+            held = []
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            held.append(table.slice(start, end - start))
+            if end < len(table):
+                yield pa.concat_tables(held).combine_chunks()
+                held = []
+        last = tuple(values[-1])
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
 
 
 def _repeated_keys(filled: DataFrame, classes: DataFrame) -> DataFrame:
