@@ -446,10 +446,20 @@ def sync_documents(tables: Tables, landing: Landing, as_of: dt.datetime) -> Chan
         # People are upserted whatever else the documents hold; a table is appended to where none
         # of them is known.
         credits = _credits_of(changed).unionByName(append["credits"])
-        people = stage(needed_people(credits, landing.persons), "people")
-        if existing_keys(people.select("id"), tables["people"], ["id"]).isEmpty():
-            append["people"] = people
-        else:
-            columns = [c for c in TABLES["people"] if c != "id"]
-            replace["people"] = upsert(tables["people"], people, ["id"], columns)
+        people = _people_changes(tables, credits, landing.persons)
+        replace |= people.replace
+        append |= people.append
     return Changes(replace, append)
+
+
+def sync_people(tables: Tables, persons: DataFrame) -> Changes:
+    """Upsert of the person documents that the catalog's credits mention."""
+    return _people_changes(tables, tables["credits"], persons)
+
+
+def _people_changes(tables: Tables, credits: DataFrame, persons: DataFrame) -> Changes:
+    people = stage(needed_people(credits, persons), "people")
+    if existing_keys(people.select("id"), tables["people"], ["id"]).isEmpty():
+        return Changes(append={"people": people})
+    columns = [c for c in TABLES["people"] if c != "id"]
+    return Changes(replace={"people": upsert(tables["people"], people, ["id"], columns)})

@@ -10,17 +10,24 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from catalog_sync.operators.dedup import fresh_latest
-from catalog_sync.operators.joins import existing_keys
+from catalog_sync.operators.joins import existing_keys, keep_known
 from catalog_sync.operators.upsert import upsert
-from catalog_sync.plans.jobs import Landing, current_tables, publish, sync_documents
+from catalog_sync.plans.jobs import (
+    Landing,
+    current_tables,
+    publish,
+    sync_documents,
+    sync_people,
+)
 from catalog_sync.scratch import stage
-from catalog_sync.sources.landing import DOCUMENTS, read_documents, read_json_stream
+from catalog_sync.sources.landing import DOCUMENTS, read_json_stream
 from catalog_sync.sources.snapshots import SnapshotStore
 
 
@@ -85,18 +92,26 @@ def stream_catalog(
     now: Callable[[], dt.datetime] = dt.datetime.now,
     **trigger,
 ) -> StreamingQuery:
-    """Sync the four catalog tables from movie documents as they land. The credits and person
-    documents of a batch's movies are looked up in the landing zone at that moment."""
-    details = read_json_stream(spark, f"{landing_root.rstrip('/')}/details", DOCUMENTS["details"])
+    """Sync the four catalog tables as documents land. A film is synced when its details or its
+    credits arrive, whichever comes last; a person who arrives later than the credits that mention
+    them is added then. A batch looks up the documents of its films in the landing zone."""
+    root = landing_root.rstrip("/")
+
+    def arriving(kind: str, id_: str) -> DataFrame:
+        rows = read_json_stream(spark, f"{root}/{kind}", DOCUMENTS[kind])
+        return rows.where(F.col(id_).isNotNull()).select(F.col(id_).alias("id"), F.lit(kind).alias("kind"))
+
+    touched = arriving("details", "id").union(arriving("credits", "movie_id")).union(arriving("persons", "id"))
 
     def apply(batch: DataFrame, mark: dict) -> None:
-        arrived = stage(batch, "details-batch")
-        landing = Landing(
-            arrived,
-            read_documents(spark, landing_root, "credits"),
-            read_documents(spark, landing_root, "persons"),
-        )
-        changes = sync_documents(current_tables(store), landing, now())
-        publish(store, changes, **mark)
-
-    return _start(details, store, "catalog", checkpoint, apply, trigger)
+        ids = stage(batch.distinct(), "touched-ids")
+        films = ids.where("kind <> 'persons'").select("id").distinct()
+        people = ids.where("kind = 'persons'").select("id")
+        documents = Landing.read(spark, root)
+        landing = replace(documents, details=keep_known(documents.details, films, ["id"], unique=True))
+        publish(store, sync_documents(current_tables(store), landing, now()))
+        arrived = keep_known(documents.persons, people, ["id"], unique=True)
+        # The mark comes with the last publish: a batch cut off before is applied again.
+        publish(store, sync_people(current_tables(store), arrived), **mark)
+
+    return _start(touched, store, "catalog", checkpoint, apply, trigger)

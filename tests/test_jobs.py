@@ -299,6 +299,28 @@ def test_stream_equals_batch(spark, landing_root, catalog, tmp_path, rows):
         assert rows(store.table(name)) == rows(batch.table(name)), name
 
 
+def test_late_credits_and_persons(spark, tmp_path, rows):
+    drops, store = tmp_path / "drops", SnapshotStore(spark, str(tmp_path / "store"))
+    for kind in ("details", "credits", "persons"):
+        (drops / kind).mkdir(parents=True)
+    jobs.publish(store, Changes(replace=jobs.empty_tables(spark)))
+
+    def drop(kind, name, line):
+        (drops / kind / f"{name}.json").write_text(json.dumps(line) + "\n")
+        stream_catalog(spark, str(drops), store, str(tmp_path / "cp"), now=lambda: AS_OF).awaitTermination()
+
+    person = {"id": 101, "name": "OLD", "fetched_at": "2024-01-01T00:00:00Z"}
+    drop("details", "a", doc(1, "plain"))
+    assert rows(store.table("movies"), "id") == [(1,)] and store.table("credits").count() == 0
+    drop("credits", "a", {"movie_id": 1, "cast": cast(101), "crew": [], "fetched_at": "2024-01-01T00:00:00Z"})
+    assert rows(store.table("credits"), "movie_id", "person_id") == [(1, 101)]
+    assert store.table("people").count() == 0
+    drop("persons", "a", person)
+    assert rows(store.table("people"), "id", "name") == [(101, "OLD")]
+    drop("persons", "b", person | {"name": "NEW", "fetched_at": "2024-02-01T00:00:00Z"})
+    assert rows(store.table("people"), "id", "name") == [(101, "NEW")]
+
+
 def test_a_new_checkpoint_loses_nothing(spark, tmp_path, rows):
     schema = "k bigint, at timestamp, v string"
     (tmp_path / "in").mkdir()
