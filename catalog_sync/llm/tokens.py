@@ -2,7 +2,7 @@
 
 The tokenizers used drop white space and never join across it, so a text's ids are the ids of
 its runs of bytes outside ``[\\x20\\x09-\\x0D]`` in order. Each Python worker keeps a bounded cache of
-runs over all of its tasks, as most words come again. Punctuation behind a word of letters begins
+short runs over all of its tasks, as most words come again. Punctuation behind a word of letters begins
 a token of its own for these tokenizers, so a new run of known word and punctuation needs no
 encoding. New words are encoded together where the tokenizer marks the ends of words.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHED = 1_000_000
+LONG = 64
 GROUP = 1 << 20
 
 
@@ -49,13 +50,14 @@ class Runs(dict):
             packed = self[word.encode()] + self[text[len(word):].encode()]
         else:
             packed = array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
-        self[run] = packed
+        if len(run) <= LONG:
+            self[run] = packed
         return packed
 
     def learn(self, runs: set[bytes]) -> None:
         """Encode the unknown plain words among ``runs`` in one go: tokens that end a word part them."""
         texts = {run.decode().rstrip(string.punctuation) for run in runs}
-        words = [w for w in texts if w.encode() not in self and plain(w)]
+        words = [w for w in texts if len(w) <= LONG and w.encode() not in self and plain(w)]
         ids = self.encode(" ".join(words), add_special_tokens=False).ids
         last = [i for i, x in enumerate(ids, 1) if x in self.ends]
         if len(last) == len(words) and (not last or last[-1] == len(ids)):
