@@ -24,7 +24,6 @@ from catalog_sync.operators.incremental import (
     page_results,
     since,
     is_id,
-    title_page,
     title_search,
     watermark,
 )
@@ -374,10 +373,10 @@ def add_new(
 
 
 def search(
-    tables: Tables, landing: Landing, query: str, page_size: int = 20, page: int = 1
+    tables: Tables, landing: Landing, query: str, page_size: int | None = 20, page: int = 1
 ) -> DataFrame:
-    """Numbered listing of a page of the matching movies the catalog lacks: known movies take no
-    place, and every match is on some page."""
+    """Numbered listing of the movies the catalog lacks on a page of the matches. Known movies take
+    their places on the pages; ``page_size=None`` lists all matches at once."""
     docs = landing.details
     if is_id(query):
         docs = docs.filter(F.col("id") == int(query))
@@ -391,10 +390,11 @@ def search(
         *typed_movie_columns(), "adult", genre_string(F.col("genres")).alias("genre_names"),
         F.col("release_date").alias("release_text"),
     )
-    hits = stage(title_search(latest, query, flags=("adult",)), "search-hits")
+    hits = title_search(latest, query, page_size=page_size, flags=("adult",), page=page)
+    hits = stage(hits, "search-page")
     fresh = exclude_existing(hits, tables["movies"], ["id"])
     return listing(
-        stage(title_page(fresh, page_size, page), "search-page"),
+        fresh,
         [F.col("popularity").desc_nulls_last(), F.col("id")],
         date=F.col("release_text"),
         genres=F.col("genre_names"),
@@ -402,7 +402,12 @@ def search(
 
 
 def search_and_add(
-    tables: Tables, landing: Landing, query: str, select: int = 1, page_size: int = 20, page: int = 1
+    tables: Tables,
+    landing: Landing,
+    query: str,
+    select: int = 1,
+    page_size: int | None = 20,
+    page: int = 1,
 ) -> Changes:
     """Add the movie listed under number ``select`` of the page (0 cancels)."""
     if select == 0:
