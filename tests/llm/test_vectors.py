@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from catalog_sync.llm import vector_dedup
 from catalog_sync.llm.impact_search import top_k
-from catalog_sync.llm.vector_dedup import near_vectors
+from catalog_sync.llm.vector_dedup import bucket_passes, near_vectors
 
 SCHEMA = "vec_id long, embedding array<double>, label int, rank string, id string"
 NAN, INF = float("nan"), float("inf")
@@ -76,6 +77,39 @@ def test_recall_at_the_threshold(vectors):
     assert found >= 0.9 * 800
 
 
+def dense_pairs(n, pairs, rho, seed=7, dims=64, near=(0.951, 0.97)):
+    """``n`` vectors of cosine about ``rho`` to each other, then ``pairs`` of them again, turned a little."""
+    rng = np.random.default_rng(seed)
+    rows = np.sqrt(rho) * np.eye(dims)[0] + np.sqrt((1 - rho) / dims) * rng.standard_normal((n, dims))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    of = rows[:pairs]
+    aside = rng.standard_normal(of.shape)
+    aside -= (aside * of).sum(axis=1, keepdims=True) * of
+    c = rng.uniform(*near, (pairs, 1))
+    return np.concatenate([rows, c * of + np.sqrt(1 - c * c) * aside / np.linalg.norm(aside, axis=1, keepdims=True)])
+
+
+@pytest.mark.parametrize("signs", [None, 3])
+def test_dense_groups_lose_no_pairs(vectors, monkeypatch, signs):
+    """Windows far smaller than a dense group, as those of 256 are in a large table."""
+    if signs:
+        monkeypatch.setattr(vector_dedup, "_signs", lambda *_: signs)
+        monkeypatch.setattr(vector_dedup, "BUCKET_BLOCK", 500)
+    rows = [(i, v.tolist()) for i, v in enumerate(dense_pairs(3000, 300, 0.8))]
+    want = links_by_hand(rows, 0.95)
+    out = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(vectors(rows), passes=2, window=4).collect()}
+    linked = [i for i in want if want[i][0]]
+    assert len(linked) >= 600 and all(out[i] == want[i] for i in want if not want[i][0])
+    assert sum(out[i] == want[i] for i in linked) >= (0.98 if signs else 1) * len(linked)
+
+
+def test_passes_follow_the_signs():
+    assert bucket_passes(0, 0.95) == 1
+    for signs in range(1, 20):
+        meets = (1 - np.arccos(0.95) / np.pi) ** signs
+        assert (1 - meets) ** bucket_passes(signs, 0.95) <= 0.005 < (1 - meets) ** (bucket_passes(signs, 0.95) - 1)
+
+
 def test_repeated_and_missing_keys_and_no_vectors(vectors):
     a = [1.0] + [0.0] * 15
     out = near_vectors(vectors([(1, a), (1, a), (2, a), (None, a), (None, a), (3, None), (3, a)])).collect()
