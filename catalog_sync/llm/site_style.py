@@ -3,7 +3,7 @@
 A page is read into blocks of text, each under a path of style nodes: tags with their class and id,
 digits left out. The trees of a host's pages are merged by path. A style node's importance comes
 from entropy: of its presentation, the sequence of child tags its pages show there, and of its
-content, how evenly each text repeats over the pages that have the node. What most pages show alike
+content, how evenly each text repeats over the distinct pages that have the node. What most pages show alike
 tells nothing; what each page says for itself is important. A branch is as important as its blocks
 are on average, with a share for its presentation.
 
@@ -272,7 +272,18 @@ def host_of(url: Column) -> Column:
 
 
 def importance(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host, path (hash), pages, importance: one row per style node of a host's merged tree."""
+    """host, path (hash), pages, importance: one row per style node of a host's merged tree.
+
+    A page that a host shows several times counts once. Only pages whose hash repeats are compared
+    whole, so the others are not shuffled.
+    """
+    shows = pages.select(F.xxhash64(host_of(F.col(url))).alias("host"), F.coalesce(html, F.lit("")).alias("html"))
+    marked = shows.withColumn("mark", F.xxhash64("html"))
+    copied = stage(
+        marked.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("host", "mark"), "copied"
+    )
+    single = marked.join(copied, ["host", "mark"], "left_anti").select("host", "html")
+    distinct = single.union(marked.join(copied, ["host", "mark"], "left_semi").select("host", "html").distinct())
 
     def count(batches):
         for batch in batches:
@@ -288,7 +299,7 @@ def importance(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
                 names=["host", "path", "kind", "shown", "first"],
             )
 
-    shown = pages.select(F.xxhash64(host_of(F.col(url))).alias("host"), html).mapInArrow(
+    shown = distinct.mapInArrow(
         count, "host long, path long, kind int, shown long, first long"
     )
     spread = shown.groupBy("host", "path", "kind", "shown").agg(
@@ -317,7 +328,7 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
 
     The text is the article's blocks, character references decoded, white space within a block one
     space, joined by two line feeds; empty if there is none. NULL html is empty; pages whose url is
-    NULL or has no host share one tree. Rows that repeat a page count as pages of their own. An empty
+    NULL or has no host share one tree. Pages that a host repeats count once in its tree. An empty
     table gives an empty table.
     """
     low = stage(

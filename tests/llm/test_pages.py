@@ -126,3 +126,15 @@ def test_branches_alike_on_all_pages_go(pages):
     tree = {r.path: r.importance for r in importance(pages(rows)).where(F.col("pages") == 20).collect()}
     # Of the texts in words every second is on all pages.
     assert tree[key_of("html/body/div.words/p")] > 0.3
+
+
+@pytest.mark.parametrize(("copies", "others"), [(4, 0), (5, 0), (30, 0), (8, 2), (95, 6)])
+@pytest.mark.parametrize("around", ["div", "article", "article><div class='entry'"])
+def test_copies_of_a_page_are_one_page(pages, copies, others, around):
+    def page(n):
+        return f"<body><{around}><p>Text {n} of one</p><p>Text {n} of two</p></body>"
+
+    rows = [(n, "http://h.example/p", page(max(0, n - copies + 1))) for n in range(copies + others)]
+    out = {r.page_id: r.text for r in main_texts(pages(rows)).collect()}
+    for n, _, html in rows:
+        assert out[n] == extract(html, {}) != ""
