@@ -13,6 +13,10 @@ article or main element with text, what stands outside does. Within the article
 class or id of their own can be of low importance: that paragraphs return on other pages does not
 make them less the article.
 
+A mark by name alone can be overruled: a compound name (``nav-fixed``) by the text of its branch, a whole
+one by an article or main below it, if all that is kept otherwise is little beside that text. Names that
+tell a state (``with-sidebar``, ``has-comments``) are no marks.
+
 Statistics are counted per (host, path, text) and per (host, path), never per host in one group.
 """
 
@@ -58,6 +62,9 @@ MARKS = set(
     "form login signup signin subscribe subscription newsletter search "
     "share sharing social related recommended teaser teasers copyright".split()
 )
+STATES = set("with without no not has have had is are show hide hides shows".split())
+#: Text below a mark by name overrules it from this many times the text kept otherwise.
+OVERRULES = 4
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -80,11 +87,13 @@ def key_of(path: str) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "style", "inside", "dropped", "named", "children", "heading")
+    __slots__ = ("tag", "parent", "path", "style", "inside", "dropped", "named", "children", "heading", "whole", "weak")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None):
         self.tag, self.parent = tag, parent
-        names = NAME.findall(CAMEL.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower())
+        given = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+        parts = [NAME.findall(CAMEL.sub(" ", token).lower()) for token in given]
+        names = [n for token in parts for n in token]
         self.named = bool(names)
         self.style = tag + "".join(f".{n}" for n in sorted(set(names)))
         self.path = f"{parent.path}/{self.style}" if parent else self.style
@@ -92,21 +101,31 @@ class Node:
         self.inside = bool(parent and parent.inside) or tag in ("article", "main") or attributes.get("role") == "main"
         self.heading = tag in HEADINGS or bool(parent and parent.heading)
         marked = (
-            tag in DROPPED or tag == "header" or not MARKS.isdisjoint(names)
+            tag in DROPPED or tag == "header"
             or attributes.get("role", "").lower() in ROLES or "hidden" in attributes
             or "display:none" in attributes.get("style", "").replace(" ", "").lower()
         )
+        marks = MARKS
         if tag in ("html", "body", "article", "main") or self.heading and self.inside:
-            marked = tag not in ("html", "body") and tag not in HEADINGS and not {"comment", "comments"}.isdisjoint(names)
+            marked, marks = False, set() if tag in ("html", "body") or tag in HEADINGS else {"comment", "comments"}
+        told = [token for token in parts if not (len(token) > 1 and token[0] in STATES)]
+        self.whole = any(len(token) == 1 and token[0] in marks for token in told)
+        by_name = self.whole or any(not marks.isdisjoint(token) for token in told)
         above = parent.dropped if parent else ""
+        #: The node and those above it that only their names mark.
+        self.weak: tuple[Node, ...] = parent.weak if parent else ()
+        at_top = self.inside and (tag == "header" or tag not in DROPPED and any("header" in token for token in told))
         # In an article's header its headings stay, whatever the header is called.
         if above == "header" and self.heading and self.inside:
             self.dropped = ""
-        elif above or not marked:
+        elif above:
             self.dropped = above
-        else:
-            at_top = self.inside and (tag == "header" or tag not in DROPPED and "header" in names)
+        elif marked or by_name and at_top:
             self.dropped = "header" if at_top else "out"
+        else:
+            self.dropped = ""
+            if by_name:
+                self.weak = (*self.weak, self)
 
 
 class Block:
@@ -218,7 +237,8 @@ def _matters(rest: str) -> bool:
 
 
 def _marked(attributes: dict[str, str]) -> bool:
-    return bool(Node("span", attributes, None).dropped)
+    node = Node("span", attributes, None)
+    return bool(node.dropped or node.weak)
 
 
 def statistics(page: str) -> Iterator[tuple[int, int, int, bool]]:
@@ -259,12 +279,30 @@ def extract(page: str, low: dict[int, float]) -> str:
         else:
             cut = importance < LOW and node.tag not in ("html", "body")
         out[id(node)] = above or cut
-    kept = [(node, text) for node, text in blocks if not node.dropped and not out[id(node)]]
+    kept = _unmarked([(node, text) for node, text in blocks if not node.dropped and not out[id(node)]])
     if any(node.inside for node, _ in kept):
         kept = [(node, text) for node, text in kept if node.inside]
     return "\n\n".join(text for _, text in kept)
 
 
+def _unmarked(blocks: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """The blocks below no mark by name, but for the marks that the text below them overrules."""
+    stay: set[int] = set()
+    while True:
+        kept, gains = 0, {}
+        for node, text in blocks:
+            rest = tuple(w for w in node.weak if id(w) not in stay)
+            if not rest:
+                kept += len(text)
+            elif all(not w.whole or node.inside and not w.inside for w in rest):
+                by = tuple(id(w) for w in rest)
+                gains[by] = gains.get(by, 0) + len(text)
+        best = max(gains, key=gains.get, default=None)
+        if best is None or gains[best] <= OVERRULES * kept:
+            return [(node, text) for node, text in blocks if all(id(w) in stay for w in node.weak)]
+        stay.update(best)
+
+
 def host_of(url: Column) -> Column:
     """The lower-cased host; NULL and malformed urls share the host ''."""
     host = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)

@@ -108,6 +108,26 @@ def test_blocks(page, text):
     assert extract(page, {}) == text
 
 
+LONG = "All that this page has to tell, in a good many words. " * 3
+
+
+@pytest.mark.parametrize("name", [
+    "content with-sidebar", "site no-sidebar", "post has-comments", "wrapper nav-fixed", "withSidebar", "sidebar", "menu-open",
+])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_names_of_wrappers(name, tag):
+    page = (f"<nav>n</nav><div class='{name}'><{tag}><p>{LONG}</p><div class='share-buttons'>Share</div></{tag}>"
+            "<div class='sidebar'>s</div><div class='comment-list'>c</div></div><footer>f</footer>")
+    assert extract(page, {}) == ("" if name == "sidebar" and tag == "div" else LONG.strip())
+
+
+@pytest.mark.parametrize("box", ["related", "related-posts", "comment-list", "cookie-notice"])
+def test_marked_branches_beside_the_text_stay_out(box):
+    page = f"<div class='text'><p>{LONG}</p></div><div class='{box}'><article><p>{LONG}{LONG}</p></article></div>"
+    assert extract(page, {}) == LONG.strip()
+    assert extract(f"<article class='post has-comments'><p>{LONG}</p></article><div class='{box}'>{LONG}</div>", {}) == LONG.strip()
+
+
 def test_long_page():
     words = "word " * 200_000
     assert extract(f"<article><p>{words}</p></article>", {}) == words.strip()
