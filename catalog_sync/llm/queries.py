@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog_sync.llm.byte_bpe import decode, encode
 from catalog_sync.llm.impact_search import top_k
 from catalog_sync.llm.line_dedup import drop_repeated_lines
 from catalog_sync.llm.minhash import near_duplicates
@@ -158,3 +159,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_site_style_text")
 def op10_site_style_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    ranks = tokenizer("byte_bpe_multi_50k.tiktoken")
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ranks, PATTERN)
+    back = decode(coded, ranks, PATTERN)
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
