@@ -11,6 +11,7 @@ from catalog_sync.llm.byte_bpe import decode, encode
 from catalog_sync.llm.impact_search import top_k
 from catalog_sync.llm.line_dedup import drop_repeated_lines
 from catalog_sync.llm.minhash import near_duplicates
+from catalog_sync.llm.max_sketch import search
 from catalog_sync.llm.mixing import copies
 from catalog_sync.llm.shared import ship
 from catalog_sync.llm.site_style import main_texts
@@ -173,3 +174,36 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
+
+
+@query("op12_lexical_search", r"""
+WITH terms AS (
+    SELECT doc_id, term, count(*) AS tf FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+    ) GROUP BY doc_id, term
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), sized AS (
+    SELECT doc_id, sum(tf)::BIGINT AS n FROM terms GROUP BY doc_id
+), corpus AS (
+    SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM sized
+), norms AS (
+    SELECT doc_id, 10 + (90 * n * docs) // length AS m FROM sized, corpus
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM terms GROUP BY term), corpus
+), scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN terms USING (term) JOIN norms USING (doc_id)
+    GROUP BY item_id, doc_id HAVING score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores
+) WHERE rank <= 10
+""")
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
