@@ -161,7 +161,7 @@ def counted(texts: list[bytes], lexicon: Lexicon, sketches: bool = True):
 def sketch_rows(rows: int, owner: np.ndarray, hashes: np.ndarray, count: np.ndarray, width: int = WIDTH) -> list[bytes]:
     """Each text's sketch: coordinate and largest count there, packed into 32 bits, a count of 4,095
     standing for all above."""
-    place = (hashes & np.uint64(width - 1)).astype(np.int64)
+    place = (hashes.astype(np.uint64) & np.uint64(width - 1)).astype(np.int64)
     order = np.lexsort((place, owner))
     owner, place, count = owner[order], place[order], count[order]
     new = np.ones(len(owner), dtype=bool)
