@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_sync.llm.byte_bpe import decode, encode
+from catalog_sync.llm.hard_negatives import hard_negatives
 from catalog_sync.llm.impact_search import top_k
 from catalog_sync.llm.line_dedup import drop_repeated_lines
 from catalog_sync.llm.minhash import near_duplicates
@@ -207,3 +208,31 @@ SELECT item_id, rank::INT AS rank, doc_id, score FROM (
 """)
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("op11_hard_negatives", """
+WITH known AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS units
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+        list_dot_product(a.units, b.units)::BIGINT AS score
+    FROM known a JOIN known b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", turned)
+    return hard_negatives(vectors, F.col("id") % 50 == 0)
