@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from catalog_sync.schemas import (
 )
 
 
+TIE = "_tie"
 CAST_ARRAY = "array<struct<id:bigint,name:string,character:string,order:bigint>>"
 CREW_ARRAY = "array<struct<id:bigint,name:string,job:string,department:string>>"
 GENRE_ARRAY = "array<struct<name:string>>"
@@ -132,18 +133,31 @@ def credit_list(
     return F.concat(cast_credits(df_cast, legacy_labels, max_cast), crew_credits(df_crew))
 
 
-def latest_documents(docs: DataFrame, key: str) -> DataFrame:
-    """Newest good fetch per id. Failed fetches and unreadable lines carry no document."""
+def good_documents(docs: DataFrame, key: str, columns: Sequence[Column] | None = None) -> DataFrame:
+    """Documents of good fetches, one row per fetch, cut down to the given columns (by default all):
+    what is taken apart in the row is not shuffled. Failed fetches and unreadable lines carry no
+    document. ``_tie`` orders fetches of one time."""
     good = docs.filter(usable_id(F.col(key)))
     if CORRUPT in docs.columns:
         good = good.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if "fetch_status" in docs.columns:
         good = good.filter(F.coalesce(F.col("fetch_status"), F.lit("ok")) == "ok")
-    if "fetched_at" not in docs.columns:
-        return good
     payload = [c for c in good.columns if c not in ("fetched_at", key)]
-    tie = F.xxhash64(*payload)
-    return fresh_latest(good, [key], "fetched_at", tie_break=[tie])
+    tie = F.col(TIE) if TIE in payload else F.xxhash64(*payload)
+    kept = [F.col(c) for c in payload if c != TIE] if columns is None else list(columns)
+    fetched = [F.col("fetched_at")] if "fetched_at" in good.columns else []
+    return good.select(key, *kept, *fetched, tie.alias(TIE))
+
+
+def newest_documents(good: DataFrame, key: str) -> DataFrame:
+    """The newest of the good fetches per id."""
+    if "fetched_at" not in good.columns:
+        return good.drop(TIE)
+    return fresh_latest(good, [key], "fetched_at", tie_break=[F.col(TIE)]).drop(TIE)
+
+
+def latest_documents(docs: DataFrame, key: str, columns: Sequence[Column] | None = None) -> DataFrame:
+    return newest_documents(good_documents(docs, key, columns), key)
 
 
 def typed_movie_columns() -> list[Column]:
@@ -165,10 +179,23 @@ def typed_movies(details: DataFrame) -> DataFrame:
     return details.select(*typed_movie_columns())
 
 
-def credit_rows(credits: DataFrame, legacy_labels: bool = False) -> DataFrame:
-    rows = explode_children(
-        credits, "movie_id", credit_list(F.col("cast"), F.col("crew"), legacy_labels)
-    )
+CREDIT_LIST = "_credits"
+
+
+def listed_credits(
+    credits: DataFrame, legacy_labels: bool = False, max_cast: int | None = MAX_CAST
+) -> Column:
+    """The credits a document gives, from its cast and crew, or as they were listed when it was
+    taken in."""
+    if CREDIT_LIST in credits.columns:
+        return F.col(CREDIT_LIST)
+    return credit_list(F.col("cast"), F.col("crew"), legacy_labels, max_cast).alias(CREDIT_LIST)
+
+
+def credit_rows(
+    credits: DataFrame, legacy_labels: bool = False, max_cast: int | None = MAX_CAST
+) -> DataFrame:
+    rows = explode_children(credits, "movie_id", listed_credits(credits, legacy_labels, max_cast))
     return rows.select(*CSV_COLUMNS["credits"])
 
 

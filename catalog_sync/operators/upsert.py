@@ -33,25 +33,40 @@ def _packed(source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
     return source.select(*keys, F.struct(*columns).alias("_new"))
 
 
-def update_by_key(
+def update_tagged(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
     stamp: Stamp | None = None,
 ) -> DataFrame:
-    """Overwrite ``columns`` of matching rows (NULLs included) and set the stamp column on them.
-    Source rows without a match change nothing."""
-    hit = F.col("_new").isNotNull()
-    values = {c: F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in columns}
+    """Overwrite ``columns`` of matching rows (NULLs included) and set the stamp column on them;
+    ``_action`` tells what happened to each row. Source rows without a match change nothing."""
+    new = F.col("_new")
+    hit = new.isNotNull()
+    values = {c: F.when(hit, new[c]).otherwise(F.col(c)).alias(c) for c in columns}
     if stamp:
         name = stamp[0]
         values[name] = F.when(hit, _stamp_value(stamp)).otherwise(F.col(name)).alias(name)
+    same = F.lit(True)
+    for c in columns:
+        same = same & new[c].eqNullSafe(F.col(c))
+    action = F.when(~hit, SKIPPED).when(same, UNCHANGED).otherwise(UPDATE)
     joined = target.join(_packed(source, keys, columns), list(keys), "left")
-    return joined.select(*[values.get(c, F.col(c)) for c in target.columns])
+    return joined.select(*[values.get(c, F.col(c)) for c in target.columns], action.alias(ACTION))
 
 
-def replace_children(
+def update_by_key(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    stamp: Stamp | None = None,
+) -> DataFrame:
+    return update_tagged(target, source, keys, columns, stamp).drop(ACTION)
+
+
+def replace_children_tagged(
     children: DataFrame,
     updated_parents: DataFrame,
     new_children: DataFrame,
@@ -59,9 +74,20 @@ def replace_children(
     parent_key: str,
 ) -> DataFrame:
     """Swap the children of every updated parent. The parents drive the removal, so one whose
-    new set is empty loses its old children too."""
+    new set is empty loses its old children too. ``_action`` tells new children from kept ones."""
     kept = keep_unknown(children, updated_parents, {child_key: parent_key}, unique=True)
-    return kept.unionByName(new_children)
+    return kept.withColumn(ACTION, F.lit(SKIPPED)).unionByName(new_children.withColumn(ACTION, F.lit(INSERT)))
+
+
+def replace_children(
+    children: DataFrame,
+    updated_parents: DataFrame,
+    new_children: DataFrame,
+    child_key: str,
+    parent_key: str,
+) -> DataFrame:
+    swapped = replace_children_tagged(children, updated_parents, new_children, child_key, parent_key)
+    return swapped.drop(ACTION)
 
 
 def absent_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,21 +1,24 @@
 """The jobs: initial build, CSV load, refresh, add-new, search-and-add, discovery, sync.
 
 A job takes the current tables (a dict of DataFrames, empty for a new catalog) and landing
-documents, and returns ``Changes``: which tables to replace and which rows to append. Only
-``publish`` writes tables. Frames that feed several outputs are staged once.
+documents, and returns ``Changes``: which tables to replace, which rows to rewrite or append, and the
+errors met. Only ``publish`` writes tables; ``commit`` runs a job and publishes it, again from the start
+where another publish got in between. Frames that feed several outputs are staged once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace as changed
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_sync.functions import parse_date, parse_number, period_start
-from catalog_sync.operators.dedup import ORDINAL, union_ids, union_rows
+from catalog_sync.operators.dedup import ORDINAL, first_wins, union_ids, union_rows
 from catalog_sync.operators.incremental import (
     discover_ids,
     exclude_flags,
@@ -45,63 +48,119 @@ from catalog_sync.operators.quality import (
     movie_rules,
 )
 from catalog_sync.operators.shape import (
-    credit_list,
+    CREDIT_LIST,
     credit_rows,
     explode_children,
     genre_names,
     genre_rows,
     genre_string,
+    good_documents,
     latest_documents,
+    listed_credits,
     needed_people,
+    newest_documents,
     typed_movie_columns,
     typed_movies,
     usable_id,
 )
 from catalog_sync.operators.upsert import (
+    ACTION,
     ignoring_duplicates,
-    replace_children,
-    update_by_key,
+    replace_children_tagged,
+    update_tagged,
     upsert,
+    upsert_tagged,
 )
 from catalog_sync.schemas import (
+    CORRUPT,
+    CSV_COLUMNS,
     KEYS,
+    MAX_CAST,
     REQUIRED_FIELDS,
     TABLES,
     UPDATABLE_MOVIE_COLUMNS,
 )
 from catalog_sync.scratch import stage
-from catalog_sync.sources.csv_files import read_catalog
+from catalog_sync.sources.csv_files import overlong_lines, read_catalog
 from catalog_sync.sources.landing import read_documents
-from catalog_sync.sources.snapshots import Published, SnapshotStore
+from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, Snapshot, SnapshotStore
 
 Tables = Mapping[str, DataFrame]
+ERRORS = "errors"
 
 
 @dataclass(frozen=True)
 class Landing:
-    """Landing documents by kind; ``persons`` may be absent."""
+    """Landing documents by kind; ``persons`` and ``pages`` (fetched result pages) may be absent."""
 
     details: DataFrame
     credits: DataFrame
     persons: DataFrame | None = None
+    pages: DataFrame | None = None
 
     @classmethod
-    def read(cls, spark: SparkSession, root: str) -> Landing:
-        kinds = ("details", "credits", "persons")
+    def read(cls, spark: SparkSession, root: str, pages: bool = False) -> Landing:
+        kinds = ("details", "credits", "persons", *(["pages"] if pages else []))
         return cls(**{k: read_documents(spark, root, k) for k in kinds})
 
 
 @dataclass(frozen=True)
 class Changes:
-    """``errors`` plans the error log when it is asked for."""
+    """``replace`` holds whole tables. Where ``rewrite`` has the table too, a store may apply that to the
+    rows concerned instead. ``errors`` plans the error log when it is asked for, ``base`` is the
+    version of the store that the tables were read at."""
 
     replace: dict[str, DataFrame] = field(default_factory=dict)
     append: dict[str, DataFrame] = field(default_factory=dict)
     errors: Callable[[], DataFrame] | None = None
-
-
-def publish(store: SnapshotStore, changes: Changes, **stream) -> Published:
-    return store.publish(changes.replace, changes.append, **stream)
+    rewrite: dict[str, Rewrite] = field(default_factory=dict)
+    base: int | None = None
+
+
+def publish(store: SnapshotStore, changes: Changes, job: str | None = None, **stream) -> Published:
+    """Publish what a job changed, with the errors it met in the same version."""
+    known = store._layout(changes.base).tables if changes.rewrite else {}
+    rewrite = {n: r for n, r in changes.rewrite.items() if n in known}
+    replace = {n: df for n, df in changes.replace.items() if n not in rewrite}
+    append, log = dict(changes.append), None
+    if changes.errors:
+        run = uuid.uuid4().hex
+        log = stage(changes.errors().select(
+            "category", "stage", "id", "detail", F.lit(job).cast("string").alias("job"),
+            F.lit(run).alias("run"), F.lit(dt.datetime.now()).alias("logged_at"),
+        ), "errors")
+        append[ERRORS] = log
+    done = store.publish(replace, append, rewrite=rewrite, base=changes.base, **stream)
+    if log is None:
+        return done
+    rows = {n: v for n, v in done.rows.items() if n != ERRORS}
+    counters = {n: v for n, v in done.counters.items() if n != ERRORS}
+    return changed(done, rows=rows, counters=counters, log=log)
+
+
+def commit(
+    store: SnapshotStore, job: Callable[[Tables], Changes], attempts: int = 5, name: str | None = None, **stream
+) -> Published | None:
+    """Run a job on the current tables and publish its changes, all over again if another publish that
+    does not go together with them came first. None if there is nothing to do."""
+    for left in reversed(range(attempts)):
+        changes = job(current_tables(store))
+        if not (changes.replace or changes.append or changes.rewrite):
+            return None
+        try:
+            return publish(store, changes, name, **stream)
+        except Conflict:
+            if not left:
+                raise
+
+
+def _version(tables: Tables) -> int | None:
+    return tables.version if isinstance(tables, Snapshot) else None
+
+
+def around(tables: Tables, name: str, keys: DataFrame) -> DataFrame:
+    """The part of a table that may hold some keys, the whole table where nothing tells."""
+    return tables.around(name, keys) if isinstance(tables, Snapshot) else tables[name]
 
 
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -110,8 +169,8 @@ def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return {t: _table_shape(nothing.select(), t) for t in TABLES}
 
 
-def current_tables(store: SnapshotStore) -> dict[str, DataFrame]:
-    return {**empty_tables(store.spark), **store.tables()}
+def current_tables(store: SnapshotStore) -> Snapshot:
+    return store.tables().over(empty_tables(store.spark))
 
 
 def _table_shape(df: DataFrame, table: str) -> DataFrame:
@@ -128,20 +187,24 @@ def _table_shape(df: DataFrame, table: str) -> DataFrame:
 
 
 def initial_build(
-    landing: Landing, requested: DataFrame | None = None, legacy_labels: bool = False
+    landing: Landing,
+    requested: DataFrame | None = None,
+    legacy_labels: bool = False,
+    max_cast: int | None = MAX_CAST,
 ) -> Changes:
-    """Documents of the requested ids (default: all) to the four tables plus the error log."""
-    details = latest_documents(landing.details, "id")
+    """Documents of the requested ids (default: all) to the four tables plus the error log. Ids are
+    narrowed and credits taken apart before fetches of one id meet."""
+    details = good_documents(landing.details, "id")
     if requested is not None:
         requested = key_set(requested, ["id"])
         details = keep_known(details, requested, ["id"], unique=True)
-    checked = stage(check(details, movie_rules()), "checked-details")
+    checked = stage(check(newest_documents(details, "id"), movie_rules()), "checked-details")
     valid = checked.filter(F.col(FAILED_RULE).isNull())
 
-    documents = keep_known(
-        latest_documents(landing.credits, "movie_id"), valid, {"movie_id": "id"}, unique=True
-    )
-    credits = stage(credit_rows(documents, legacy_labels), "credit-rows")
+    listed = listed_credits(landing.credits, legacy_labels, max_cast)
+    given = good_documents(landing.credits, "movie_id", [listed])
+    documents = newest_documents(keep_known(given, valid, {"movie_id": "id"}, unique=True), "movie_id")
+    credits = stage(credit_rows(documents), "credit-rows")
     tables = {
         "movies": _table_shape(typed_movies(valid), "movies"),
         "credits": credits,
@@ -153,6 +216,22 @@ def initial_build(
     return Changes(tables, errors=lambda: _build_errors(landing, requested, checked, credits))
 
 
+def _fetch_log(landing: Landing, ids: DataFrame | None = None) -> list[DataFrame]:
+    """Failed fetches and unreadable lines, of all documents or of some films. Documents that were taken
+    in before hold none: theirs were logged then."""
+    log = []
+    for kind, key in (("details", "id"), ("credits", "movie_id"), ("persons", "id")):
+        docs = getattr(landing, kind)
+        if docs is None or not {CORRUPT, "fetch_status"} <= set(docs.columns):
+            continue
+        if ids is not None:
+            if kind == "persons":
+                continue
+            docs = keep_known(docs, ids, {key: "id"}, unique=True)
+        log.append(fetch_errors(docs, key, kind))
+    return log
+
+
 def _build_errors(
     landing: Landing, requested: DataFrame | None, checked: DataFrame, credits: DataFrame
 ) -> DataFrame:
@@ -161,14 +240,11 @@ def _build_errors(
     actors = credits.filter(F.col("credit_type") == "cast")
     on = {"id": "movie_id"}
     log = [
-        fetch_errors(landing.details, "id", "details"),
-        fetch_errors(landing.credits, "movie_id", "credits"),
+        *_fetch_log(landing),
         error_rows(invalid, "validation_error", "validate", "id", F.col(FAILED_RULE)),
         error_rows(childless(valid, credits, on), "no_credits", "shape", "id"),
         error_rows(childless(valid, actors, on), "no_actors", "shape", "id"),
     ]
-    if landing.persons is not None:
-        log.append(fetch_errors(landing.persons, "id", "persons"))
     if requested is not None:
         missing = keep_unknown(requested, checked, ["id"], unique=True)
         log.append(error_rows(missing, "not_found", "details", "id"))
@@ -189,7 +265,7 @@ def load_csv(
     them existing rows win. Duplicates and (unless switched off) children without parent are
     dropped."""
     initial = tables is None
-    target = dict(tables) if tables else empty_tables(spark)
+    target = tables or empty_tables(spark)
     rows = read_catalog(spark, root, multi_line)
     known = {}
     loaded = {}
@@ -202,34 +278,59 @@ def load_csv(
             incoming = keep_known(incoming, known["movies"], {"movie_id": "id"}, unique=True)
             if name == "credits":
                 incoming = keep_known(incoming, known["people"], {"person_id": "id"}, unique=True)
-        fresh = ignoring_duplicates(target[name], incoming, KEYS[name], order)
+        known_rows = target[name]
+        if not initial:
+            # Only rows under a key of the delivery can be met, so only those are looked at.
+            incoming = stage(first_wins(incoming, KEYS[name], order), f"{name}-delivery")
+            keys = stage(key_set(incoming, KEYS[name][:1]), f"{name}-keys")
+            known_rows = keep_known(around(target, name, keys), sized(keys), KEYS[name][:1], unique=True)
+        fresh = ignoring_duplicates(known_rows, incoming, KEYS[name], order)
         loaded[name] = _table_shape(fresh, name)
-    return Changes(replace=loaded) if initial else Changes(append=loaded)
+
+    def errors() -> DataFrame:
+        """Lines with more cells than their header; duplicates and children without parent are none."""
+        lines = [
+            overlong_lines(spark, f"{root.rstrip('/')}/{name}.csv", multi_line).select(
+                F.lit("processing_error").alias("category"), F.lit(f"csv {name}").alias("stage"),
+                F.lit(None).cast("bigint").alias("id"),
+                F.concat_ws(": ", "file", "cells").alias("detail"),
+            )
+            for name in TABLES
+        ]
+        return union_rows(*lines)
+
+    if initial:
+        return Changes(replace=loaded, errors=errors)
+    return Changes(append=loaded, errors=errors, base=_version(target))
 
 
 # --- refresh and add --------------------------------------------------------------------
 
 
-def _documents(landing: Landing, how: str, ids: DataFrame | None = None) -> DataFrame:
+def _documents(
+    landing: Landing, how: str, ids: DataFrame | None = None, max_cast: int | None = MAX_CAST
+) -> DataFrame:
     """One row per movie document: table columns, genre names, and the credits that are kept
     (NULL when there is no credits document and ``how`` is left). A document lacking a required
-    field counts as none. Wanted ids filter both sides
+    field counts as none. Documents are cut to these columns and wanted ids filter both sides
     before anything is shuffled."""
-    details, credits = landing.details, landing.credits
+    typed = [c for c, name in zip(typed_movie_columns(), CSV_COLUMNS["movies"], strict=True) if name != "id"]
+    complete = F.lit(True)
+    for c in REQUIRED_FIELDS:
+        complete = complete & F.col(c).isNotNull()
+    shaped = [*typed, genre_names(F.col("genres")).alias("_genres"), complete.alias("_complete")]
+    details = good_documents(landing.details, "id", shaped)
+    credits = good_documents(landing.credits, "movie_id", [listed_credits(landing.credits, max_cast=max_cast)])
     if ids is not None:
         details = keep_known(details, ids, ["id"], unique=True)
         credits = keep_known(credits, ids, {"movie_id": "id"}, unique=True)
-    details = latest_documents(details, "id").dropna(subset=REQUIRED_FIELDS).select(
-        *typed_movie_columns(), genre_names(F.col("genres")).alias("_genres")
-    )
-    credits = latest_documents(credits, "movie_id").select(
-        "movie_id", credit_list(F.col("cast"), F.col("crew")).alias("_credits")
-    )
+    details = newest_documents(details, "id").filter("_complete").select(*CSV_COLUMNS["movies"], "_genres")
+    credits = newest_documents(credits, "movie_id").select("movie_id", CREDIT_LIST)
     return enrich(details, credits, {"id": "movie_id"}, how)
 
 
 def _credits_of(docs: DataFrame) -> DataFrame:
-    rows = explode_children(docs, "id", F.col("_credits"), child_key="movie_id")
+    rows = explode_children(docs, "id", F.col(CREDIT_LIST), child_key="movie_id")
     return rows.select(*TABLES["credits"])
 
 
@@ -237,18 +338,24 @@ def _genres_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("id").alias("movie_id"), F.explode("_genres").alias("genre_name"))
 
 
-def _update_rows(tables: Tables, docs: DataFrame, as_of: dt.datetime) -> dict[str, DataFrame]:
+def _update_rows(docs: DataFrame, as_of: dt.datetime) -> dict[str, Rewrite]:
+    ids = lambda: docs.select("id")
+    stamp = ("updated_at", as_of)
     return {
-        "movies": update_by_key(
-            tables["movies"], docs, ["id"], UPDATABLE_MOVIE_COLUMNS, ("updated_at", as_of)
+        "movies": Rewrite(ids, lambda rows: update_tagged(rows, docs, ["id"], UPDATABLE_MOVIE_COLUMNS, stamp)),
+        "credits": Rewrite(
+            ids, lambda rows: replace_children_tagged(rows, docs, _credits_of(docs), "movie_id", "id")
         ),
-        "credits": replace_children(
-            tables["credits"], docs, _credits_of(docs), "movie_id", "id"
+        "genres": Rewrite(
+            ids, lambda rows: replace_children_tagged(rows, docs, _genres_of(docs), "movie_id", "id")
         ),
-        "genres": replace_children(tables["genres"], docs, _genres_of(docs), "movie_id", "id"),
     }
 
 
+def _replaced(tables: Tables, rewrite: Mapping[str, Rewrite]) -> dict[str, DataFrame]:
+    return {name: r.apply(tables[name]).drop(ACTION) for name, r in rewrite.items()}
+
+
 def _insert_rows(docs: DataFrame) -> dict[str, DataFrame]:
     return {
         "movies": _table_shape(docs, "movies"),
@@ -257,9 +364,7 @@ def _insert_rows(docs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def _upsert_people(tables: Tables, credits: DataFrame, persons: DataFrame) -> DataFrame:
-    columns = [c for c in TABLES["people"] if c != "id"]
-    return upsert(tables["people"], needed_people(credits, persons), ["id"], columns)
+_PERSON_COLUMNS = [c for c in TABLES["people"] if c != "id"]
 
 
 def refresh(
@@ -268,20 +373,28 @@ def refresh(
     as_of: dt.datetime,
     ids: DataFrame | None = None,
     with_people: bool = True,
+    max_cast: int | None = MAX_CAST,
 ) -> Changes:
     """Bring movies of the catalog (all, or the given ids) up to date, each exactly once. Needs
     both a details and a credits document; ids the catalog lacks are left alone."""
     if ids is None:
-        docs = keep_known(_documents(landing, "inner"), tables["movies"], ["id"], unique=True)
+        wanted = tables["movies"].select("id")
     else:
         ids = stage(key_set(ids, ["id"]), "requested-ids")
-        known = stage(existing_keys(ids, tables["movies"], ["id"]), "known-ids")
-        docs = _documents(landing, "inner", sized(known))
-    docs = stage(docs, "refreshed")
-    replace = _update_rows(tables, docs, as_of)
+        wanted = sized(stage(existing_keys(ids, around(tables, "movies", ids), ["id"]), "known-ids"))
+    docs = stage(_documents(landing, "inner", wanted, max_cast), "refreshed")
+    rewrite = _update_rows(docs, as_of)
+    replace = _replaced(tables, rewrite)
     if with_people and landing.persons is not None:
-        replace["people"] = _upsert_people(tables, _credits_of(docs), landing.persons)
-    return Changes(replace, errors=lambda: _refresh_errors(tables, landing, docs, ids))
+        people = cache(lambda: stage(needed_people(_credits_of(docs), landing.persons), "people"))
+        rewrite["people"] = Rewrite(
+            lambda: people().select("id"),
+            lambda rows: upsert_tagged(rows, people(), ["id"], _PERSON_COLUMNS),
+        )
+        needed = needed_people(_credits_of(docs), landing.persons)
+        replace["people"] = upsert(tables["people"], needed, ["id"], _PERSON_COLUMNS)
+    errors = lambda: _refresh_errors(tables, landing, docs, ids)
+    return Changes(replace, errors=errors, rewrite=rewrite, base=_version(tables))
 
 
 def _refresh_errors(
@@ -290,8 +403,9 @@ def _refresh_errors(
     """Catalog movies the source no longer has, those it has without credits, and requested ids
     the catalog lacks."""
     movies = tables["movies"].select("id")
-    log = []
+    log = _fetch_log(landing, movies if ids is None else ids)
     if ids is not None:
+        movies = around(tables, "movies", ids).select("id")
         unknown = exclude_existing(ids, movies, ["id"])
         log.append(error_rows(unknown, "not_found", "refresh", "id"))
         movies = existing_keys(ids, movies, ["id"])
@@ -306,25 +420,41 @@ def _refresh_errors(
     )
 
 
-def add_documents(tables: Tables, landing: Landing, ids: DataFrame) -> Changes:
+def add_documents(
+    tables: Tables, landing: Landing, ids: DataFrame, max_cast: int | None = MAX_CAST
+) -> Changes:
     """Insert the given ids the catalog lacks, with their children; credits are optional, a
     missing details document drops the id. Appends only."""
     candidates = stage(key_set(ids, ["id"]), "candidate-ids")
-    wanted = stage(exclude_existing(candidates, tables["movies"], ["id"]), "new-ids")
-    docs = stage(_documents(landing, "left", sized(wanted)), "new-documents")
+    wanted = stage(exclude_existing(candidates, around(tables, "movies", candidates), ["id"]), "new-ids")
+    docs = stage(_documents(landing, "left", sized(wanted), max_cast), "new-documents")
     append = _insert_rows(docs)
     if landing.persons is not None:
-        append["people"] = needed_people(append["credits"], landing.persons, tables["people"])
-    return Changes(append=append)
+        people = stage(key_set(append["credits"], ["person_id"]), "credited-ids")
+        known = around(tables, "people", people)
+        append["people"] = needed_people(append["credits"], landing.persons, known)
+    return Changes(append=append, errors=lambda: _add_errors(landing, wanted, docs), base=_version(tables))
+
+
+def _add_errors(landing: Landing, wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """Wanted ids without a usable document, and films added without credits or without actors."""
+    credits = F.coalesce(F.col(CREDIT_LIST), F.array())
+    actors = F.filter(credits, lambda c: c["credit_type"] == "cast")
+    return union_rows(
+        *_fetch_log(landing, wanted),
+        error_rows(keep_unknown(wanted, docs, ["id"], unique=True), "not_found", "details", "id"),
+        error_rows(docs.filter(F.size(credits) == 0), "no_credits", "add", "id"),
+        error_rows(docs.filter(F.size(actors) == 0), "no_actors", "add", "id"),
+    )
 
 
 def release_listing(landing: Landing) -> DataFrame:
     """Released titles as discovery sees them: id, date, popularity and the exclusion flags."""
-    details = latest_documents(landing.details, "id")
-    return details.select(
-        "id", "title", parse_date(F.col("release_date")).alias("release_date"),
-        parse_number(F.col("popularity")).alias("popularity"), "adult", "video",
-    )
+    columns = [
+        F.col("title"), parse_date(F.col("release_date")).alias("release_date"),
+        parse_number(F.col("popularity")).alias("popularity"), F.col("adult"), F.col("video"),
+    ]
+    return latest_documents(landing.details, "id", columns).drop("fetched_at")
 
 
 def release_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
@@ -333,6 +463,10 @@ def release_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     return rows.withColumn("release_date", parse_date(F.col("release_date"))).drop("page")
 
 
+def _releases(landing: Landing) -> DataFrame:
+    return release_listing(landing) if landing.pages is None else release_pages(landing.pages)
+
+
 def new_candidates(
     listing: DataFrame,
     start: dt.date,
@@ -355,18 +489,27 @@ def add_new(
     max_pages: int | None = None,
     page_size: int = 20,
     watermark_ceiling: dt.date | None = None,
+    max_cast: int | None = MAX_CAST,
 ) -> Changes:
     """Add what was released since the newest movie of the catalog, minus a look-back period.
-    ``releases`` is the listing to look at (default: the landing documents themselves). An empty
-    catalog has no watermark: nothing to do."""
-    mark = watermark(tables["movies"], "release_date", watermark_ceiling)
+    ``releases`` is the listing to look at (default: the fetched result pages if the landing zone was read
+    with them, else the documents themselves). An empty catalog has no watermark: nothing to do."""
+    mark = _watermark(tables, watermark_ceiling)
     if mark is None:
         return Changes()
-    releases = release_listing(landing) if releases is None else releases
+    releases = _releases(landing) if releases is None else releases
     found = new_candidates(
         releases, period_start(mark, period), max_pages=max_pages, page_size=page_size
     )
-    return add_documents(tables, landing, found.select("id"))
+    return add_documents(tables, landing, found.select("id"), max_cast)
+
+
+def _watermark(tables: Tables, ceiling: dt.date | None) -> dt.date | None:
+    """From the parts' statistics where these tell, else from a scan."""
+    bounds = tables.bounds("movies", "release_date") if isinstance(tables, Snapshot) else None
+    if bounds and (ceiling is None or bounds[1] is None or bounds[1] <= ceiling):
+        return bounds[1]
+    return watermark(tables["movies"], "release_date", ceiling)
 
 
 # --- search -----------------------------------------------------------------------------
@@ -420,51 +563,73 @@ def search_and_add(
 
 
 def discover(landing: Landing, **options) -> DataFrame:
-    """Ids an initial build should request, year by year."""
-    return discover_ids(release_listing(landing), **options)
+    """Ids an initial build should request, year by year, from the result pages if there are any. Of
+    several listings of one id the latest date counts, then the highest popularity."""
+    listed = _releases(landing)
+    if landing.pages is not None:
+        order = [F.desc_nulls_last("release_date"), F.desc_nulls_last("popularity"), F.col("title")]
+        listed = first_wins(listed, ["id"], order)
+    return discover_ids(listed, **options)
 
 
 def sync(
-    store: SnapshotStore, landing: Landing, period: str | int | None, as_of: dt.datetime
+    store: SnapshotStore,
+    landing: Landing,
+    period: str | int | None,
+    as_of: dt.datetime,
+    max_cast: int | None = MAX_CAST,
 ) -> list[Published]:
     """Refresh everything, then add what is new. The watermark is read after the refresh, which
     may have moved release dates."""
-    refreshed = publish(store, refresh(current_tables(store), landing, as_of))
-    added = publish(store, add_new(current_tables(store), landing, period))
-    return [refreshed, added]
+    refreshed = commit(store, lambda t: refresh(t, landing, as_of, max_cast=max_cast), name="refresh")
+    added = commit(store, lambda t: add_new(t, landing, period, max_cast=max_cast), name="add-new")
+    return [done for done in (refreshed, added) if done]
 
 
-def sync_documents(tables: Tables, landing: Landing, as_of: dt.datetime) -> Changes:
+def sync_documents(
+    tables: Tables, landing: Landing, as_of: dt.datetime, max_cast: int | None = MAX_CAST
+) -> Changes:
     """Upsert of the documents at hand over all four tables: known movies are refreshed (given a
     credits document), others inserted. Without anything to refresh this only appends."""
     arrived = sized(key_set(landing.details, ["id"]))
-    docs = stage(_documents(landing, "left", arrived), "documents")
-    known = stage(existing_keys(docs.select("id"), tables["movies"], ["id"]), "known-ids")
-    with_credits = docs.filter(F.col("_credits").isNotNull())
-    changed = keep_known(with_credits, known, ["id"], unique=True)
+    docs = stage(_documents(landing, "left", arrived, max_cast), "documents")
+    ids = docs.select("id")
+    known = stage(existing_keys(ids, around(tables, "movies", ids), ["id"]), "known-ids")
+    with_credits = docs.filter(F.col(CREDIT_LIST).isNotNull())
+    changed_docs = keep_known(with_credits, known, ["id"], unique=True)
     new = keep_unknown(docs, known, ["id"], unique=True)
     append = _insert_rows(new)
-    replace: dict[str, DataFrame] = {}
-    if not changed.isEmpty():
-        replace = _update_rows(tables, changed, as_of)
+    rewrite: dict[str, Rewrite] = {}
+    if not changed_docs.isEmpty():
+        rewrite = _update_rows(changed_docs, as_of)
+    errors = lambda: _sync_errors(landing, docs, known)
     if landing.persons is not None:
         # People are upserted whatever else the documents hold; a table is appended to where none
         # of them is known.
-        credits = _credits_of(changed).unionByName(append["credits"])
-        people = _people_changes(tables, credits, landing.persons)
-        replace |= people.replace
+        credits = _credits_of(changed_docs).unionByName(append["credits"])
+        people = _people_changes(tables, needed_people(credits, landing.persons))
+        rewrite |= people.rewrite
         append |= people.append
-    return Changes(replace, append)
+    return Changes(_replaced(tables, rewrite), append, errors, rewrite, _version(tables))
 
 
-def sync_people(tables: Tables, persons: DataFrame) -> Changes:
-    """Upsert of the person documents that the catalog's credits mention."""
-    return _people_changes(tables, tables["credits"], persons)
+def _sync_errors(landing: Landing, docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Failed fetches, unreadable lines, and films that wait for their credits or have none."""
+    bare = docs.filter(F.size(F.coalesce(F.col(CREDIT_LIST), F.array())) == 0)
+    return union_rows(*_fetch_log(landing), error_rows(bare, "no_credits", "sync", "id"))
 
 
-def _people_changes(tables: Tables, credits: DataFrame, persons: DataFrame) -> Changes:
-    people = stage(needed_people(credits, persons), "people")
-    if existing_keys(people.select("id"), tables["people"], ["id"]).isEmpty():
-        return Changes(append={"people": people})
-    columns = [c for c in TABLES["people"] if c != "id"]
-    return Changes(replace={"people": upsert(tables["people"], people, ["id"], columns)})
+def sync_people(tables: Tables, persons: DataFrame) -> Changes:
+    """Upsert of the person documents that the catalog's credits mention."""
+    return _people_changes(tables, needed_people(tables["credits"], persons))
+
+
+def _people_changes(tables: Tables, needed: DataFrame) -> Changes:
+    people = stage(needed, "people")
+    ids = people.select("id")
+    if existing_keys(ids, around(tables, "people", ids), ["id"]).isEmpty():
+        return Changes(append={"people": people}, base=_version(tables))
+    rewrite = {"people": Rewrite(
+        lambda: ids, lambda rows: upsert_tagged(rows, people, ["id"], _PERSON_COLUMNS)
+    )}
+    return Changes(_replaced(tables, rewrite), rewrite=rewrite, base=_version(tables))

@@ -1,0 +1,164 @@
+"""Landing files taken in once: a ledger of files, and typed documents beside the catalog.
+
+``take_in`` lists the landing zone, leaves out the files that the ledger names, parses the others and
+publishes their documents, the errors found in them and their ledger rows in one version. Jobs then
+read documents from Parquet by the columns they need, never a JSON line twice. Documents are dealt
+into slots by id like the catalog, so the documents of a few films are looked up without reading
+the others. Fetches of one id are all kept until ``forget_superseded``; readers take the newest.
+
+Credits are taken apart on arrival: what is stored, sorted and joined is the list of credits that
+the catalog keeps, not the whole cast and crew.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Mapping
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalog_sync.operators.joins import key_set, keep_unknown
+from catalog_sync.operators.quality import fetch_errors
+from catalog_sync.operators.shape import CREDIT_LIST, good_documents, listed_credits, newest_documents
+from catalog_sync.plans.jobs import ERRORS, Landing
+from catalog_sync.schemas import CORRUPT, MAX_CAST
+from catalog_sync.scratch import stage
+from catalog_sync.sources.landing import DOCUMENTS, parse_documents
+from catalog_sync.sources.snapshots import Published, Rewrite, Snapshot, SnapshotStore
+
+FILES = "landed_files"
+#: Document kind -> its id.
+IDS = {"details": "id", "credits": "movie_id", "persons": "id"}
+#: Keys by which the tables are dealt into slots. Documents repeat theirs, one row per fetch.
+LANDED_KEYS = {
+    FILES: ["path"],
+    "landed_details": ["id", "fetched_at", "_tie"],
+    "landed_credits": ["movie_id", "fetched_at", "_tie"],
+    "landed_persons": ["id", "fetched_at", "_tie"],
+}
+
+
+def landed(kind: str) -> str:
+    return f"landed_{kind}"
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files of the landing zone: path, kind, bytes, time. Their contents are not opened."""
+    found = spark.createDataFrame([], "path string, kind string, bytes bigint, modified timestamp")
+    for kind in DOCUMENTS:
+        try:
+            files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{kind}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found = found.union(files.select(
+            "path", F.lit(kind), F.col("length"), F.col("modificationTime")
+        ))
+    return found
+
+
+def arrived(lines: DataFrame, kind: str, max_cast: int | None = MAX_CAST) -> tuple[DataFrame, DataFrame]:
+    """(documents, errors) of the JSON lines of a kind, the former as they are stored."""
+    docs = parse_documents(lines, "value", kind)
+    if kind == "pages":
+        bad = docs.filter(F.col(CORRUPT).isNotNull()).select(
+            F.lit("processing_error").alias("category"), F.lit(kind).alias("stage"),
+            F.lit(None).cast("bigint").alias("id"), F.col(CORRUPT).alias("detail"),
+        )
+        return docs.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+    errors = fetch_errors(docs, IDS[kind], kind)
+    columns = [listed_credits(docs, max_cast=max_cast)] if kind == "credits" else None
+    return good_documents(docs, IDS[kind], columns), errors
+
+
+def error_table(errors: DataFrame, job: str) -> DataFrame:
+    return errors.select(
+        "category", "stage", "id", "detail", F.lit(job).alias("job"),
+        F.lit(None).cast("string").alias("run"), F.lit(dt.datetime.now()).alias("logged_at"),
+    )
+
+
+def take_in(
+    store: SnapshotStore, root: str, max_cast: int | None = MAX_CAST, attempts: int = 5
+) -> Published | None:
+    """Take in the landing files that the ledger does not name yet; None if there are none.
+
+    A file is known by its path: one that is written to afterwards is not read again. Of two runs
+    that take in the same file the later fails on the ledger's key and starts again without it."""
+    from catalog_sync.sources.snapshots import Conflict
+
+    spark = store.spark
+    for left in reversed(range(attempts)):
+        tables = store.tables()
+        files = list_files(spark, root)
+        if FILES in tables:
+            files = keep_unknown(files, tables[FILES], ["path"], unique=True)
+        files = stage(files, "new-files")
+        append: dict[str, DataFrame] = {}
+        errors = []
+        for kind in DOCUMENTS:
+            paths = [r.path for r in files.filter(F.col("kind") == kind).select("path").collect()]
+            if paths:
+                lines = spark.read.text([p.replace("%", "%25") if "%" in p and ":" not in p else p for p in paths])
+                # One parse for documents and errors.
+                docs, bad = arrived(stage(lines, f"{kind}-lines"), kind, max_cast)
+                append[landed(kind)] = docs
+                errors.append(bad)
+        if not append:
+            return None
+        log = errors[0]
+        for more in errors[1:]:
+            log = log.unionByName(more)
+        append |= {FILES: files, ERRORS: error_table(log, "take-in")}
+        try:
+            return store.publish(append=append, base=tables.version)
+        except Conflict:
+            if not left:
+                raise
+    return None
+
+
+def landing_of(tables: Snapshot, ids: DataFrame | None = None) -> Landing:
+    """The documents taken in so far, as jobs read them; with ``ids`` (one column) those of the slots
+    that these films fall into."""
+    def of(kind: str) -> DataFrame | None:
+        name = landed(kind)
+        if name not in tables:
+            return None
+        return tables[name] if ids is None or kind not in ("details", "credits") else tables.around(name, ids)
+
+    spark = tables.store.spark
+    found = {kind: of(kind) for kind in DOCUMENTS}
+    for kind in ("details", "credits"):
+        if found[kind] is None:
+            docs, _ = arrived(spark.createDataFrame([], "value string"), kind)
+            found[kind] = docs
+    return Landing(**found)
+
+
+def forget_superseded(store: SnapshotStore, kinds: Mapping[str, str] = IDS) -> Published:
+    """Rewrite the documents to the newest fetch of each id."""
+    tables = store.tables()
+    rewrite = {}
+    for kind, key in kinds.items():
+        name = landed(kind)
+        if name in tables:
+            rewrite[name] = Rewrite(
+                lambda name=name, key=key: key_set(tables[name], [key]),
+                lambda rows, key=key: _newest(rows, key),
+            )
+    return store.publish(rewrite=rewrite, base=tables.version)
+
+
+def _newest(rows: DataFrame, key: str) -> DataFrame:
+    tied = rows.withColumn("_kept", F.col("_tie"))
+    return newest_documents(tied, key).withColumnRenamed("_kept", "_tie").select(*rows.columns)
+
+
+__all__ = [
+    "CREDIT_LIST", "FILES", "LANDED_KEYS", "arrived", "error_table", "forget_superseded", "landed",
+    "landing_of", "list_files", "take_in",
+]
