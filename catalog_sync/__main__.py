@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from catalog_sync.operators.incremental import above_id
 from catalog_sync.operators.quality import error_samples, error_summary, key_audit, table_profile
 from catalog_sync.plans import jobs
 from catalog_sync.plans.jobs import Changes, Landing
-from catalog_sync.schemas import FOREIGN_KEYS, KEYS
+from catalog_sync.plans.ledger import forget_superseded, landing_of, take_in
+from catalog_sync.schemas import FOREIGN_KEYS, KEYS, MAX_CAST
 from catalog_sync.sources.csv_files import write_catalog
-from catalog_sync.sources.snapshots import SnapshotStore
+from catalog_sync.sources.snapshots import Published, Snapshot, SnapshotStore
 from catalog_sync.streaming import stream_catalog
 
 
@@ -25,9 +27,10 @@ def _parser() -> argparse.ArgumentParser:
     def command(name: str, help_: str, landing: bool = True) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=help_)
         sub.add_argument("--store", required=True, help="folder of the published tables")
-        sub.add_argument("--buckets", type=int, default=0, help="cluster movies and people by id")
+        sub.add_argument("--buckets", type=int, default=0, help="deal new tables into so many slots by id")
         if landing:
-            sub.add_argument("--landing", required=True, help="folder with details/credits/persons")
+            sub.add_argument("--landing", required=True, help="folder with details/credits/persons, maybe pages")
+            sub.add_argument("--max-cast", type=int, default=MAX_CAST, help="actors kept per movie")
         return sub
 
     build = command("build", "documents to the four tables")
@@ -52,6 +55,11 @@ def _parser() -> argparse.ArgumentParser:
     stream = command("stream", "sync new landing files, then stop")
     stream.add_argument("--checkpoint", required=True)
     command("report", "columns, row counts, key and reference checks", landing=False)
+    command("compact", "merge small parts, forget superseded documents", landing=False)
+    changes = command("changes", "rows of a table that differ between two versions", landing=False)
+    changes.add_argument("table")
+    changes.add_argument("--since", type=int, required=True)
+    changes.add_argument("--until", type=int)
     return parser
 
 
@@ -61,16 +69,13 @@ def _print(df: DataFrame) -> None:
         print(row)
 
 
-def _finish(store: SnapshotStore, changes: Changes) -> None:
-    if changes.replace or changes.append:
-        print(jobs.publish(store, changes))
-    else:
-        print("nothing to do")
-    if changes.errors:
-        log = changes.errors().persist()
-        error_summary(log).show(truncate=False)
-        error_samples(log).show(truncate=False)
-        log.unpersist()
+def _report(published: list[Published | None]) -> None:
+    """What was written and counted, and the errors logged with it."""
+    for done in published:
+        print(done or "nothing to do")
+        if done and done.log is not None:
+            error_summary(done.log).show(truncate=False)
+            error_samples(done.log).show(truncate=False)
 
 
 def _requested(
@@ -85,34 +90,48 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"catalog_sync {args.command}").getOrCreate()
     store = SnapshotStore(spark, args.store, args.buckets)
-    landing = Landing.read(spark, args.landing) if "landing" in args else None
     now = dt.datetime.now()
-    tables = jobs.current_tables(store)
+    if "landing" in args and args.command != "stream":
+        _report(take_in(store, args.landing, args.max_cast))
+    cast = {"max_cast": args.max_cast} if "max_cast" in args else {}
+
+    def run(job: Callable[[Snapshot], Changes]) -> None:
+        _report([jobs.commit(store, job, name=args.command)])
+
     if args.command == "build":
-        changes = jobs.initial_build(landing, _requested(landing, args.year, args.since_id, args.max_pages))
+        landing = landing_of(store.tables())
+        requested = _requested(landing, args.year, args.since_id, args.max_pages)
+        changes = jobs.initial_build(landing, requested, **cast)
         if args.csv:
             write_catalog(changes.replace, args.csv)
-        _finish(store, changes)
+        _report([jobs.publish(store, changes, "build")])
     elif args.command == "load-csv":
-        _finish(store, jobs.load_csv(spark, args.csv, None if args.initial else tables))
+        run(lambda tables: jobs.load_csv(spark, args.csv, None if args.initial else tables))
     elif args.command == "refresh":
         ids = spark.createDataFrame([(i,) for i in args.id], "id BIGINT") if args.id else None
-        _finish(store, jobs.refresh(tables, landing, now, ids))
+        run(lambda tables: jobs.refresh(tables, landing_of(tables), now, ids, **cast))
     elif args.command == "add-new":
-        _finish(store, jobs.add_new(tables, landing, args.period))
+        run(lambda tables: jobs.add_new(tables, landing_of(tables), args.period, **cast))
     elif args.command == "search":
+        chosen = (args.query, args.select, args.page_size, args.page)
         if args.select:
-            chosen = (args.query, args.select, args.page_size, args.page)
-            _finish(store, jobs.search_and_add(tables, landing, *chosen))
+            run(lambda tables: jobs.search_and_add(tables, landing_of(tables), *chosen))
         else:
-            page = jobs.search(tables, landing, args.query, args.page_size, args.page)
+            tables = jobs.current_tables(store)
+            page = jobs.search(tables, landing_of(tables), args.query, args.page_size, args.page)
             lines = page.orderBy(F.col("ordinal"))
             _print(lines.select("line", "genre_line"))
     elif args.command == "sync":
-        print(*jobs.sync(store, landing, args.period, now), sep="\n")
+        _report(jobs.sync(store, landing_of(store.tables()), args.period, now, **cast))
     elif args.command == "stream":
-        stream_catalog(spark, args.landing, store, args.checkpoint).awaitTermination()
+        stream_catalog(spark, args.landing, store, args.checkpoint, **cast).awaitTermination()
+    elif args.command == "compact":
+        _report([forget_superseded(store), *[store.compact(name) for name in store.tables()]])
+    elif args.command == "changes":
+        _print(store.changes(args.table, args.since, args.until))
     else:
+        tables = jobs.current_tables(store)
+        tables = {name: tables[name] for name in KEYS}
         _print(table_profile(tables))
         _print(key_audit(tables, KEYS, FOREIGN_KEYS))
 

@@ -113,6 +113,18 @@ def error_summary(errors: DataFrame, categories: Sequence[str] = ERROR_CATEGORIE
     )
 
 
+def error_counts(errors: DataFrame, categories: Sequence[str] = ERROR_CATEGORIES) -> DataFrame:
+    """The same with the errors that have no id, such as lines that could not be read."""
+    counts = errors.groupBy("category").agg(
+        F.count_distinct("id").alias("ids"), F.count_if(F.col("id").isNull()).alias("without_id")
+    )
+    return (
+        category_frame(errors.sparkSession, categories)
+        .join(counts, "category", "left")
+        .select("category", F.coalesce("ids", F.lit(0)).alias("ids"), F.coalesce("without_id", F.lit(0)).alias("without_id"))
+    )
+
+
 def error_samples(errors: DataFrame, n: int = ERROR_SAMPLE_SIZE) -> DataFrame:
     """Up to ``n`` smallest ids per category. The ids are cut to ``n`` per category in every map
     task first, so a category holding most of the log stays small."""

@@ -74,8 +74,10 @@ from catalog_sync.operators.upsert import (
 from catalog_sync.schemas import (
     CORRUPT,
     CSV_COLUMNS,
+    ERRORS,
     KEYS,
     MAX_CAST,
+    MENTIONED,
     REQUIRED_FIELDS,
     TABLES,
     UPDATABLE_MOVIE_COLUMNS,
@@ -86,7 +88,8 @@ from catalog_sync.sources.landing import read_documents
 from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, Snapshot, SnapshotStore
 
 Tables = Mapping[str, DataFrame]
-ERRORS = "errors"
+#: Tables that go with the catalog and are not counted among its rows.
+BESIDE = (ERRORS, MENTIONED)
 
 
 @dataclass(frozen=True)
@@ -108,34 +111,57 @@ class Landing:
 class Changes:
     """``replace`` holds whole tables. Where ``rewrite`` has the table too, a store may apply that to the
     rows concerned instead. ``errors`` plans the error log when it is asked for, ``base`` is the
-    version of the store that the tables were read at."""
+    version of the store that the tables were read at. ``mentions`` holds the person ids of credits that
+    ``rewrite`` adds."""
 
     replace: dict[str, DataFrame] = field(default_factory=dict)
     append: dict[str, DataFrame] = field(default_factory=dict)
     errors: Callable[[], DataFrame] | None = None
     rewrite: dict[str, Rewrite] = field(default_factory=dict)
     base: int | None = None
+    mentions: DataFrame | None = None
 
 
 def publish(store: SnapshotStore, changes: Changes, job: str | None = None, **stream) -> Published:
     """Publish what a job changed, with the errors it met in the same version."""
-    known = store._layout(changes.base).tables if changes.rewrite else {}
+    known = store._layout(changes.base).tables
     rewrite = {n: r for n, r in changes.rewrite.items() if n in known}
     replace = {n: df for n, df in changes.replace.items() if n not in rewrite}
     append, log = dict(changes.append), None
     if changes.errors:
-        run = uuid.uuid4().hex
-        log = stage(changes.errors().select(
-            "category", "stage", "id", "detail", F.lit(job).cast("string").alias("job"),
-            F.lit(run).alias("run"), F.lit(dt.datetime.now()).alias("logged_at"),
-        ), "errors")
+        log = stage(error_table(changes.errors(), job), "errors")
         append[ERRORS] = log
+    mentions = _mentions(store, changes, replace)
+    if mentions is not None:
+        append[MENTIONED] = mentions
     done = store.publish(replace, append, rewrite=rewrite, base=changes.base, **stream)
-    if log is None:
-        return done
-    rows = {n: v for n, v in done.rows.items() if n != ERRORS}
-    counters = {n: v for n, v in done.counters.items() if n != ERRORS}
-    return changed(done, rows=rows, counters=counters, log=log)
+    rows, parts, counters = ({n: v for n, v in x.items() if n not in BESIDE} for x in (done.rows, done.parts, done.counters))
+    return changed(done, rows=rows, parts=parts, counters=counters, log=log)
+
+
+def error_table(errors: DataFrame, job: str | None) -> DataFrame:
+    """Errors as the store keeps them: by which run of which job, and when."""
+    return errors.select(
+        "category", "stage", "id", "detail", F.lit(job).cast("string").alias("job"),
+        F.lit(uuid.uuid4().hex).alias("run"), F.lit(dt.datetime.now()).alias("logged_at"),
+    )
+
+
+def _mentions(store: SnapshotStore, changes: Changes, replace: Tables) -> DataFrame | None:
+    """Person ids that the changed credits mention and none did before. Kept beside the catalog, so that
+    a person who arrives late is not looked for in all credits."""
+    given = [changes.append.get("credits"), replace.get("credits"), changes.mentions]
+    ids = [key_set(df, ["person_id"]) for df in given if df is not None]
+    if not ids:
+        return None
+    known = store._layout(changes.base).tables
+    tables = Snapshot(store, store._layout(changes.base), [n for n in (MENTIONED, "credits") if n in known])
+    if MENTIONED not in tables:
+        if "credits" in tables:
+            ids.append(tables["credits"].select("person_id"))
+        return key_set(union_rows(*ids), ["person_id"])
+    ids = stage(key_set(union_rows(*ids), ["person_id"]), "mentioned-ids")
+    return exclude_existing(ids, tables.around(MENTIONED, ids), ["person_id"])
 
 
 def commit(
@@ -394,7 +420,8 @@ def refresh(
         needed = needed_people(_credits_of(docs), landing.persons)
         replace["people"] = upsert(tables["people"], needed, ["id"], _PERSON_COLUMNS)
     errors = lambda: _refresh_errors(tables, landing, docs, ids)
-    return Changes(replace, errors=errors, rewrite=rewrite, base=_version(tables))
+    mentions = _credits_of(docs).select("person_id")
+    return Changes(replace, errors=errors, rewrite=rewrite, base=_version(tables), mentions=mentions)
 
 
 def _refresh_errors(
@@ -593,6 +620,24 @@ def sync_documents(
     credits document), others inserted. Without anything to refresh this only appends."""
     arrived = sized(key_set(landing.details, ["id"]))
     docs = stage(_documents(landing, "left", arrived, max_cast), "documents")
+
+    def needed(credits: DataFrame) -> DataFrame | None:
+        return None if landing.persons is None else needed_people(credits, landing.persons)
+
+    changes = _upserted(tables, docs, needed, as_of)
+    return changed(changes, errors=lambda: union_rows(*_fetch_log(landing), _bare(docs)))
+
+
+def _bare(docs: DataFrame) -> DataFrame:
+    """Films that wait for their credits or have none."""
+    bare = docs.filter(F.size(F.coalesce(F.col(CREDIT_LIST), F.array())) == 0)
+    return error_rows(bare, "no_credits", "sync", "id")
+
+
+def _upserted(
+    tables: Tables, docs: DataFrame, needed: Callable[[DataFrame], DataFrame | None], as_of: dt.datetime
+) -> Changes:
+    """Upsert of staged movie documents and of the people that ``needed`` finds for their credits."""
     ids = docs.select("id")
     known = stage(existing_keys(ids, around(tables, "movies", ids), ["id"]), "known-ids")
     with_credits = docs.filter(F.col(CREDIT_LIST).isNotNull())
@@ -602,21 +647,18 @@ def sync_documents(
     rewrite: dict[str, Rewrite] = {}
     if not changed_docs.isEmpty():
         rewrite = _update_rows(changed_docs, as_of)
-    errors = lambda: _sync_errors(landing, docs, known)
-    if landing.persons is not None:
+    credits = _credits_of(changed_docs).unionByName(append["credits"])
+    people = needed(credits)
+    if people is not None:
         # People are upserted whatever else the documents hold; a table is appended to where none
         # of them is known.
-        credits = _credits_of(changed_docs).unionByName(append["credits"])
-        people = _people_changes(tables, needed_people(credits, landing.persons))
-        rewrite |= people.rewrite
-        append |= people.append
-    return Changes(_replaced(tables, rewrite), append, errors, rewrite, _version(tables))
-
-
-def _sync_errors(landing: Landing, docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Failed fetches, unreadable lines, and films that wait for their credits or have none."""
-    bare = docs.filter(F.size(F.coalesce(F.col(CREDIT_LIST), F.array())) == 0)
-    return union_rows(*_fetch_log(landing), error_rows(bare, "no_credits", "sync", "id"))
+        found = _people_changes(tables, people)
+        rewrite |= found.rewrite
+        append |= found.append
+    return Changes(
+        _replaced(tables, rewrite), append, rewrite=rewrite, base=_version(tables),
+        mentions=_credits_of(changed_docs).select("person_id"),
+    )
 
 
 def sync_people(tables: Tables, persons: DataFrame) -> Changes:
@@ -633,3 +675,32 @@ def _people_changes(tables: Tables, needed: DataFrame) -> Changes:
         lambda: ids, lambda rows: upsert_tagged(rows, people, ["id"], _PERSON_COLUMNS)
     )}
     return Changes(_replaced(tables, rewrite), rewrite=rewrite, base=_version(tables))
+
+
+def sync_arrived(
+    tables: Snapshot, before: Landing, arrived: Landing, as_of: dt.datetime, max_cast: int | None = MAX_CAST
+) -> Changes:
+    """What newly arrived documents change: films whose details or credits arrived, the people of their
+    credits, and persons that arrived after the credits that mention them. Documents that came
+    ``before`` are looked up in the slots of these films and people only."""
+    films = stage(key_set(
+        union_rows(arrived.details.select("id"), arrived.credits.select(F.col("movie_id").alias("id"))), ["id"]
+    ), "arrived-films")
+
+    def all_of(kind: str, ids: DataFrame) -> DataFrame:
+        name, new = f"landed_{kind}", getattr(arrived, kind)
+        old = around(tables, name, ids) if name in tables else getattr(before, kind)
+        return new if old is None else old.unionByName(new, allowMissingColumns=True)
+
+    both = Landing(all_of("details", films), all_of("credits", films))
+    docs = stage(_documents(both, "left", sized(films), max_cast), "documents")
+
+    def needed(credits: DataFrame) -> DataFrame:
+        mentioned = key_set(credits, ["person_id"]).withColumnRenamed("person_id", "id")
+        late = stage(key_set(arrived.persons, ["id"]), "arrived-persons")
+        known = around(tables, MENTIONED, late) if MENTIONED in tables else tables["credits"]
+        late = existing_keys(late, known, {"id": "person_id"})
+        ids = stage(mentioned.union(late).distinct(), "needed-ids")
+        return needed_people(ids.withColumnRenamed("id", "person_id"), all_of("persons", ids))
+
+    return _upserted(tables, docs, needed, as_of)

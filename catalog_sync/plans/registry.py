@@ -13,7 +13,7 @@ _RUNS: dict[str, Run] = {}
 _SQL: dict[str, str] = {}
 _MODULES = [
     "cleaning", "shaping", "lookups", "picks", "incremental", "mutations", "quality", "exchange",
-    "catalog",
+    "catalog", "store",
 ]
 
 

@@ -2,7 +2,7 @@
 
 Each micro-batch is one publish that records the checkpoint's id and the batch number, so a batch
 replayed after a failure is recognised and skipped. Batches are upserts by newest fetch: a new
-checkpoint reapplies them all without harm. ``availableNow`` makes a run take what is there and stop,
+checkpoint reapplies them all without harm (documents are then kept twice until they are compacted). ``availableNow`` makes a run take what is there and stop,
 which is how a scheduler drives a sync; a processing-time trigger keeps it running.
 """
 
@@ -10,25 +10,21 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from catalog_sync.operators.dedup import fresh_latest
-from catalog_sync.operators.joins import existing_keys, keep_known
-from catalog_sync.operators.upsert import upsert
-from catalog_sync.plans.jobs import (
-    Landing,
-    current_tables,
-    publish,
-    sync_documents,
-    sync_people,
-)
+from catalog_sync.operators.joins import existing_keys
+from catalog_sync.operators.upsert import upsert_tagged
+from catalog_sync.plans.jobs import around
+from catalog_sync.plans.ledger import IDS, sync_lines
+from catalog_sync.schemas import MAX_CAST
 from catalog_sync.scratch import stage
-from catalog_sync.sources.landing import DOCUMENTS, read_json_stream
-from catalog_sync.sources.snapshots import SnapshotStore
+from catalog_sync.sources.snapshots import Conflict, Rewrite, SnapshotStore
+
+ATTEMPTS = 5
 
 
 def stream_id(batch: DataFrame, name: str) -> str:
@@ -66,20 +62,31 @@ def stream_upsert(
     **trigger,
 ) -> StreamingQuery:
     """Keep ``table`` at the newest row per key, whatever order the files arrive in. A batch of
-    unknown keys only is appended; otherwise the table is rewritten."""
+    unknown keys only is appended; otherwise the slots of its keys are rewritten (the table, if it
+    has none). A batch that another publish got in the way of is applied again."""
     order = [F.col(c).desc() for c in tie_break]
 
     def apply(batch: DataFrame, mark: dict) -> None:
         source = stage(fresh_latest(batch, keys, fetched_at, tie_break=order), f"{table}-batch")
-        tables = store.tables()
-        if table not in tables:
-            store.publish(replace={table: source}, **mark)
-        elif existing_keys(source.select(*keys), tables[table], keys).isEmpty():
-            store.publish(append={table: source}, **mark)
-        else:
-            columns = [c for c in source.columns if c not in keys]
-            merged = upsert(tables[table], source, keys, columns, newest_by=fetched_at)
-            store.publish(replace={table: merged}, **mark)
+        columns = [c for c in source.columns if c not in keys]
+        first = store.keys.get(table, list(keys))[0]
+        rewrite = Rewrite(
+            lambda: source.select(first).distinct(),
+            lambda rows: upsert_tagged(rows, source, keys, columns, newest_by=fetched_at),
+        )
+        for left in reversed(range(ATTEMPTS)):
+            tables = store.tables()
+            try:
+                if table not in tables:
+                    store.publish(replace={table: source}, base=tables.version, **mark)
+                elif existing_keys(source.select(*keys), around(tables, table, source.select(first)), keys).isEmpty():
+                    store.publish(append={table: source}, base=tables.version, **mark)
+                else:
+                    store.publish(rewrite={table: rewrite}, base=tables.version, **mark)
+                return
+            except Conflict:
+                if not left:
+                    raise
 
     return _start(rows, store, table, checkpoint, apply, trigger)
 
@@ -90,28 +97,23 @@ def stream_catalog(
     store: SnapshotStore,
     checkpoint: str,
     now: Callable[[], dt.datetime] = dt.datetime.now,
+    max_cast: int | None = MAX_CAST,
     **trigger,
 ) -> StreamingQuery:
     """Sync the four catalog tables as documents land. A film is synced when its details or its
     credits arrive, whichever comes last; a person who arrives later than the credits that mention
-    them is added then. A batch looks up the documents of its films in the landing zone."""
+    them is added then. A batch parses the lines that arrived, keeps their documents beside the catalog,
+    and looks up earlier ones by slot; all of it is one publish, so no version holds films without
+    their people."""
     root = landing_root.rstrip("/")
 
-    def arriving(kind: str, id_: str) -> DataFrame:
-        rows = read_json_stream(spark, f"{root}/{kind}", DOCUMENTS[kind])
-        return rows.where(F.col(id_).isNotNull()).select(F.col(id_).alias("id"), F.lit(kind).alias("kind"))
+    def arriving(kind: str) -> DataFrame:
+        return spark.readStream.text(f"{root}/{kind}").select("value", F.lit(kind).alias("kind"))
 
-    touched = arriving("details", "id").union(arriving("credits", "movie_id")).union(arriving("persons", "id"))
+    kinds = [arriving(kind) for kind in IDS]
+    lines = kinds[0].union(kinds[1]).union(kinds[2])
 
     def apply(batch: DataFrame, mark: dict) -> None:
-        ids = stage(batch.distinct(), "touched-ids")
-        films = ids.where("kind <> 'persons'").select("id").distinct()
-        people = ids.where("kind = 'persons'").select("id")
-        documents = Landing.read(spark, root)
-        landing = replace(documents, details=keep_known(documents.details, films, ["id"], unique=True))
-        publish(store, sync_documents(current_tables(store), landing, now()))
-        arrived = keep_known(documents.persons, people, ["id"], unique=True)
-        # The mark comes with the last publish: a batch cut off before is applied again.
-        publish(store, sync_people(current_tables(store), arrived), **mark)
-
-    return _start(touched, store, "catalog", checkpoint, apply, trigger)
+        sync_lines(store, stage(batch, "arrived-lines"), now(), max_cast, **mark)
+
+    return _start(lines, store, "catalog", checkpoint, apply, trigger)
