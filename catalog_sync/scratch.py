@@ -28,4 +28,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     reader prunes to the columns it needs, and a lost executor costs no recomputation."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete staged frames that nothing reads any more: what was made of them is staged itself."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
