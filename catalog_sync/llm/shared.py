@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from catalog_sync.scratch import stage
+from catalog_sync.scratch import discard, stage
 
 MAX_ROUNDS = 60
 
@@ -73,20 +73,26 @@ def ranked(df: DataFrame, group: list[str], order: list[str], rank: str = "rank"
     )
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(
-        F.count(F.lit(1)), F.bit_xor(F.xxhash64("src", "dst"))
-    ).first()
-    return row[0], row[1]
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge, to a node that has none: all components are found."""
+    src, dst = F.col("src"), F.col("dst")
+    nodes = edges.select(src.alias("id"), dst.alias("low"), F.lit(0).alias("root")).union(
+        edges.select(dst.alias("id"), dst.alias("low"), F.lit(1).alias("root")).distinct()
+    )
+    mixed = nodes.groupBy("id").agg(
+        F.min("low").alias("low"), F.max("low").alias("high"), F.min("root").alias("leaf"), F.max("root").alias("root")
+    )
+    return mixed.where("low <> high OR leaf <> root").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable, for every id that has an edge.
 
     ``edges`` holds (src, dst) longs in any direction. Alternating large-star and small-star
-    rounds; each round is written to the shared folder, so lineage stays short. Each node's smallest
-    neighbour is written before it is joined back: both sides of that join then come from plain
-    exchanges, and AQE can split a hub that holds many edges.
+    rounds until stars are left; each round is written to the shared folder, so lineage stays short, and
+    takes the place of the one before. Each node's smallest neighbour is written before it is joined
+    back: both sides of that join then come from plain exchanges, and AQE can split a hub that holds
+    many edges.
     """
     src, dst = F.col("src"), F.col("dst")
     now = stage(
@@ -94,8 +100,10 @@ def components(edges: DataFrame) -> DataFrame:
         .select(F.greatest(src, dst).alias("src"), F.least(src, dst).alias("dst")).distinct(),
         "edges",
     )
-    state = _state(now)
     for _ in range(MAX_ROUNDS):
+        if _stars(now):
+            roots = now.select(dst.alias("id"), dst.alias("component")).distinct()
+            return now.select(src.alias("id"), dst.alias("component")).union(roots)
         both = now.select("src", "dst").union(now.select(dst, src))
         low = stage(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low")), "low")
         large = stage(
@@ -114,10 +122,8 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
-        if (new := _state(after)) == state:
-            roots = after.select(dst.alias("id"), dst.alias("component")).distinct()
-            return after.select(src.alias("id"), dst.alias("component")).union(roots)
-        now, state = after, new
+        discard(now, low, large, least)
+        now = after
     raise RuntimeError("components did not settle")
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RECORDS: list[list[DataFrame]] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -30,9 +34,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.staged_at = path
+    for frames in _RECORDS:
+        frames.append(back)
     return back
 
 
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The frames staged within, for a later ``discard``."""
+    frames: list[DataFrame] = []
+    _RECORDS.append(frames)
+    try:
+        yield frames
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not frames]
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete staged frames that nothing reads any more: what was made of them is staged itself."""
     for df in frames:
