@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from catalog_sync.llm.shared import components, partitions, ranked
 from catalog_sync.llm.words import WORD_COUNT, mix, shingles
-from catalog_sync.scratch import stage
+from catalog_sync.scratch import discard, recorded, stage
 
 BANDS = 25
 ROWS = 5
@@ -290,7 +290,9 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
         grouped.groupBy(*bucket).agg(F.min("__component").alias("__low"), F.max("__component").alias("__high"))
         .where("__low <> __high").select(*bucket)
     )
-    return stage(grouped.join(mixed, bucket), "mixed")
+    out = stage(grouped.join(mixed, bucket), "mixed")
+    discard(grouped)
+    return out
 
 
 def near_duplicates(
@@ -337,6 +339,9 @@ def near_duplicates(
     links = stage(
         _confirmed(star, texts, words, percent).union(_repeated_keys(filled, classes)), "links"
     )
+    # The bands and sketches of every row have served; those of the classes are left.
+    rows = stage(signed.select("__key", "n_shingles", "__fa", "__fb"), "rows")
+    discard(signed, buckets)
     found = components(links)
     sketches = classes.select(
         F.col("__rep").alias("__key"), F.col("n_shingles").alias("__size"), "__sketch"
@@ -349,9 +354,10 @@ def near_duplicates(
         known = sketches
         if not nearest:
             known = sketches.join(_small_sets(texts, mixed, words), "__key")
-        pairs = stage(
-            _mixed_pairs(mixed, known, percent, nearest).join(tested, ["src", "dst"], "left_anti"), "pairs"
-        )
+        with recorded() as used:
+            found_pairs = _mixed_pairs(mixed, known, percent, nearest)
+        pairs = stage(found_pairs.join(tested, ["src", "dst"], "left_anti"), "pairs")
+        discard(mixed, *used)
         tested = tested.union(pairs)
         more = stage(_confirmed(pairs, texts, words, percent), "links")
         linked = not more.isEmpty()
@@ -368,8 +374,7 @@ def near_duplicates(
     same = (F.col("__fa") == F.col("__ca")) & (F.col("__fb") == F.col("__cb")) & (F.col("n_shingles") > 0)
     component = F.when(F.col("__key").isNotNull(), F.coalesce("__component", "__key"))
     return (
-        signed.select("__key", "n_shingles", "__fa", "__fb")
-        .join(stage(of, "of"), same, "left")
+        rows.join(stage(of, "of"), same, "left")
         .select(F.col("__key").alias(key), "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("component_id") == F.col(key), F.lit(True)))
     )
