@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = 1 << 16
 GROUP = 1 << 22
@@ -121,7 +122,7 @@ def decode(
     empty value; an id that the rank file lacks raises."""
     kept = [c for c in rows.columns if c != raw]
     out = rows.select(*[F.col(f"`{c}`") for c in kept])
-    schema = out.select("*", F.lit(b"").alias(raw)).schema
+    schema = T.StructType([*out.schema.fields, T.StructField(raw, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoding(path, pattern)
