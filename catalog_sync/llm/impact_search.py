@@ -8,8 +8,10 @@ query times the norm left, every score has bounds, and a query stops as soon as
 all but a few vectors of the block are below its k-th best: those few are possible members and are
 rescored exactly on whole vectors in 64-bit integers. The best of all blocks are merged.
 
-Queries and blocks meet in batches, each batch of queries with each block once: memory per task is
-one block and one batch.
+Blocks stay where they are written; queries, the smaller side, come to them in rounds of bounded
+bytes. Memory per task is one block, one round and the scores of one batch of queries. Units are
+64-bit; where a product may pass that, it is taken in whole numbers of any size, and a result that
+does not fit a long raises.
 """
 
 from __future__ import annotations
@@ -25,25 +27,26 @@ from catalog_sync.llm.vectors import matrix
 from catalog_sync.scratch import stage
 
 SCALE = 1024
-LIMIT = 1 << 26
 LEVELS = 8
 BLOCK = 8192
 BATCH = 512
+ROUND_BYTES = 1 << 25
 FEW = 64
 
 
 def integers(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """id and the scaled components (binary, 32-bit) of the usable vectors, one row per id."""
+    """id and the scaled components (binary, 64-bit) of the usable vectors, one row per id."""
 
     def scale(batches):
         for batch in batches:
             usable, values = matrix(batch.column(1))
-            keys = batch.column(0).filter(pa.array(usable))
-            whole = np.floor(values * SCALE)
-            small = (np.abs(whole) < LIMIT).all(axis=1)
-            whole = whole[small].astype("<i4")
+            with np.errstate(over="ignore"):
+                whole = np.floor(values * SCALE)
+            if (np.abs(whole) >= 2.0**63).any():
+                raise OverflowError("a scaled component does not fit 64 bits")
             yield pa.RecordBatch.from_arrays(
-                [keys.filter(pa.array(small)), pa.array([w.tobytes() for w in whole], pa.binary())],
+                [batch.column(0).filter(pa.array(usable)),
+                 pa.array([w.tobytes() for w in whole.astype("<i8")], pa.binary())],
                 names=["id", "units"],
             )
 
@@ -54,49 +57,63 @@ def integers(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _rows(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<i4").reshape(len(column), -1)
+    rows = [np.frombuffer(u, dtype="<i8") for u in column]
+    if len({len(r) for r in rows}) > 1:
+        raise ValueError("vectors of different dimensions meet")
+    return np.stack(rows) if rows else np.zeros((0, 0), dtype="<i8")
 
 
-def index(vectors: DataFrame, top: int, levels: int = LEVELS) -> DataFrame:
-    """One row per block and segment, level 0 being the highest impacts, and one of level -1 with ids and whole vectors.
+def index(vectors: DataFrame, top: float, levels: int = LEVELS) -> DataFrame:
+    """One row per block: ids, whole vectors, and its segments, that of the highest impacts first.
 
     ``vectors``: block, id, units. ``top``: the largest absolute value, which fixes the levels.
     """
-    schema = "block long, level int, docs binary, dims binary, units binary, left binary"
+    names = ["docs", "dims", "values", "left"]
+    schema = "block long, ids binary, units binary, " + ", ".join(f"{n} array<binary>" for n in names)
 
     def build(key, pdf):
         pdf = pdf.sort_values("id")
         units = _rows(pdf["units"])
-        impact = np.abs(units.astype(np.int64))
-        level = np.minimum((top - impact) * levels // (top + 1), levels - 1)
-        out = [(key[0], -1, pdf["id"].to_numpy().astype("<i8").tobytes(), b"", units.tobytes(), b"")]
+        impact = np.abs(units.astype(np.float64))
+        level = np.minimum((top - impact) * (levels / (top + 1)), levels - 1).astype(np.int64)
+        segments: list[list[bytes]] = [[], [], [], []]
         for n in range(levels):
             docs, dims = np.nonzero((level == n) & (units != 0))
-            left = np.where(level > n, impact, 0).astype(np.float64)
-            norms = np.sqrt((left * left).sum(axis=1))
-            out.append((key[0], n, docs.astype("<i4").tobytes(), dims.astype("<i4").tobytes(),
-                        units[docs, dims].tobytes(), norms.tobytes()))
-        return pd.DataFrame(out, columns=["block", "level", "docs", "dims", "units", "left"])
+            left = np.where(level > n, impact, 0)
+            own = docs.astype("<i4"), dims.astype("<i4"), units[docs, dims], np.sqrt((left * left).sum(axis=1))
+            for column, values in zip(segments, own, strict=True):
+                column.append(values.tobytes())
+        row = (key[0], pdf["id"].to_numpy().astype("<i8").tobytes(), units.tobytes(), *segments)
+        return pd.DataFrame([row], columns=["block", "ids", "units", *names])
 
     return vectors.groupBy("block").applyInPandas(build, schema)
 
 
-def _best(asked: np.ndarray, own: np.ndarray, pdf: pd.DataFrame, k: int):
+def _products(whole: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products; whole numbers of any size where 64 bits may not hold them."""
+    if (np.abs(whole.astype(np.float64)) @ np.abs(query.astype(np.float64))).max(initial=0) < 2.0**62:
+        return whole @ query
+    return whole.astype(object) @ query.astype(object)
+
+
+def _best(asked: np.ndarray, own: np.ndarray, block: dict, k: int):
     """(query position, ids, scores) of up to ``k`` best per query within one block."""
-    pdf = pdf.sort_values("level")
-    head, segments = pdf.iloc[0], pdf.iloc[1:]
-    ids = np.frombuffer(head["docs"], dtype="<i8")
-    whole = np.frombuffer(head["units"], dtype="<i4").reshape(len(ids), -1)
+    ids = np.frombuffer(block["ids"], dtype="<i8")
+    whole = np.frombuffer(block["units"], dtype="<i8").reshape(len(ids), -1)
+    if whole.shape[1] != asked.shape[1]:
+        raise ValueError("vectors of different dimensions meet")
+    exact_norm = np.linalg.norm(whole.astype(np.float64), axis=1)
     norm = np.linalg.norm(asked.astype(np.float64), axis=1)[:, None]
     self_ = own[:, None] == ids[None, :]
     scores = np.zeros(self_.shape)
     active, possible = np.arange(len(own)), np.ones(self_.shape, dtype=bool)
-    for seg in segments.itertuples():
+    # What sums of doubles may be off, relative to the product of the norms.
+    rounding = (whole.shape[1] + len(block["left"]) + 8) * 2.0**-52
+    for docs, dims, values, left in zip(block["docs"], block["dims"], block["values"], block["left"], strict=True):
         part = np.zeros(whole.shape)
-        docs, dims = np.frombuffer(seg.docs, dtype="<i4"), np.frombuffer(seg.dims, dtype="<i4")
-        part[docs, dims] = np.frombuffer(seg.units, dtype="<i4")
+        part[np.frombuffer(docs, dtype="<i4"), np.frombuffer(dims, dtype="<i4")] = np.frombuffer(values, dtype="<i8")
         scores[active] += asked[active].astype(np.float64) @ part.T
-        slack = norm[active] * (np.frombuffer(seg.left)[None, :] * (1 + 1e-9) + 1e-9) + 1e-6
+        slack = norm[active] * (np.frombuffer(left)[None, :] * (1 + 1e-9) + exact_norm[None, :] * rounding) + 1e-6
         now = np.where(self_[active], -np.inf, scores[active])
         if len(ids) > k:
             kth = np.partition(now - slack, -k, axis=1)[:, [-k]]
@@ -109,11 +126,31 @@ def _best(asked: np.ndarray, own: np.ndarray, pdf: pd.DataFrame, k: int):
             break
     for i in range(len(own)):
         at = np.flatnonzero(possible[i])
-        exact = whole[at].astype(np.int64) @ asked[i].astype(np.int64)
-        order = np.lexsort((ids[at], -exact))[:k]
+        exact = _products(whole[at], asked[i])
+        order = sorted(range(len(at)), key=lambda j: (-int(exact[j]), ids[at[j]]))[:k] if exact.dtype == object \
+            else np.lexsort((ids[at], -exact))[:k]
         yield i, ids[at[order]], exact[order]
 
 
+def _found(own: np.ndarray, units: np.ndarray, block: dict, k: int, batch: int) -> pa.RecordBatch:
+    """The best of a block for all queries of a round, taken by ``batch`` queries."""
+    columns: list[list] = [[], [], []]
+    for start in range(0, len(own), batch):
+        some = slice(start, start + batch)
+        for i, ids, scores in _best(units[some], own[some], block, k):
+            columns[0] += [int(own[start + i])] * len(ids)
+            columns[1] += ids.tolist()
+            columns[2] += [int(s) for s in scores]
+    # A score beyond a long is carried as digits; only a result must fit.
+    high = [str(s) if not -(1 << 63) <= s < 1 << 63 else None for s in columns[2]]
+    low = [s if h is None else (1 << 63) - 1 if s > 0 else -(1 << 63) for s, h in zip(columns[2], high, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(low, pa.int64()),
+         pa.array(high, pa.string())],
+        names=["query_id", "vec_id", "score", "beyond"],
+    )
+
+
 def top_k(
     vectors: DataFrame,
     queries: Column,
@@ -122,51 +159,56 @@ def top_k(
     k: int = 10,
     block: int = BLOCK,
     batch: int = BATCH,
+    round_bytes: int = ROUND_BYTES,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` best of all other vectors per query.
 
     ``queries`` is a condition on ``id``. Ties go to the smaller id; with fewer than ``k`` others all
-    are given. No part take: NULL or empty vectors, those with a NULL or non-finite component, and those
-    with a scaled component of 2**26 or more, whose products a long can't hold. Rows that repeat an id are one vector, the
-    smallest as bytes; rows without id take no part. Vectors must be of one dimension, else it raises. An empty table gives an
-    empty table.
+    are given. No part take: NULL or empty vectors and those with a NULL or non-finite component. A
+    scaled component beyond 64 bits raises, and so does a score among the best that a long cannot
+    hold. Rows that repeat an id are one vector, the smallest as bytes; rows without id take no
+    part. Vectors must be of one dimension, else it raises. An empty table gives an empty table.
     """
     known = stage(ranked(integers(vectors, key, vector), [], ["id"]), "integers")
     asked = stage(ranked(known.where(queries).select("id", "units"), [], ["id"], "turn"), "queries")
 
     def largest(batches):
-        top = 0
+        top, size = 0.0, 0
         for b in batches:
             for units in b.column(0).to_pylist():
-                top = max(top, int(np.abs(np.frombuffer(units, dtype="<i4")).max()))
-        yield pa.RecordBatch.from_arrays([pa.array([top], pa.int64())], names=["top"])
+                size = len(units)
+                top = max(top, float(np.abs(np.frombuffer(units, dtype="<i8").astype(np.float64)).max()))
+        yield pa.RecordBatch.from_arrays([pa.array([top], pa.float64()), pa.array([size])], names=["top", "size"])
 
-    top = known.select("units").mapInArrow(largest, "top long").agg(F.max("top")).first()[0] or 0
-    blocks = known.count() // block + 1
-    batches = asked.count() // batch + 1
+    top, size = known.select("units").mapInArrow(largest, "top double, size long").agg(
+        F.max("top"), F.max("size")
+    ).first()
     built = stage(
-        index(known.select(F.floor(F.col("rank") / block).alias("block"), "id", "units"), top), "index"
-    )
-    spread = built.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    dealt = asked.select(
-        "id", "units", F.floor(F.col("turn") / batch).cast("int").alias("batch"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-    )
-
-    def search(left, right):
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        own = right["id"].to_numpy()
-        found = [
-            pd.DataFrame({"query_id": own[i], "vec_id": ids, "score": scores})
-            for i, ids, scores in _best(_rows(right["units"]), own, left, k)
-        ]
-        return pd.concat(found)
-
-    best = spread.groupBy("block", "batch").cogroup(dealt.groupBy("block", "batch")).applyInPandas(
-        search, "query_id long, vec_id long, score long"
+        index(known.select(F.floor(F.col("rank") / block).alias("block"), "id", "units"), top or 0.0), "index"
+    ).drop("block")
+    round_ = max(1, round_bytes // max(1, size or 0))
+    parts = []
+    for start in range(0, asked.count(), round_):
+        rows = asked.where((F.col("turn") >= start) & (F.col("turn") < start + round_)).toPandas()
+        own, units = rows["id"].to_numpy(), _rows(rows["units"])
+
+        def search(batches, own=own, units=units):
+            for b in batches:
+                for held in b.to_pylist():
+                    yield _found(own, units, held, k, batch)
+
+        parts.append(built.mapInArrow(search, "query_id long, vec_id long, score long, beyond string"))
+    if not parts:
+        schema = "query_id long, rank int, vec_id long, score long"
+        return vectors.sparkSession.createDataFrame([], schema)
+    best = parts[0]
+    for part in parts[1:]:
+        best = best.union(part)
+    # Scores beyond a long stand at its ends, so whatever else ties with them there, one of the best raises.
+    order = Window.partitionBy("query_id").orderBy(
+        F.desc("score"), F.col("beyond").isNull() == (F.col("score") > 0), "vec_id"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    beyond = F.raise_error(F.lit("a score among the best does not fit a long")).cast("long")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
+        "query_id", "rank", "vec_id", F.when(F.col("beyond").isNull(), F.col("score")).otherwise(beyond).alias("score")
     )

@@ -121,22 +121,22 @@ def test_repeated_and_missing_keys_and_no_vectors(vectors):
 def best_by_hand(rows, k, of):
     usable = {}
     for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) and abs(x) < 60000 for x in v):
-            units = np.floor(np.array(v) * 1024).astype("<i4")
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
+            units = np.floor(np.array(v) * 1024).astype("<i8")
             if i not in usable or np.frombuffer(units.tobytes(), "u1").tolist() < np.frombuffer(usable[i].tobytes(), "u1").tolist():
                 usable[i] = units
     ids = sorted(usable)
     out = set()
     for q in ids:
         if of(q):
-            scores = sorted((-int(usable[q].astype(int) @ usable[i].astype(int)), i) for i in ids if i != q)
+            scores = sorted((-int(usable[q].astype(object) @ usable[i].astype(object)), i) for i in ids if i != q)
             out |= {(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)}
     return out
 
 
 @pytest.mark.parametrize(("block", "batch"), [(40, 7), (8192, 512)])
 def test_top_k_like_brute_force(vectors, block, batch):
-    rows = clustered(2, [1] * 100 + [30, 60]) + ODD
+    rows = clustered(2, [1] * 100 + [30, 60]) + [r for r in ODD if r[0] != 9007]
     rows += [(700 + i, rows[3][1]) for i in range(25)] + [(None, rows[0][1]), (4, rows[9][1])]
     out = top_k(vectors(rows), F.col("id") % 5 == 0, k=10, block=block, batch=batch)
     assert {tuple(r) for r in out.collect()} == best_by_hand(rows, 10, lambda i: i % 5 == 0)
@@ -148,3 +148,29 @@ def test_few_candidates(vectors):
     assert out == best_by_hand(one, 10, lambda i: i % 5 == 0) and len(out) == 4
     assert top_k(vectors([]).where("false"), F.col("id") % 5 == 0).count() == 0
     assert top_k(vectors(one[:1]), F.col("id") % 5 == 0).count() == 0
+
+
+def test_large_components_take_part(vectors):
+    rows = [(0, [1.0, 2.0]), (1, [70_000.0, 1.0]), (2, [3.0, 1.0]), (3, [1.0, 1.0]), (4, [65_536.0, -1e5]),
+            (5, [1e5, 1e5]), (6, [1e9, 0.0]), (7, [-1e9, 3.0]), (10, [0.0, 1.0])]
+    rows += [(20 + i, [float(i), 1e6 - i]) for i in range(90)]
+    for block in (7, 8192):
+        out = top_k(vectors(rows), F.col("id").isin(0, 2, 10, 40), k=10, block=block)
+        assert {tuple(r) for r in out.collect()} == best_by_hand(rows, 10, lambda i: i in (0, 2, 10, 40))
+
+
+def test_scores_beyond_a_long_raise(vectors):
+    rows = [(1, [4e9, 0.0]), (2, [4e9, 1.0]), (3, [-4e9, 1.0]), (4, [0.0, 1.0])]
+    with pytest.raises(Exception, match="does not fit a long"):
+        top_k(vectors(rows), F.col("id") == 1, k=1).collect()
+    # The lowest score of query 1 is not asked for here, so nothing has to hold it.
+    out = top_k(vectors([rows[0], *rows[2:]]), F.col("id") == 1, k=1).collect()
+    assert [(r.vec_id, r.score) for r in out] == [(4, 0)]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        top_k(vectors([(1, [1e300])]), F.col("id") == 1).collect()
+
+
+def test_rounds_of_queries(vectors):
+    rows = clustered(5, [40, 40])
+    out = top_k(vectors(rows), F.col("id") % 2 == 0, k=3, block=30, batch=4, round_bytes=16 * 8 * 7)
+    assert {tuple(r) for r in out.collect()} == best_by_hand(rows, 3, lambda i: i % 2 == 0)
