@@ -17,13 +17,19 @@ A mark by name alone can be overruled: a compound name (``nav-fixed``) by the te
 one by an article or main below it, if all that is kept otherwise is little beside that text. Names that
 tell a state (``with-sidebar``, ``has-comments``) are no marks.
 
-Statistics are counted per (host, path, text) and per (host, path), never per host in one group.
+Reading takes time and memory linear in the page: a tag without end is searched once, closing tags find
+their element by name, paths are chained hashes. As in browsers, plain elements nested deeper than
+``DEPTH`` belong to the last one above that depth; their text stays, in blocks of its own.
+
+Statistics are counted per (host, path, text) and per (host, path), never per host in one group; a page
+meets the unimportant ones among its own paths only.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +43,9 @@ LEAST_PAGES = 5
 LOW = 0.3
 LOW_INSIDE = 0.1
 PRESENTATION = 0.1
+DEPTH = 512
+#: Below so many nested marks by name no text overrules them.
+NESTED_MARKS = 64
 
 # Elements and attributes of HTML, and names that mark what is not the article.
 BLOCKS = set(
@@ -72,22 +81,94 @@ CLOSES = {
 }
 BARRIERS = {"table", "td", "th", "ul", "ol", "dl", "body", "html", "article", "section", "div", "main", "form"}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
-    re.DOTALL,
-)
+OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+REST = re.compile(r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def key_of(path: str) -> int:
-    return xxhash.xxh3_64_intdigest(path) - (1 << 63)
+def key_of(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def path_key(styles: list[str]) -> int:
+    """The key of the path of these style nodes from the root."""
+    key = 0
+    for style in styles:
+        key = _below(key, style)
+    return key
+
+
+def _below(key: int, style: str) -> int:
+    return key_of(f"{key}/{style}")
+
+
+class Tokens:
+    """The tags of a page in order, with the text before each.
+
+    A quote that never closes is found once: tags that would run into it end at their next ``>``.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at = page, 0
+        self.last = page.rfind(">")
+        #: Tags that open before this run into a quote that never closes.
+        self.unclosed = 0
+
+    def next(self) -> tuple[str, str, str, str] | None:
+        """(text before, "/" of a closing tag, tag or "" of comments and the end, what follows the name)."""
+        page, start = self.page, self.at
+        look = start
+        while True:
+            at = page.find("<", look)
+            if at < 0:
+                self.at = len(page)
+                return (page[start:], "", "", "") if start < len(page) else None
+            if page.startswith(("<!", "<?"), at):
+                self.at = self._skipped(at)
+                return page[start:at], "", "", ""
+            opened = OPEN.match(page, at) if at < self.last else None
+            end = self._end(at, opened.end()) if opened else -1
+            if end >= 0:
+                self.at = end + 1
+                return page[start:at], opened[1], opened[2].lower(), page[opened.end() : end]
+            look = at + 1
+
+    def _skipped(self, at: int) -> int:
+        """Where the comment or declaration at ``at`` ends."""
+        page = self.page
+        if page.startswith("<!--", at):
+            ends = [(page.find(mark, at + 4), len(mark)) for mark in ("-->", "--!>")]
+            return min((e + n for e, n in ends if e >= 0), default=len(page))
+        if page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at)
+            return end + 3 if end >= 0 else len(page)
+        end = page.find(">", at)
+        return end + 1 if end >= 0 else len(page)
+
+    def _end(self, at: int, named: int) -> int:
+        if at >= self.unclosed:
+            end = REST.match(self.page, named).end()
+            if end < len(self.page) and self.page[end] == ">":
+                return end
+            self.unclosed = end + 1
+        return self.page.find(">", named)
+
+    def skip_raw(self, tag: str) -> None:
+        """Go behind the closing tag of an element whose content is no markup."""
+        close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(self.page, self.at)
+        end = self.page.find(">", close.end()) if close else -1
+        self.at = end + 1 if end >= 0 else len(self.page)
+
+
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "style", "inside", "dropped", "named", "children", "heading", "whole", "weak")
+    __slots__ = (
+        "tag", "parent", "key", "style", "inside", "dropped", "named", "children", "heading", "whole", "weak",
+        "inline", "block",
+    )
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None):
         self.tag, self.parent = tag, parent
@@ -96,8 +177,11 @@ class Node:
         names = [n for token in parts for n in token]
         self.named = bool(names)
         self.style = tag + "".join(f".{n}" for n in sorted(set(names)))
-        self.path = f"{parent.path}/{self.style}" if parent else self.style
+        self.key = _below(parent.key if parent else 0, self.style)
         self.children: list[str] = []
+        #: Inline elements open in it, by name, and its place in the stack or that of the next block above.
+        self.inline: Counter[str] | None = None
+        self.block = 0
         self.inside = bool(parent and parent.inside) or tag in ("article", "main") or attributes.get("role") == "main"
         self.heading = tag in HEADINGS or bool(parent and parent.heading)
         marked = (
@@ -124,17 +208,12 @@ class Node:
             self.dropped = "header" if at_top else "out"
         else:
             self.dropped = ""
-            if by_name:
+            if by_name and len(self.weak) == NESTED_MARKS:
+                self.dropped = "out"
+            elif by_name:
                 self.weak = (*self.weak, self)
 
 
-class Block:
-    __slots__ = ("node", "parts")
-
-    def __init__(self, node: Node):
-        self.node, self.parts = node, []
-
-
 def attributes_of(source: str) -> dict[str, str]:
     if not source or source.isspace():
         return {}
@@ -144,92 +223,118 @@ def attributes_of(source: str) -> dict[str, str]:
     return out
 
 
-def read(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
-    """(blocks of text with the style node they stand in, all style nodes) of a page in its order."""
-    root = Node("html", {}, None)
-    stack: list[Node | str] = [root]  # inline elements stand there by their tag
-    nodes, blocks = [root], []
-    current = root
-    parts: list[str] = []
-
-    def finish() -> None:
-        if parts:
-            text = " ".join("".join(parts).split())
+class Tree:
+    """The open elements of a page while it is read, its style nodes and its blocks of text."""
+
+    def __init__(self) -> None:
+        self.current = Node("html", {}, None)
+        self.stack, self.nodes = [self.current], [self.current]
+        self.blocks: list[tuple[Node, str]] = []
+        self.parts: list[str] = []
+        self.places: dict[str, list[int]] = {}  # where in the stack the elements of a name are
+        self.deep: list[str] = []  # plain block elements beyond the depth, within the current node
+        self.deep_open: Counter[str] = Counter()
+
+    def finish(self) -> None:
+        if self.parts:
+            text = " ".join("".join(self.parts).split())
             if text:
-                blocks.append((current, text))
-            parts.clear()
+                self.blocks.append((self.current, text))
+            self.parts.clear()
+
+    def _pop_to(self, place: int) -> None:
+        self.finish()
+        for node in reversed(self.stack[place:]):
+            self.places[node.tag].pop()
+        del self.stack[place:]
+        self.current = self.stack[-1]
+        self._leave_deep(0)
+
+    def _leave_deep(self, size: int) -> None:
+        for tag in self.deep[size:]:
+            self.deep_open[tag] -= 1
+        del self.deep[size:]
+
+    def _place(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def close(self, tag: str) -> None:
+        """Inline elements close within their node only, list items and paragraphs within their article."""
+        if tag not in BLOCKS:
+            if self.current.inline and self.current.inline[tag] > 0:
+                self.current.inline[tag] -= 1
+            elif self.current.tag == tag and len(self.stack) > 1:
+                self._pop_to(len(self.stack) - 1)
+            return
+        if self.deep_open[tag] > 0:
+            self.finish()
+            while self.deep[-1] != tag:
+                self._leave_deep(len(self.deep) - 1)
+            self._leave_deep(len(self.deep) - 1)
+            return
+        place = self._place(tag)
+        if place and not (tag in ("p", "li") and place < max(map(self._place, ("article", "main", "body")))):
+            self._pop_to(place)
+
+    def open_inline(self, tag: str) -> None:
+        if self.current.inline is None:
+            self.current.inline = Counter()
+        self.current.inline[tag] += 1
+
+    def open(self, tag: str, attributes: dict[str, str]) -> None:
+        above = self.current.block
+        if above and tag in BLOCKS and not self.deep:
+            own = self.stack[above].tag
+            if own == "p" or own in CLOSES.get(tag, ()):
+                self._pop_to(above)
+        self.finish()
+        if len(self.stack) >= DEPTH and tag in BLOCKS and tag not in DROPPED and tag not in ("article", "main"):
+            if not (attributes and _marked(attributes)):
+                self.deep.append(tag)
+                self.deep_open[tag] += 1
+                return
+        node = Node(tag, attributes, self.current)
+        node.block = len(self.stack) if tag in BLOCKS else self.current.block
+        self.current.children.append(node.style)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(node)
+        self.nodes.append(node)
+        self.current = node
 
-    def pop_to(depth: int) -> None:
-        nonlocal current
-        finish()
-        del stack[depth:]
-        current = next(x for x in reversed(stack) if isinstance(x, Node))
 
-    at = 0
-    while True:
-        match = TOKEN.search(page, at)
-        text = page[at : match.start() if match else len(page)]
+def read(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
+    """(blocks of text with the style node they stand in, all style nodes) of a page in its order."""
+    tree, tokens = Tree(), Tokens(page)
+    while (token := tokens.next()) is not None:
+        text, closing, tag, rest = token
         if text:
-            parts.append(entities.unescape(text) if "&" in text else text)
-        if match is None:
-            break
-        at = match.end()
-        closing, tag, rest = match.group(1), match.group(2), match.group(3)
-        if tag is None:
+            tree.parts.append(entities.unescape(text) if "&" in text else text)
+        if not tag:
             continue
-        tag = tag.lower()
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                own = stack[depth].tag if isinstance(stack[depth], Node) else stack[depth]
-                if own == tag:
-                    if isinstance(stack[depth], Node):
-                        pop_to(depth)
-                    else:
-                        del stack[depth]
-                    break
-                if isinstance(stack[depth], Node) and tag not in BLOCKS:
-                    break
-                if own in ("article", "main", "body") and tag in ("p", "li", "b"):
-                    break
-            continue
-        if tag in RAW:
+            tree.close(tag)
+        elif tag in RAW:
             if not rest.endswith("/") or tag in ("script", "style", "title", "textarea"):
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
-            continue
-        if tag in ("br", "wbr"):
-            parts.append(" " if tag == "br" else "")
-            continue
-        if tag in ("html", "body") and tag == "html":
+                tokens.skip_raw(tag)
+        elif tag in ("br", "wbr"):
+            tree.parts.append(" " if tag == "br" else "")
+        elif tag == "html":
             continue
-        if tag not in BLOCKS and not _matters(rest):
+        elif tag not in BLOCKS and not _matters(rest):
             if tag not in VOID and not rest.endswith("/"):
-                stack.append(tag)
-            continue
-        if tag in VOID:
+                tree.open_inline(tag)
+        elif tag in VOID:
             if tag == "hr":
-                finish()
-            continue
-        attributes = attributes_of(rest)
-        if tag not in BLOCKS and tag not in DROPPED and not _marked(attributes):
-            stack.append(tag)
-            continue
-        closes = CLOSES.get(tag, set()) if tag != "p" else set()
-        for depth in range(len(stack) - 1, 0, -1):
-            own = stack[depth].tag if isinstance(stack[depth], Node) else stack[depth]
-            if own in closes or own == "p" and tag in BLOCKS:
-                pop_to(depth)
-                break
-            if own in BARRIERS or own in BLOCKS and isinstance(stack[depth], Node) and own not in closes:
-                break
-        finish()
-        node = Node(tag, attributes, current)
-        current.children.append(node.style)
-        stack.append(node)
-        nodes.append(node)
-        current = node
-    finish()
-    return blocks, nodes
+                tree.finish()
+        else:
+            attributes = attributes_of(rest)
+            if tag not in BLOCKS and tag not in DROPPED and not _marked(attributes):
+                tree.open_inline(tag)
+            else:
+                tree.open(tag, attributes)
+    tree.finish()
+    return tree.blocks, tree.nodes
 
 
 def _matters(rest: str) -> bool:
@@ -245,7 +350,6 @@ def statistics(page: str) -> Iterator[tuple[int, int, int, bool]]:
     """(path, 0 for texts and 1 for presentations, what it shows, whether the first of its path), each
     once per page."""
     blocks, nodes = read(page)
-    keys = {id(node): key_of(node.path) for node in nodes}
     seen: set[tuple[int, int, int]] = set()
     paths: set[tuple[int, int]] = set()
 
@@ -258,13 +362,15 @@ def statistics(page: str) -> Iterator[tuple[int, int, int, bool]]:
     for node, text in blocks:
         mark = key_of(text)
         # A text counts for its node and the nodes above it: branches are merged on every level.
-        while node is not None and node.tag not in ("html", "body"):
-            yield from row(keys[id(node)], 0, mark)
+        for _ in range(DEPTH):
+            if node is None or node.tag in ("html", "body"):
+                break
+            yield from row(node.key, 0, mark)
             node = node.parent
     for node in nodes:
         if node.children and node.tag not in ("html", "body"):
             runs = [c for i, c in enumerate(node.children) if i == 0 or c != node.children[i - 1]]
-            yield from row(keys[id(node)], 1, key_of(" ".join(runs)))
+            yield from row(node.key, 1, key_of(" ".join(runs)))
 
 
 def extract(page: str, low: dict[int, float]) -> str:
@@ -273,7 +379,7 @@ def extract(page: str, low: dict[int, float]) -> str:
     out: dict[int, bool] = {}
     for node in nodes:
         above = out[id(node.parent)] if node.parent else False
-        importance = low.get(key_of(node.path), 1.0) if low else 1.0
+        importance = low.get(node.key, 1.0) if low else 1.0
         if node.inside:
             cut = node.named and node.tag not in ("article", "main") and importance < LOW_INSIDE
         else:
@@ -361,6 +467,33 @@ def importance(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     )
 
 
+def _own_low(rows: DataFrame, low: DataFrame) -> DataFrame:
+    """__of, __mark, __low: the unimportant ones among a page's own paths, with their importance."""
+
+    def paths(batches):
+        for batch in batches:
+            owners, keys = [], []
+            for i, page in enumerate(batch.column(2).to_pylist()):
+                own = {node.key for node in read(page or "")[1]}
+                owners += [i] * len(own)
+                keys += own
+            owner = pa.array(owners, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(keys, pa.int64())],
+                names=["__of", "__mark", "path"],
+            )
+
+    hosts = low.select(F.col("host").alias("__of")).distinct()
+    shown = rows.join(hosts, "__of", "left_semi").select("__of", "__mark", "__html").mapInArrow(
+        paths, "__of long, __mark long, path long"
+    )
+    met = shown.join(low.withColumnRenamed("host", "__of"), ["__of", "path"])
+    # Copies of a page give the same rows: those are one before the group.
+    once = met.groupBy("__of", "__mark", "path").agg(F.first("importance").alias("importance"))
+    listed = F.map_from_entries(F.collect_list(F.struct("path", "importance")))
+    return once.groupBy("__of", "__mark").agg(listed.alias("__low"))
+
+
 def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per row of ``pages``: key, url, text, n_chars (code points).
 
@@ -371,15 +504,17 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     """
     low = stage(
         importance(pages, url, html).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LOW))
-        .groupBy(F.col("host").alias("__host"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("path", "importance"))).alias("__low")),
+        .select("host", "path", "importance"),
         "low",
     )  # staged, so that Spark knows its size and broadcasts it only if it is small
     rows = pages.select(
         F.col(key).alias("__key"), F.col(url).alias("__url"), F.col(html).alias("__html"),
-        F.xxhash64(host_of(F.col(url))).alias("__of"),
+        F.xxhash64(host_of(F.col(url))).alias("__of"), F.xxhash64(F.coalesce(html, F.lit(""))).alias("__mark"),
     )
-    joined = rows.join(low, F.col("__of") == F.col("__host"), "left").select("__key", "__url", "__html", "__low")
+    if low.isEmpty():
+        joined = rows.select("__key", "__url", "__html", F.lit(None).cast("map<long,double>").alias("__low"))
+    else:
+        joined = rows.join(_own_low(rows, low), ["__of", "__mark"], "left").select("__key", "__url", "__html", "__low")
     kind = pages.schema[key].dataType.simpleString()
 
     def take(batches):

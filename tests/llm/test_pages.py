@@ -3,12 +3,13 @@
 import base64
 import gzip
 import hashlib
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from catalog_sync.llm.site_style import extract, importance, key_of, main_texts
+from catalog_sync.llm.site_style import DEPTH, extract, importance, main_texts, path_key, statistics
 from catalog_sync.llm.warc import chunked, read_archives, records, round_trip, unchunked, write_archives
 
 SCHEMA = "page_id long, url string, html string, record_type string, host string"
@@ -145,7 +146,7 @@ def test_branches_alike_on_all_pages_go(pages):
     assert out[99][0].startswith("Read more") and out[98] == ("", 0)
     tree = {r.path: r.importance for r in importance(pages(rows)).where(F.col("pages") == 20).collect()}
     # Of the texts in words every second is on all pages.
-    assert tree[key_of("html/body/div.words/p")] > 0.3
+    assert tree[path_key(["html", "body", "div.words", "p"])] > 0.3
 
 
 @pytest.mark.parametrize(("copies", "others"), [(4, 0), (5, 0), (30, 0), (8, 2), (95, 6)])
@@ -158,3 +159,39 @@ def test_copies_of_a_page_are_one_page(pages, copies, others, around):
     out = {r.page_id: r.text for r in main_texts(pages(rows)).collect()}
     for n, _, html in rows:
         assert out[n] == extract(html, {}) != ""
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 400_000, "if a <b and " * 100_000, "<b>" * 200_000 + "</i>" * 200_000, "<div>" * 250_000,
+    "<div>" * 100_000 + "</div>" * 100_000, "<i><div>" + "<b>" * 150_000 + "</i>" * 150_000,
+    '<a ">" ' * 150_000 + "'>", "</title " * 150_000, "<title>" + "</title " * 150_000, "<a<" * 400_000 + ">",
+    "<span class=ad>" * 30_000 + "<div></div>" * 60_000, "<li><article>" + "<div>" * 120_000 + "</li>" * 120_000,
+    "<!--" * 300_000, "<div class=ad>" * 40_000, "&" * 1_000_000,
+], ids=range(15))
+def test_broken_markup_is_linear(page):
+    start = time.process_time()
+    extract(page, {})
+    for _ in statistics(page):
+        pass
+    assert time.process_time() - start < 10  # about a megabyte; many minutes when quadratic
+
+
+def test_tags_without_end():
+    assert extract("one <a two <b three", {}) == "one <a two <b three"
+    assert extract("<p>one</p><p title='x>two</p><p>it</p>", {}) == "one\n\ntwo\n\nit"
+    assert extract("<p title=\"a>b\">one</p><i title='>two", {}) == "one\n\ntwo"
+
+
+@pytest.mark.parametrize("deep", [3, DEPTH - 2, DEPTH + 3, 3 * DEPTH])
+def test_deep_nesting_keeps_texts_and_marks(deep):
+    page = "<div>" * deep + "<p>in</p><nav>menu</nav><p>mid<b>d</b>le</p>" + "</div>" * deep + "<p>out</p>"
+    assert extract(page, {}) == "in\n\nmiddle\n\nout"
+
+
+def test_hot_host_with_many_paths(pages):
+    """Each page meets its own paths only, whatever its host has."""
+    box = "<div class='box{}'><p>Read more from us</p></div>"
+    names = ["".join(chr(97 + int(d)) for d in str(n)) for n in range(40)]
+    rows = [(n, None, f"<body>{box.replace('{}', names[n // 6])}<p>Own text {n}</p></body>") for n in range(240)]
+    out = {r.page_id: r.text for r in main_texts(pages(rows + rows[:1] + [(None, None, None)])).collect()}
+    assert out.pop(None) == "" and out == {n: f"Own text {n}" for n in range(240)}
