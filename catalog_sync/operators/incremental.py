@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from catalog_sync.functions import genre_line, listing_line, literal_for, or_default
 from catalog_sync.operators.dedup import top_n
+from catalog_sync.operators.paging import ordinals
 from catalog_sync.operators.shape import usable_id
 from catalog_sync.schemas import NO_DATE
 
@@ -90,7 +91,8 @@ def stalest_page(
     df: DataFrame, updated_at: str, id_: str, limit: int, offset: int = 0
 ) -> DataFrame:
     """A page of the refresh queue: never updated first, then the oldest update. A view for the
-    front of the queue (offset + limit rows are ranked); a refresh does not page."""
+    front of the queue (offset + limit rows are ranked); further back, ``paging.page_after`` ranks a
+    page wherever it is."""
     return df.orderBy(F.col(updated_at).asc_nulls_first(), F.col(id_)).offset(offset).limit(limit)
 
 
@@ -167,12 +169,15 @@ def listing(
     title: str = "title",
     date: Column | None = None,
     genres: Column | None = None,
+    page_size: int | None = None,
 ) -> DataFrame:
-    """Numbered display lines for one page of results (the only place a global row number is
-    taken, and the page bounds it)."""
-    ordinal = F.row_number().over(Window.orderBy(*order))
+    """Numbered display lines. ``page_size`` says that the results are one page of so many rows at most,
+    which one task can number; without it they are numbered by ranges."""
     shown = or_default(date if date is not None else F.lit(None).cast("string"), NO_DATE)
-    out = results.withColumn("ordinal", ordinal)
+    if page_size is None:
+        out = ordinals(results, order).withColumn("ordinal", F.col("ordinal").cast("int"))
+    else:
+        out = results.withColumn("ordinal", F.row_number().over(Window.orderBy(*order)))
     out = out.withColumn("line", listing_line(F.col("ordinal"), F.col(title), shown, F.col(id_)))
     if genres is not None:
         out = out.withColumn("genre_line", genre_line(genres))

@@ -404,7 +404,7 @@ def refresh(
     """Bring movies of the catalog (all, or the given ids) up to date, each exactly once. Needs
     both a details and a credits document; ids the catalog lacks are left alone."""
     if ids is None:
-        wanted = tables["movies"].select("id")
+        wanted = sized(stage(tables["movies"].select("id"), "catalog-ids"))
     else:
         ids = stage(key_set(ids, ["id"]), "requested-ids")
         wanted = sized(stage(existing_keys(ids, around(tables, "movies", ids), ["id"]), "known-ids"))
@@ -568,6 +568,7 @@ def search(
         [F.col("popularity").desc_nulls_last(), F.col("id")],
         date=F.col("release_text"),
         genres=F.col("genre_names"),
+        page_size=page_size,
     ).select("ordinal", "id", "title", "line", "genre_line")
 
 

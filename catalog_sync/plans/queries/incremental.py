@@ -26,6 +26,7 @@ from catalog_sync.operators.incremental import (
     watermark_frame,
 )
 from catalog_sync.operators.joins import attach_first_children, exclude_existing
+from catalog_sync.operators.paging import ordinals, page_after, page_cursors
 from catalog_sync.operators.quality import row_counts
 from catalog_sync.plans.queries.picks import _LINE_ORDER_SQL, line_order
 from catalog_sync.plans.registry import query, table
@@ -128,11 +129,52 @@ def newest_orders(spark, d):
        ORDER BY updated_at ASC NULLS FIRST, o_orderkey LIMIT 100 OFFSET 200""",
 )
 def refresh_queue_page(spark, d):
+    return stalest_page(_queue(spark, d), "updated_at", "o_orderkey", limit=100, offset=200)
+
+
+def _queue(spark, d):
     seen = (F.col("o_orderpriority") != "1-URGENT") | (F.col("o_orderstatus") != "P")
-    orders = table(spark, d, "orders").select(
+    return table(spark, d, "orders").select(
         "o_orderkey", F.when(seen, F.col("o_orderdate")).alias("updated_at")
     )
-    return stalest_page(orders, "updated_at", "o_orderkey", limit=100, offset=200)
+
+
+_QUEUE_SQL = """WITH queue AS (
+         SELECT o_orderkey, CASE WHEN o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'P'
+           THEN o_orderdate END AS updated_at FROM orders),
+       numbered AS (SELECT *, row_number() OVER (ORDER BY updated_at ASC NULLS FIRST, o_orderkey) AS ordinal
+         FROM queue)"""
+
+
+@query("queue_positions", f"{_QUEUE_SQL} SELECT o_orderkey, updated_at, ordinal FROM numbered")
+def queue_positions(spark, d):
+    """The place of each row in the whole queue."""
+    return ordinals(_queue(spark, d), [F.col("updated_at").asc_nulls_first(), F.col("o_orderkey")])
+
+
+@query(
+    "queue_page_cursors",
+    f"""{_QUEUE_SQL} SELECT CAST(ordinal // 100 AS BIGINT) AS page, updated_at, o_orderkey
+        FROM numbered WHERE ordinal % 100 = 0""",
+)
+def queue_cursors(spark, d):
+    return page_cursors(_queue(spark, d), ["updated_at", "o_orderkey"], 100)
+
+
+@query(
+    "queue_last_page",
+    f"""{_QUEUE_SQL} SELECT o_orderkey, updated_at FROM numbered
+        WHERE ordinal > (SELECT (count(*) // 100) * 100 - 100 FROM queue)
+          AND ordinal <= (SELECT (count(*) // 100) * 100 FROM queue)""",
+)
+def queue_last_page(spark, d):
+    """The last full page, read from the cursor of the page before."""
+    queue = _queue(spark, d)
+    cursors = page_cursors(queue, ["updated_at", "o_orderkey"], 100)
+    last = cursors.orderBy(F.desc("page")).limit(2).collect()
+    cursor = (last[1].updated_at, last[1].o_orderkey) if len(last) > 1 else None
+    page = page_after(queue, ["updated_at", "o_orderkey"], 100, cursor)
+    return page if last else page.limit(0)
 
 
 @query(
@@ -195,10 +237,25 @@ def part_listing(spark, d):
         title="p_name",
         date=F.when(F.col("p_type") != "PROMO", F.col("p_type")),
         genres=F.col("p_brand"),
+        page_size=PAGE_SIZE,
     )
     return lines.select("ordinal", "p_partkey", "line", "genre_line")
 
 
+@query(
+    "numbered_listing_all",
+    """SELECT CAST(row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS INTEGER) AS ordinal, p_partkey,
+         concat(row_number() OVER (ORDER BY p_retailprice DESC, p_partkey), '. ', p_name, ' (', p_type, ') - ID: ',
+           p_partkey) AS line
+       FROM part WHERE contains(lower(p_name), 'ring')""",
+)
+def part_listing_all(spark, d):
+    """All matches numbered, by ranges."""
+    hits = title_search(table(spark, d, "part"), "ring", "p_partkey", "p_name", "p_retailprice")
+    order = [F.col("p_retailprice").desc(), F.col("p_partkey")]
+    return listing(hits, order, "p_partkey", "p_name", F.col("p_type")).select("ordinal", "p_partkey", "line")
+
+
 @query("high_water_ids", "SELECT o_orderkey FROM orders WHERE o_orderkey > 1000")
 def orders_above(spark, d):
     return above_id(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 1000)

@@ -27,7 +27,7 @@ from catalog_sync.schemas import CORRUPT, ERROR_CATEGORIES
 from catalog_sync.scratch import scratch_dir
 from catalog_sync.sources.landing import write_json
 from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, SnapshotStore
-from catalog_sync.streaming import stream_catalog
+from catalog_sync.streaming import fresh_fetches, stream_catalog
 
 SLOTS = 8
 
@@ -307,3 +307,33 @@ def add_new_counters(spark, d):
     store = SnapshotStore(spark, scratch_dir(spark, "add-store"), SLOTS)
     publish(store, Changes(replace=_early_catalog(spark, d)))
     return _counters(spark, commit(store, lambda tables: add_new(tables, landing(spark, d), "month")))
+
+
+@query(
+    "stream_fresh_latest",
+    """WITH fetched AS (
+         SELECT user_id, ts, event_id FROM events
+         UNION ALL SELECT user_id, (SELECT max(ts) FROM events) + INTERVAL 1 DAY, event_id FROM events
+           WHERE event_type = 'view')
+       SELECT user_id, max(ts) AS ts, CAST(max_by(event_id, (ts, event_id)) AS BIGINT) AS event_id,
+         count(*) AS fetches FROM fetched GROUP BY user_id""",
+)
+def fresh_latest_stream(spark, d):
+    """Four deliveries: all events, the same again, old ones under new ids (late, dropped), and new ones."""
+    events = table(spark, d, "events").select("user_id", "ts", "event_id")
+    newest = events.agg(F.max("ts").alias("newest"))
+    views = table(spark, d, "events").where("event_type = 'view'").crossJoin(F.broadcast(newest))
+    late = events.select("user_id", (F.col("ts") - F.expr("INTERVAL 400 DAYS")).alias("ts"), "event_id")
+    new = views.select("user_id", (F.col("newest") + F.expr("INTERVAL 1 DAY")).alias("ts"), "event_id")
+    inbox, done = scratch_dir(spark, "fetches"), scratch_dir(spark, "fresh")
+    checkpoint = scratch_dir(spark, "fresh-checkpoint")
+    for delivery in (events, events, late, new):
+        delivery.write.mode("append").parquet(inbox)
+        rows = spark.readStream.schema(events.schema).parquet(inbox)
+        fresh = fresh_fetches(rows, ["user_id", "event_id"], "ts", "1 hour")
+        out = fresh.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        out.format("parquet").outputMode("append").start(done).awaitTermination()
+    return spark.read.parquet(done).groupBy("user_id").agg(
+        F.max("ts").alias("ts"), F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"),
+        F.count(F.lit(1)).alias("fetches"),
+    )

@@ -51,6 +51,20 @@ def _start(
     return writer.trigger(**(trigger or {"availableNow": True})).foreachBatch(once).start()
 
 
+def fresh_fetches(rows: DataFrame, keys: Sequence[str], fetched_at: str, delay: str) -> DataFrame:
+    """A stream of fetches without those delivered again and those that come late.
+
+    A fetch is known by its keys and time. Fetches more than ``delay`` behind the newest time of earlier batches
+    are left out, and the state of older ones is dropped with that, so it holds the fetches of one delay
+    however long the stream runs. Give a delay beyond which a fetch is stale whatever it says: what
+    must not be lost is the upsert's work, which takes late rows of new keys too. A row without time is a
+    fetch of its own time, NULL, and is neither late nor kept for longer than a batch.
+    """
+    at = "__fetched_at"
+    timed = rows.withColumn(at, F.col(fetched_at).cast("timestamp")).withWatermark(at, delay)
+    return timed.dropDuplicatesWithinWatermark([*keys, fetched_at]).drop(at)
+
+
 def stream_upsert(
     rows: DataFrame,
     store: SnapshotStore,
@@ -59,9 +73,11 @@ def stream_upsert(
     fetched_at: str,
     checkpoint: str,
     tie_break: Sequence[str] = (),
+    delay: str | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Keep ``table`` at the newest row per key, whatever order the files arrive in. A batch of
+    """Keep ``table`` at the newest row per key, whatever order the files arrive in. With ``delay`` repeated
+    and late fetches are dropped before anything is looked up (``fresh_fetches``). A batch of
     unknown keys only is appended; otherwise the slots of its keys are rewritten (the table, if it
     has none). A batch that another publish got in the way of is applied again."""
     order = [F.col(c).desc() for c in tie_break]
@@ -88,6 +104,8 @@ def stream_upsert(
                 if not left:
                     raise
 
+    if delay is not None:
+        rows = fresh_fetches(rows, [*keys, *tie_break], fetched_at, delay)
     return _start(rows, store, table, checkpoint, apply, trigger)
 
 

@@ -79,6 +79,14 @@ def test_listing(movies):
     assert missing.first().line == "1. Gamma (N/A) - ID: 4"
 
 
+def test_listing_of_all_matches(movies):
+    order = [F.col("popularity").desc(), F.col("id")]
+    page = inc.listing(movies, order, page_size=20)
+    assert sorted(inc.listing(movies, order).collect()) == sorted(page.collect())
+    plan = inc.listing(movies, order)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan  # only the counts per range meet in one task
+
+
 def test_pages(spark, rows):
     pages = spark.createDataFrame(
         [(1, 2, [(1,), (2,)]), (2, 2, [(3,)]), (3, 2, [(4,)])],
