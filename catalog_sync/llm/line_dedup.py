@@ -141,16 +141,18 @@ def drop_repeated_lines(
             keep = np.flatnonzero(twice.holds(halves[:, 0].copy()))
             owner = pa.array(np.asarray(owners, dtype=np.int64)[keep])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(owner), pa.array(halves[keep, 0].view(np.int64)),
+                [batch.column(0).take(owner), batch.column(2).take(owner), pa.array(halves[keep, 0].view(np.int64)),
                  pa.array(halves[keep, 1].view(np.int64)),
                  pa.array(np.asarray(lines, dtype=np.int64)[keep])],
-                names=["__key", "__a", "__b", "__line"],
+                names=["__key", "__mark", "__a", "__b", "__line"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
+    # Rows are told apart by key and text, so rows without key do not share one set of lines.
+    mark = F.xxhash64(F.col(text))
     suspects = stage(
-        docs.select(F.col(key).alias("__key"), text)
-        .mapInArrow(suspect, f"__key {kind}, __a long, __b long, __line long"),
+        docs.select(F.col(key).alias("__key"), text, mark.alias("__mark"))
+        .mapInArrow(suspect, f"__key {kind}, __mark long, __a long, __b long, __line long"),
         "suspects",
     )
     first = F.min(F.struct("__key", "__line"))
@@ -163,11 +165,11 @@ def drop_repeated_lines(
     spare = F.col("__first.__key").eqNullSafe(F.col("__key")) if keep_first else F.lit(False)
     hits = (
         suspects.join(dropped, ["__a", "__b"])
-        .groupBy("__key")
+        .groupBy("__key", "__mark")
         .agg(F.collect_set(F.struct(
             "__a", "__b", F.when(spare, F.col("__first.__line")).otherwise(-1).alias("__keep")
         )).alias("__hits"))
-        .withColumnRenamed("__key", "__owner")
+        .withColumnsRenamed({"__key": "__owner", "__mark": "__of"})
     )
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     at = columns.index(text)
@@ -200,5 +202,6 @@ def drop_repeated_lines(
     schema = docs.select(*columns).withColumns(
         {"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}
     ).schema
-    joined = docs.select(*columns).join(hits, F.col(key).eqNullSafe(F.col("__owner")), "left")
+    own = F.col(key).eqNullSafe(F.col("__owner")) & (mark == F.col("__of"))
+    joined = docs.select(*columns).join(hits, own, "left")
     return joined.select(*columns, "__hits").mapInArrow(rewrite, schema)

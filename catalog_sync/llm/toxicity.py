@@ -230,6 +230,7 @@ def fit(
         labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("label"))
         .where(~held_out("__key") & F.col("__key").isNotNull() & F.col("label").isin(0, 1))
         .groupBy("__key").agg(F.max("label").alias("label"))
+        .join(docs.select(F.col(key).alias("__key")), "__key", "left_semi")  # before the sample is taken
         .orderBy(F.xxhash64("__key"), "__key").limit(sample)
     )
     chosen = stage(

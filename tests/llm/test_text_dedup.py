@@ -37,6 +37,13 @@ def test_lines_like_brute_force(documents, bits):
     assert got == lines_by_hand(LINES, 4)
 
 
+def test_rows_without_key_keep_their_own_lines(documents):
+    rows = [(None, f"shared {i % 7}\nshared {i % 11}\nown {i}") for i in range(300)]
+    out = drop_repeated_lines(documents(rows), min_docs=28)
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out.collect()), key=repr)
+    assert got == lines_by_hand(rows, 28)
+
+
 def test_a_full_filter_changes_nothing(documents):
     rows = [(i, "\n".join(f"line {j}" for j in range(i, i + 400))) for i in range(40)]
     out = drop_repeated_lines(documents(rows), min_docs=5, bits=1 << 10)

@@ -6,7 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from catalog_sync.llm.toxicity import FEATURES, Lexicon, features, score_toxicity, without_toxic
+from catalog_sync.llm.toxicity import FEATURES, Lexicon, features, fit, score_toxicity, without_toxic
 
 BAD = ["idiot", "moron", "loser", "scum"]
 
@@ -49,7 +49,6 @@ def test_held_out_accuracy(spark, documents, corpus):
 
 def test_held_out_labels_teach_nothing(spark, documents, corpus):
     docs, labels = corpus
-    from catalog_sync.llm.toxicity import fit
 
     schema = "doc_id long, toxic int"
     frame = spark.createDataFrame(labels, schema)
@@ -59,6 +58,16 @@ def test_held_out_labels_teach_nothing(spark, documents, corpus):
     assert one.trees.toDebugString.split("\n")[1:] == two.trees.toDebugString.split("\n")[1:]
 
 
+def test_labels_without_documents_use_up_no_sample(spark, documents, corpus):
+    docs, labels = corpus
+    schema = "doc_id long, toxic int"
+    more = [(10_000 + i, i % 2) for i in range(3000)]
+    one = fit(documents(docs), spark.createDataFrame(labels, schema), sample=200)
+    two = fit(documents(docs), spark.createDataFrame(labels + more, schema), sample=200)
+    assert (one.lexicon.terms == two.lexicon.terms).all() and len(one.lexicon.terms)
+    assert one.trees.toDebugString.split("\n", 1)[1] == two.trees.toDebugString.split("\n", 1)[1]
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1), (3, 1)]])
 def test_without_both_labels(spark, documents, labels):
     table = spark.createDataFrame(labels, "doc_id long, toxic int")
