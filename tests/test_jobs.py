@@ -337,6 +337,20 @@ def test_a_new_checkpoint_loses_nothing(spark, tmp_path, rows):
     assert rows(store.table("t"), "k", "v") == [(1, "x"), (2, "y")]
 
 
+def test_late_and_repeated_fetches_are_dropped_with_a_delay(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    for name, lines in (
+        ("a", '{"k": 1, "at": "2024-01-05T00:00:00Z", "v": "x"}\n{"v": "none", "k": 4}'),
+        ("b", '{"k": 1, "at": "2024-01-05T00:00:00Z", "v": "again"}\n{"k": 2, "at": "2024-01-01T00:00:00Z", "v": "late"}'),
+        ("c", '{"k": 3, "at": "2024-01-04T23:30:00Z", "v": "in time"}'),
+    ):
+        (tmp_path / "in" / f"{name}.json").write_text(lines + "\n")
+        source = spark.readStream.schema("k bigint, at timestamp, v string").json(str(tmp_path / "in"))
+        stream_upsert(source, store, "t", ["k"], "at", str(tmp_path / "cp"), delay="1 hour").awaitTermination()
+    assert rows(store.table("t"), "k", "v") == [(1, "x"), (3, "in time"), (4, "none")]
+
+
 def test_a_replayed_batch_is_skipped(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "store"))
     store.publish(append={"t": spark.range(1)}, stream="t@one", batch=3)
