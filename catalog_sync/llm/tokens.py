@@ -4,7 +4,8 @@ The tokenizers used drop white space and never join across it, so a text's ids a
 its runs of bytes outside ``[\\x20\\x09-\\x0D]`` in order. Each Python worker keeps a bounded cache of
 short runs over all of its tasks, as most words come again. Punctuation behind a word of letters begins
 a token of its own for these tokenizers, so a new run of known word and punctuation needs no
-encoding. New words are encoded together where the tokenizer marks the ends of words.
+encoding. New words are encoded together where the tokenizer marks the ends of words. Texts are split and
+ids put together array-wise, a group of texts at a time.
 """
 
 from __future__ import annotations
@@ -13,22 +14,29 @@ import json
 import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from unicodedata import normalize
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHED = 1_000_000
 LONG = 64
-GROUP = 1 << 20
+GROUP = 1 << 23
+TOGETHER = 128
+PUNCTUATION = string.punctuation.encode()
 
 
-def plain(word: str) -> bool:
+def plain(word: bytes) -> bool:
     """Letters only, also once normalised: one token-to-be that nothing joins."""
-    return word.isalpha() and normalize("NFC", word).lower().isalpha()
+    if word.isascii():
+        return word.isalpha()
+    text = word.decode()
+    return text.isalpha() and normalize("NFC", text).lower().isalpha()
 
 
 class Runs(dict):
@@ -44,47 +52,67 @@ class Runs(dict):
         self.ends = {i for token, i in vocabulary if token.endswith(suffix)}
 
     def __missing__(self, run: bytes) -> bytes:
-        text = run.decode()
-        word = text.rstrip(string.punctuation)
-        if len(word) < len(text) and plain(word):
-            packed = self[word.encode()] + self[text[len(word):].encode()]
+        word = run.rstrip(PUNCTUATION)
+        if len(word) < len(run) and plain(word):
+            packed = self[word] + self[run[len(word):]]
         else:
-            packed = array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
+            packed = array("I", self.encode(run.decode(), add_special_tokens=False).ids).tobytes()
         if len(run) <= LONG:
             self[run] = packed
         return packed
 
-    def learn(self, runs: set[bytes]) -> None:
+    def learn(self, runs: Iterable[bytes]) -> None:
         """Encode the unknown plain words among ``runs`` in one go: tokens that end a word part them."""
-        texts = {run.decode().rstrip(string.punctuation) for run in runs}
-        words = [w for w in texts if len(w) <= LONG and w.encode() not in self and plain(w)]
-        ids = self.encode(" ".join(words), add_special_tokens=False).ids
+        bare = {run.rstrip(PUNCTUATION) for run in runs}
+        words = [w for w in bare if len(w) <= LONG and w not in self and plain(w)]
+        ids = array("I")
+        for at in range(0, len(words), TOGETHER):  # long texts are slower to encode than short ones
+            some = b" ".join(words[at : at + TOGETHER]).decode()
+            ids.extend(self.encode(some, add_special_tokens=False).ids)
         last = [i for i, x in enumerate(ids, 1) if x in self.ends]
         if len(last) == len(words) and (not last or last[-1] == len(ids)):
-            packed = array("I", ids).tobytes()
+            packed = ids.tobytes()
             for word, start, end in zip(words, [0, *last], last, strict=False):
-                self[word.encode()] = packed[4 * start : 4 * end]
+                self[word] = packed[4 * start : 4 * end]
 
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text, in groups of about ``GROUP`` bytes."""
+    def ids(self, texts: pa.Array | list[bytes]) -> Iterator[bytes]:
+        """The ids of each text, in groups of about ``GROUP`` bytes; NULL counts as empty.
+
+        A group is split and its distinct runs are numbered array-wise, so Python sees each of them once."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.binary())
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        ends = np.cumsum(np.asarray(pc.binary_length(texts)), dtype=np.int64)
         at = 0
         while at < len(texts):
-            if len(self) > CACHED:
-                self.clear()
-            group, size, unknown = [], 0, set()
-            while at < len(texts) and size < GROUP:
-                text = texts[at]
-                # Marks of special tokens are recognised in their own case only.
-                runs = (text if b"<|" in text else text.lower()).split()
-                unknown.update(runs)
-                group.append(runs)
-                size += len(text)
-                at += 1
-            unknown -= self.keys()
-            if self.ends and unknown:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + GROUP, side="right")))
+            yield from self._group(texts[at:to])
+            at = to
+
+    def _group(self, texts: pa.Array) -> Iterator[bytes]:
+        # Marks of special tokens are recognised in their own case only.
+        split = pc.ascii_split_whitespace(
+            pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        )
+        coded = split.flatten().dictionary_encode()
+        runs = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        if len(self) > CACHED:
+            self.clear()
+        if self.ends:
+            unknown = [run for run in runs if run not in self]
+            if unknown:
                 self.learn(unknown)
-            for runs in group:
-                yield b"".join(map(self.__getitem__, runs))
+        packed = list(map(self.__getitem__, runs))
+        every = np.frombuffer(b"".join(packed), dtype="<u4")
+        sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+        codes = np.asarray(coded.indices)
+        counts = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = every[np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], counts) + np.arange(ends[-1])]
+        bounds = ends[np.asarray(split.offsets) - split.offsets[0].as_py()].tolist()
+        for start, end in zip(bounds, bounds[1:], strict=False):
+            yield ids[start:end].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -109,8 +137,7 @@ def pieces(
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             owner, number, length, crc, ids = [], [], [], [], []
-            texts = [v or b"" for v in batch.column(1).cast(pa.binary()).to_pylist()]
-            for i, packed in enumerate(runs.ids(texts)):
+            for i, packed in enumerate(runs.ids(batch.column(1))):
                 packed += end
                 for n, at in enumerate(range(0, len(packed), width)):
                     part = packed[at : at + width]

@@ -120,8 +120,7 @@ def packed_rows(
                 ("positions", pa.binary()),
                 ("docs", pa.list_(pa.struct([(key, batch.schema.field(0).type), ("start", pa.int64())]))),
             ])
-            texts = [v or b"" for v in batch.column(1).cast(pa.binary()).to_pylist()]
-            for owner, packed in zip(batch.column(0).to_pylist(), runs.ids(texts), strict=True):
+            for owner, packed in zip(batch.column(0).to_pylist(), runs.ids(batch.column(1)), strict=True):
                 ids = np.frombuffer(packed + end, dtype="<u4").astype(wide)
                 for at in range(0, len(ids), size):
                     keys.append(owner)
