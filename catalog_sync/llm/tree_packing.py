@@ -1,7 +1,9 @@
 """Packed id matrices: best-fit-decreasing with a segment tree, blocks of documents per task.
 
 A task takes the pieces of its documents in blocks of ``block`` ids and packs each block on its own;
-nothing shuffles, memory holds one block, and a lost task is redone alone. Within a block pieces go longest first to the sequence with the
+nothing shuffles, memory holds one block, and a lost task is redone alone. Small partitions are put
+together first, without a shuffle, until a task has about a block, so the packing does not follow the
+layout of many small files. Within a block pieces go longest first to the sequence with the
 least free capacity that holds them. The segment tree has a leaf per free capacity and counts the open
 sequences in each subtree: the search for the smallest capacity of at least a length walks one path
 up and one down.
@@ -9,6 +11,8 @@ up and one down.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 from catalog_sync.llm.tokens import runs_of
 
 BLOCK = 1 << 22
+BYTES = 4
 
 
 class Capacities:
@@ -67,6 +72,10 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return sequences
 
 
+def _in_blocks(docs: DataFrame, text: str, block: int) -> DataFrame:
+    """The documents in at most as many partitions as they have blocks, taking ``BYTES`` of text for an id."""
+    size = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 1)).first()[0] or 0
+    return docs.coalesce(max(1, math.ceil(size / (BYTES * block))))
 
 
 def packed_rows(
@@ -81,7 +90,7 @@ def packed_rows(
     segment and where it starts in its document. A document is its text's ids and ``end_id``; one of more than ``size`` ids is
     cut into segments of ``size`` and a rest, which joined by ``start`` give it back. NULL and empty texts are ``end_id`` alone.
     Rows that repeat a key are documents of their own. Sequence ids are unique, not dense. An empty
-    table gives an empty table.
+    table gives an empty table. The documents are read once more for their size.
     """
     from tokenizers import Tokenizer
 
@@ -133,7 +142,7 @@ def packed_rows(
         if keys:
             yield from flush()
 
-    made = docs.select(key, text).mapInArrow(
+    made = _in_blocks(docs.select(key, text), text, block).mapInArrow(
         pack, "length int, ids binary, cu_seqlens array<int>, positions binary, "
         f"docs array<struct<{key}:{kind}, start:bigint>>"
     )

@@ -122,6 +122,16 @@ def test_matrices_give_the_documents_back(documents, block):
     assert packed_rows(documents([]).where("false"), TOKENS).count() == 0
 
 
+@needs_tokenizer
+def test_matrices_do_not_follow_small_partitions(documents):
+    rng = random.Random(6)
+    docs = documents([(i, "a " * rng.randint(1, 200)) for i in range(600)])
+    rows = packed_rows(docs.repartition(100), TOKENS, size=256).select("length").collect()
+    assert sum(r.length for r in rows) >= 0.99 * 256 * len(rows)
+    few = packed_rows(docs.repartition(100), TOKENS, size=256, block=2000).select("length").collect()
+    assert sum(r.length for r in few) == sum(r.length for r in rows)
+
+
 def mixture(rows):
     """(target by source, takes by hand) by plain loops."""
     sizes = Counter()
