@@ -14,6 +14,7 @@ from catalog_sync.operators.quality import error_samples, error_summary, key_aud
 from catalog_sync.plans import jobs
 from catalog_sync.plans.jobs import Changes, Landing
 from catalog_sync.plans.ledger import forget_superseded, landing_of, take_in
+from catalog_sync.plans.titles import extend, find_titles
 from catalog_sync.schemas import FOREIGN_KEYS, KEYS, MAX_CAST
 from catalog_sync.sources.csv_files import write_catalog
 from catalog_sync.sources.snapshots import Published, Snapshot, SnapshotStore
@@ -56,6 +57,11 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--checkpoint", required=True)
     command("report", "columns, row counts, key and reference checks", landing=False)
     command("compact", "merge small parts, forget superseded documents", landing=False)
+    command("index-titles", "list the titles written since the last time", landing=False)
+    titles = command("titles", "movies of the catalog by title or id", landing=False)
+    titles.add_argument("query")
+    titles.add_argument("--page", type=int, default=1)
+    titles.add_argument("--page-size", type=int, default=20)
     changes = command("changes", "rows of a table that differ between two versions", landing=False)
     changes.add_argument("table")
     changes.add_argument("--since", type=int, required=True)
@@ -127,6 +133,10 @@ def main(argv: list[str] | None = None) -> None:
         stream_catalog(spark, args.landing, store, args.checkpoint, **cast).awaitTermination()
     elif args.command == "compact":
         _report([forget_superseded(store), *[store.compact(name) for name in store.tables()]])
+    elif args.command == "index-titles":
+        _report([extend(store)])
+    elif args.command == "titles":
+        _print(find_titles(store.tables(), args.query, args.page_size, args.page))
     elif args.command == "changes":
         _print(store.changes(args.table, args.since, args.until))
     else:

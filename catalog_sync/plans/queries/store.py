@@ -23,7 +23,8 @@ from catalog_sync.plans.queries.landing import (
     landing,
 )
 from catalog_sync.plans.registry import query, table
-from catalog_sync.schemas import CORRUPT, ERROR_CATEGORIES
+from catalog_sync.plans.titles import extend, find_titles
+from catalog_sync.schemas import CORRUPT, ERROR_CATEGORIES, SIDE_KEYS
 from catalog_sync.scratch import scratch_dir
 from catalog_sync.sources.landing import write_json
 from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, SnapshotStore
@@ -337,3 +338,47 @@ def fresh_latest_stream(spark, d):
         F.max("ts").alias("ts"), F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"),
         F.count(F.lit(1)).alias("fetches"),
     )
+
+
+_PART_TITLES = {"table": "part", "id_": "p_partkey", "title": "p_name"}
+
+
+def _indexed_parts(spark: SparkSession, d: str) -> tuple[SnapshotStore, DataFrame]:
+    """A store of the parts whose index covers those of even keys."""
+    keys = {"part": ["p_partkey"], **SIDE_KEYS}
+    store = SnapshotStore(
+        spark, scratch_dir(spark, "part-store"), SLOTS, bucket_keys={"part": "p_partkey"}, keys=keys
+    )
+    parts = table(spark, d, "part").select("p_partkey", "p_name", "p_retailprice")
+    even = F.col("p_partkey") % 2 == 0
+    store.publish(replace={"part": parts.filter(even)})
+    extend(store, **_PART_TITLES)
+    store.publish(append={"part": parts.filter(~even)})
+    return store, parts
+
+
+@query("title_index_search", "SELECT p_partkey, p_name, p_retailprice FROM part WHERE contains(lower(p_name), 'ring')")
+def title_index_search(spark, d):
+    """Posting lists for the indexed half, titles for the parts written since."""
+    store, _ = _indexed_parts(spark, d)
+    return find_titles(store.tables(), "Ring", popularity="p_retailprice", **_PART_TITLES)
+
+
+@query(
+    "title_index_renamed",
+    """SELECT p_partkey, concat(p_name, ' mk2') AS p_name, p_retailprice FROM part WHERE p_partkey % 5 = 0
+         AND contains(lower(concat(p_name, ' mk2')), 'gear mk')
+       ORDER BY p_retailprice DESC, p_partkey LIMIT 100""",
+)
+def title_index_renamed(spark, d):
+    """Renamed rows are listed anew, what they no longer contain is not found; the first page of matches."""
+    store, parts = _indexed_parts(spark, d)
+    renamed = parts.filter(F.col("p_partkey") % 5 == 0).select(
+        "p_partkey", F.concat("p_name", F.lit(" mk2")).alias("p_name")
+    )
+    change = Rewrite(
+        lambda: renamed.select("p_partkey"), lambda rows: update_tagged(rows, renamed, ["p_partkey"], ["p_name"])
+    )
+    store.publish(rewrite={"part": change}, base=store.version())
+    extend(store, **_PART_TITLES)
+    return find_titles(store.tables(), "Gear mk", 100, popularity="p_retailprice", **_PART_TITLES)

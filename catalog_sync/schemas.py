@@ -30,17 +30,18 @@ KEYS: dict[str, list[str]] = {
     "credits": ["movie_id", "person_id", "credit_type"],
     "genres": ["movie_id", "genre_name"],
 }
-# Tables the store keeps beside the catalog: the ledger of landing files, the documents taken in and the
-# person ids that credits mention. Those of LOOSE repeat their key, which only deals them out.
-LANDED_FILES, MENTIONED, ERRORS = "landed_files", "mentioned", "errors"
+# Tables the store keeps beside the catalog: the ledger of landing files, the documents taken in, the
+# person ids that credits mention and the ids by three letters of their titles. Those of LOOSE repeat their key, which only deals them out.
+LANDED_FILES, MENTIONED, ERRORS, TITLE_GRAMS = "landed_files", "mentioned", "errors", "title_grams"
 SIDE_KEYS: dict[str, list[str]] = {
     LANDED_FILES: ["path"],
     "landed_details": ["id"],
     "landed_credits": ["movie_id"],
     "landed_persons": ["id"],
     MENTIONED: ["person_id"],
+    TITLE_GRAMS: ["gram"],
 }
-LOOSE = {"landed_details", "landed_credits", "landed_persons", MENTIONED}
+LOOSE = {"landed_details", "landed_credits", "landed_persons", MENTIONED, TITLE_GRAMS}
 # child table -> [(child column, parent table, parent column)]
 FOREIGN_KEYS: dict[str, list[tuple[str, str, str]]] = {
     "credits": [("movie_id", "movies", "id"), ("person_id", "people", "id")],

@@ -175,6 +175,22 @@ class Snapshot(dict):
         parts = tuple(p for p in known.parts if p.slot in slots)
         return self.store._open(name, changed(known, parts=parts))
 
+    def split(
+        self, name: str, version: int, keys: DataFrame | None = None
+    ) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The table by what an earlier version (0 is before the first) held: the rows in parts that were there
+        already, those in parts written since, and the earlier rows in parts that are gone since. ``keys`` (a frame of one column)
+        leaves the slots that hold none of them out of the first."""
+        now = self.layout.tables[name]
+        old = self.store._layout(version).tables.get(name, changed(now, parts=()))
+        before, after = set(old.parts), set(now.parts)
+        slots = self.store._touched(keys, now.slots) if keys is not None and now.slots else None
+        kept = [p for p in now.parts if p in before and (slots is None or p.slot in slots)]
+        written = [p for p in now.parts if p not in before]
+        gone = [p for p in old.parts if p not in after]
+        read = lambda table, parts: self.store._open(name, changed(table, parts=tuple(parts)))
+        return read(now, kept), read(now, written), read(old, gone)
+
 
 def _plain(value):
     return value.isoformat() if isinstance(value, dt.date) else value

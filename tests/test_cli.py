@@ -20,6 +20,11 @@ def test_commands_end_to_end(spark, landing_root, tmp_path, rows, capsys):  # no
     main(["report", *at])
     assert rows(store.table("movies"), "id") == [(1,), (10,), (2,), (7,)]
 
+    main(["index-titles", *at])
+    capsys.readouterr()
+    main(["titles", *at, "RELEASED"])
+    assert '"id":10' in capsys.readouterr().out
+
     other = ["--store", str(tmp_path / "other")]
     main(["load-csv", *other, "--csv", str(tmp_path / "csv"), "--initial"])
     loaded = SnapshotStore(spark, str(tmp_path / "other"))
