@@ -12,11 +12,11 @@ the number of links is counted there exactly, block against block: a group of an
 near copies is split over many tasks, and only counts leave them.
 
 Windows miss more the larger and the denser a table is, so buckets follow. A pass over buckets draws new
-hyperplanes, takes few signs and compares all vectors that share them, but for pairs the windows have put
-into one component: a bucket of any size is split block against block. Whether a pair meets depends on
-its angle alone, not on what else the table holds, and so many passes run that a pair just at the
-threshold meets with a chance of ``RECALL``. How many signs are cheapest is counted on the table itself;
-for a small table it is none, which compares all pairs.
+hyperplanes, takes ``SIGNS`` signs and compares all vectors that share them, but for pairs the windows have
+put into one component: a bucket of any size is split block against block. With no signs, as here, one
+bucket holds the table and all pairs are compared: tables of any size and density are answered by one rule
+and lose no link. With signs a pass is cheaper, and so many run that a pair just at the threshold meets
+with a chance of ``RECALL``; their number is never chosen by the table.
 """
 
 from __future__ import annotations
@@ -39,12 +39,12 @@ BITS = 62
 WINDOW = 256
 BLOCK = 1024
 
-# Buckets: the chance that a pair at the threshold meets, the most signs, vectors a block, and what a
-# compared pair and a vector sent to a bucket cost in seconds, which only weighs one against the other.
+# Buckets: signs, the chance that a pair at the threshold meets if there are any, vectors a block, and how
+# many rows of a block are multiplied at a time.
+SIGNS = 0
 RECALL = 0.995
-MOST_SIGNS = 24
-BUCKET_BLOCK = 4096
-PAIR_S, ROW_S = 2e-8, 3e-5
+BUCKET_BLOCK = 16384
+SLAB = 256
 
 
 def _planes(dims: int, seed: int | tuple[int, int]) -> np.ndarray:
@@ -141,18 +141,9 @@ def bucket_passes(signs: int, threshold: float, recall: float = RECALL) -> int:
     return 1 if meets >= recall else math.ceil(math.log1p(-recall) / math.log1p(-meets)) if meets > 0 else 1 << 30
 
 
-def _signs(labelled: DataFrame, threshold: float) -> int:
-    """The number of signs whose buckets cost least, by the pairs of different labels there are in a pass."""
-    fine = labelled.groupBy(
-        F.shiftright(F.col("hashes")[0], BITS - MOST_SIGNS).alias("fine"), "label"
-    ).agg(F.count(F.lit(1)).alias("n"))
-    own = fine.withColumn("signs", F.explode(F.sequence(F.lit(0), F.lit(MOST_SIGNS)))).groupBy(
-        "signs", F.expr(f"shiftright(fine, {MOST_SIGNS} - signs)").alias("bucket"), "label"
-    ).agg(F.sum("n").cast("double").alias("n"))
-    met = own.groupBy("signs", "bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-    rows = met.groupBy("signs").agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).collect()
-    cost = {r[0]: bucket_passes(r[0], threshold) * (PAIR_S * r[1] + ROW_S * r[2]) for r in rows}
-    return min(cost, key=lambda k: (cost[k], k), default=0)
+def _signs() -> int:
+    """The number of signs of a bucket, the same for every table."""
+    return SIGNS
 
 
 def _buckets(labelled: DataFrame, signs: int, passes: int, block: int, threshold: float) -> DataFrame:
@@ -203,11 +194,12 @@ def _buckets(labelled: DataFrame, signs: int, passes: int, block: int, threshold
             two = own if i == j else own[own["block"] == j]
             unit, other = _units(one["unit"]), _units(two["unit"])
             mine, theirs = one["label"].to_numpy(), two["label"].to_numpy()
-            for at in range(0, len(unit), 1024):
-                a, b = np.nonzero(unit[at : at + 1024] @ other.T >= threshold)
-                differ = mine[a + at] != theirs[b]
-                found.append(np.unique(np.stack([mine[a + at][differ], theirs[b][differ]], axis=1), axis=0))
-        every = np.concatenate(found)
+            for at in range(0, len(unit), SLAB):
+                near = unit[at : at + SLAB] @ other.T >= threshold
+                if near.any():
+                    a, b = np.nonzero(near & np.not_equal.outer(mine[at : at + SLAB], theirs))
+                    found.append(np.unique(np.stack([mine[a + at], theirs[b]], axis=1), axis=0))
+        every = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
         labels, places = np.unique(every, return_inverse=True)
         places = places.reshape(-1, 2)
         low = _roots(len(labels), places[:, 0], places[:, 1])
@@ -228,7 +220,7 @@ def _linked(unique: DataFrame, passes: int, window: int, block: int, threshold:
         unique.select("id", "unit", "hashes").join(found, "id", "left")
         .withColumn("label", F.coalesce("component", "id")), "labelled"
     )
-    signs = _signs(labelled, threshold)
+    signs = _signs()
     edges = _buckets(labelled, signs, bucket_passes(signs, threshold), BUCKET_BLOCK, threshold)
     joined = stage(
         components(edges).select(F.col("id").alias("label"), F.col("component").alias("whole")), "joined"

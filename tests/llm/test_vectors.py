@@ -103,6 +103,16 @@ def test_dense_groups_lose_no_pairs(vectors, monkeypatch, signs):
     assert sum(out[i] == want[i] for i in linked) >= (0.98 if signs else 1) * len(linked)
 
 
+def test_large_tables_lose_no_pairs_either(vectors, monkeypatch):
+    """As a large table is answered: a dear pair made the old code choose many signs, which miss some links."""
+    monkeypatch.setattr(vector_dedup, "PAIR_S", 1.0, raising=False)
+    monkeypatch.setattr(vector_dedup, "BUCKET_BLOCK", 500)
+    rows = [(i, v.tolist()) for i, v in enumerate(dense_pairs(3000, 1500, 0.5, near=(0.9501, 0.9502)))]
+    want = links_by_hand(rows, 0.95)
+    out = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(vectors(rows), passes=2, window=4).collect()}
+    assert out == want and sum(n > 0 for n, _ in want.values()) >= 3000
+
+
 def test_passes_follow_the_signs():
     assert bucket_passes(0, 0.95) == 1
     for signs in range(1, 20):
