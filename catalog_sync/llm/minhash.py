@@ -10,7 +10,7 @@ bucket of n gives n - 1 candidate pairs. Candidates are confirmed on the full se
 confirmed links form components. What a star can miss is a link between two members of which one is
 not similar to the centre. So buckets whose members still lie in several components are compared
 block by block by signature: each member proposes its nearest member of another component, what is
-confirmed joins components, and so on until a round finds no link; then every pair left in different
+confirmed joins components, and so on until a round finds few links; then every pair left in different
 components is proposed whose sizes allow the similarity and whose estimate is within ``DEVIATIONS``
 standard deviations of it. Pairs of sets of ``SMALL`` shingles at most are settled where they meet.
 Members of one component are never paired again: a group of near copies gives few pairs.
@@ -36,8 +36,11 @@ BANDS = 25
 ROWS = 5
 BINS = BANDS * ROWS
 DEVIATIONS = 4
-BLOCK = 256
+BLOCK = 4096
+SLAB = 128
 SMALL = 256
+FEW = 100
+PAIRS = 1 << 16
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -165,17 +168,9 @@ def _small_sets(texts: DataFrame, members: DataFrame, width: int) -> DataFrame:
     return own.select("__key", "__text").mapInArrow(gather, "__key long, __set binary")
 
 
-def _mixed_pairs(
-    members: DataFrame, sketches: DataFrame, percent: int, nearest: bool
-) -> DataFrame:
-    """Pairs of bucket members in different components that estimate near the threshold.
-
-    ``members``: band, bucket, key and component of the buckets that hold several components. Sorted
-    by component they are cut into blocks of ``BLOCK``; two blocks meet in a group of their own
-    unless both hold one and the same component. ``nearest``: of each member's pairs only the best.
-    Else a pair is looked at in the first band that it shares, and where the small sets of both are
-    at hand (column ``__set`` of ``sketches``) it is settled there: only links leave the task.
-    """
+def _block_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The members of buckets of more than ``BLOCK``, a row for each pair of blocks (__i, __j) that their block
+    (__block) meets in."""
     bucket = ["__band", "__bucket"]
     placed = stage(
         ranked(members, bucket, ["__component", "__key"], "__rank")
@@ -193,10 +188,29 @@ def _mixed_pairs(
         .select(*bucket, "__i", "__j"),
         "meet",
     )
-    rows = placed.select(*bucket, "__block", *sketches.columns, "__component")
-    met = rows.join(meet.withColumn("__block", F.col("__i")), [*bucket, "__block"]).union(
-        rows.join(meet.where("__i < __j").withColumn("__block", F.col("__j")), [*bucket, "__block"])
-    )
+    sides = meet.withColumn("__block", F.explode(F.array_distinct(F.array("__i", "__j"))))
+    return placed.drop("__rank").join(sides, [*bucket, "__block"])
+
+
+def _mixed_pairs(
+    members: DataFrame, sketches: DataFrame, percent: int, nearest: bool
+) -> DataFrame:
+    """Pairs of bucket members in different components that estimate near the threshold.
+
+    ``members``: band, bucket, key, component and the bucket's size, of the buckets that hold several
+    components. A bucket of up to ``BLOCK`` members is one group. A larger one is sorted by component and
+    cut into blocks of ``BLOCK``; two blocks meet in a group of their own unless both hold one and the same
+    component. Within a group ``SLAB`` members are compared at a time. ``nearest``: of each member's pairs only the best.
+    Else a pair is looked at in the first band that it shares, and where the small sets of both are
+    at hand (column ``__set`` of ``sketches``) it is settled there: only links leave the task.
+    """
+    bucket = ["__band", "__bucket"]
+    columns = [*bucket, "__i", "__j", "__block", *sketches.columns, "__component"]
+    start = [F.lit(0).cast("long").alias(c) for c in ("__i", "__j", "__block")]
+    met = members.where(F.col("__n") <= BLOCK).select("*", *start).join(sketches, "__key").select(*columns)
+    large = members.where(F.col("__n") > BLOCK).drop("__n")
+    if not large.isEmpty():
+        met = met.union(_block_pairs(large, sketches).select(*columns))
 
     names = [*bucket, "__i", "__j", "__block", "__key", "__component", "__size", "__sketch"]
     names += ["__set"] * ("__set" in sketches.columns)
@@ -205,6 +219,7 @@ def _mixed_pairs(
         for group in _groups(batches, 4):
             i, j = group.column(2)[0], group.column(3)[0]
             a, b = (group.filter(pc.equal(group.column(4), x)) for x in (i, j))
+            i, j = i.as_py(), j.as_py()
             one, two = (
                 np.frombuffer(b"".join(x.column(8).to_pylist()), dtype=np.uint16).reshape(len(x), BINS)
                 for x in (a, b)
@@ -212,26 +227,50 @@ def _mixed_pairs(
             (mine, of, sizes), (other, of2, sizes2) = (
                 [x.column(k).to_numpy() for k in (5, 6, 7)] for x in (a, b)
             )
-            large, small = np.maximum.outer(sizes, sizes2), np.minimum.outer(sizes, sizes2)
-            near = np.not_equal.outer(of, of2) & (100 * small >= percent * large)
-            if not near.any():
-                continue
-            same = np.stack([np.count_nonzero(two == row, axis=1) for row in one])
-            near &= same >= _least(large, percent)
+            lefts, rights = [], []
+            best, of_best = np.full(len(b), -1), np.zeros(len(b), dtype=np.int64)
+            for at in range(0, len(a), SLAB):
+                rows = np.arange(at, min(at + SLAB, len(a)))
+                # Sorted by component: most slabs hold one, and meet the others only.
+                alike = of[rows[0]] == of[rows[-1]]
+                columns = np.flatnonzero(of2 != of[at]) if alike else np.arange(len(b))
+                if i == j and not nearest:
+                    columns = columns[columns >= at]
+                large, small = (f.outer(sizes[rows], sizes2[columns]) for f in (np.maximum, np.minimum))
+                near = np.not_equal.outer(of[rows], of2[columns]) & (100 * small >= percent * large)
+                some, others = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+                if not len(some):
+                    continue
+                rows, columns, near, large = rows[some], columns[others], near[np.ix_(some, others)], large[np.ix_(some, others)]
+                theirs = two[columns]
+                same = np.stack([np.count_nonzero(theirs == row, axis=1) for row in one[rows]])
+                near &= same >= _least(large, percent)
+                if nearest:
+                    same = np.where(near, same, -1)
+                    first, most = same.argmax(axis=1), same.max(axis=1)
+                    lefts.append(rows[most >= 0])
+                    rights.append(columns[first[most >= 0]])
+                    better = same.max(axis=0) > best[columns]
+                    best[columns[better]] = same.max(axis=0)[better]
+                    of_best[columns[better]] = rows[same.argmax(axis=0)[better]]
+                    continue
+                left, right = np.nonzero(near)
+                left, right = rows[left], columns[right]
+                for part in range(0, len(left), PAIRS):
+                    l, r = left[part : part + PAIRS], right[part : part + PAIRS]
+                    shared = (one[l] == two[r]).reshape(len(l), BANDS, ROWS).all(axis=2)
+                    new = ~shared[:, : group.column(0)[0].as_py()].any(axis=1)
+                    lefts.append(l[new])
+                    rights.append(r[new])
             if nearest:
-                same = np.where(near, same, -1)
-                best = np.zeros_like(near)
-                best[np.arange(len(a)), same.argmax(axis=1)] = True
-                best[same.argmax(axis=0), np.arange(len(b))] = True
-                near &= best
-            left, right = np.nonzero(near)
-            if not nearest and len(left):
-                shared = (one[left] == two[right]).reshape(len(left), BANDS, ROWS).all(axis=2)
-                first = ~shared[:, : group.column(0)[0].as_py()].any(axis=1)
-                left, right = left[first], right[first]
+                lefts.append(of_best[best >= 0])
+                rights.append(np.flatnonzero(best >= 0))
+            if not sum(map(len, lefts)):
+                continue
+            left, right = np.concatenate(lefts), np.concatenate(rights)
+            if not nearest:
                 sets, sets2 = a.column(9).to_pylist(), b.column(9).to_pylist()
                 held = [_settled(sets[x], sets2[y], percent) for x, y in zip(left, right, strict=True)]
-                held = np.array(held, dtype=bool)
                 left, right = left[held], right[held]
             left, right = mine[left], other[right]
             found = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1), axis=0)
@@ -242,7 +281,7 @@ def _mixed_pairs(
 
     # Dealt out by count: comparing takes time that the rows' size does not show.
     keys = [*bucket, "__i", "__j"]
-    met = met.repartition(partitions(members.sparkSession), *keys).sortWithinPartitions(*keys)
+    met = met.repartition(partitions(members.sparkSession), *keys).sortWithinPartitions(*keys, "__component", "__key")
     return met.select(*names).mapInArrow(compare, "src long, dst long").distinct()
 
 
@@ -279,7 +318,7 @@ def _repeated_keys(filled: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components, with their components."""
+    """The members of buckets that hold several components, with their components and the bucket's size."""
     bucket = ["__band", "__bucket"]
     grouped = stage(
         members.join(found, members["__key"] == found["id"], "left")
@@ -287,8 +326,9 @@ def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
         "grouped",
     )
     mixed = (
-        grouped.groupBy(*bucket).agg(F.min("__component").alias("__low"), F.max("__component").alias("__high"))
-        .where("__low <> __high").select(*bucket)
+        grouped.groupBy(*bucket).agg(
+            F.min("__component").alias("__low"), F.max("__component").alias("__high"), F.count(F.lit(1)).alias("__n")
+        ).where("__low <> __high").select(*bucket, "__n")
     )
     out = stage(grouped.join(mixed, bucket), "mixed")
     discard(grouped)
@@ -349,7 +389,8 @@ def near_duplicates(
     tested, nearest = star, True
     while True:
         mixed = _mixed(members, found)
-        if mixed.isEmpty():
+        open_ = mixed.select("__key").distinct().count()
+        if not open_:
             break
         known = sketches
         if not nearest:
@@ -360,13 +401,14 @@ def near_duplicates(
         discard(mixed, *used)
         tested = tested.union(pairs)
         more = stage(_confirmed(pairs, texts, words, percent), "links")
-        linked = not more.isEmpty()
+        linked = more.count()
         if linked:
             links = links.union(more)
             found = components(links)
         if not nearest:
             break
-        nearest = linked
+        # A round that joins little leaves little: the last one settles all of it.
+        nearest = linked * FEW > open_
     rep = classes.select(F.col("__fa").alias("__ca"), F.col("__fb").alias("__cb"), "__rep")
     of = rep.join(found, rep["__rep"] == found["id"], "left").select(
         "__ca", "__cb", F.coalesce("component", "__rep").alias("__component")

@@ -128,6 +128,28 @@ def test_links_past_the_centre_of_a_star(documents, monkeypatch):
     assert {r.doc_id: r.component_id for r in out.collect()} == {0: 0, 1: 1, 2: 1, 3: 0}
 
 
+@pytest.mark.parametrize("block", [16, 4096])
+def test_blocks_change_nothing(documents, monkeypatch, block):
+    """Buckets larger and smaller than a block: all rows share every bucket."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "SLAB", 7, raising=False)
+    monkeypatch.setattr(minhash, "_signed", _signed_in_one_bucket(minhash._signed))
+    rows = [(100 * g + i, " ".join([f"w{g}_{k}" for k in range(40)] + [f"end{i}"] * (i % 3))) for g in range(12) for i in range(4)]
+    out = near_duplicates(documents(rows), words=2)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in out.collect()}
+    assert got == groups_by_hand(rows, 2, 80)
+
+
+def test_members_of_a_bucket_meet_once(documents, monkeypatch):
+    """600 documents in one bucket: they go to one group, not to one for each pair of blocks."""
+    labels, real = [], minhash.stage
+    monkeypatch.setattr(minhash, "stage", lambda df, label: labels.append(label) or real(df, label))
+    monkeypatch.setattr(minhash, "_signed", _signed_in_one_bucket(minhash._signed))
+    rows = [(i, f"a{i} b{i} c{i}") for i in range(600)]
+    out = near_duplicates(documents(rows), words=2)
+    assert out.where("kept").count() == 600 and "meet" not in labels
+
+
 def _signed_in_one_bucket(real):
     from pyspark.sql import functions as F
 
