@@ -2,7 +2,8 @@
 
 The tokenizers used drop white space and never join across it, so a text's ids are the ids of
 its runs of bytes outside ``[\\x20\\x09-\\x0D]`` in order. Each Python worker keeps a bounded cache of
-short runs over all of its tasks, as most words come again. Punctuation behind a word of letters begins
+short runs over all of its tasks, as most words come again; between tasks it keeps the ``KEPT`` runs met
+first, among which are the frequent ones, as an idle worker's memory is missed by what follows. Punctuation behind a word of letters begins
 a token of its own for these tokenizers, so a new run of known word and punctuation needs no
 encoding. New words are encoded together where the tokenizer marks the ends of words. Texts are split and
 ids put together array-wise, a group of texts at a time.
@@ -16,6 +17,7 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 from unicodedata import normalize
 
 import numpy as np
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHED = 1_000_000
+KEPT = 100_000
 LONG = 64
 GROUP = 1 << 23
 TOGETHER = 128
@@ -75,6 +78,14 @@ class Runs(dict):
             for word, start, end in zip(words, [0, *last], last, strict=False):
                 self[word] = packed[4 * start : 4 * end]
 
+    def trim(self) -> None:
+        """Forget all but the runs met first, and give the memory back."""
+        if len(self) > KEPT:
+            first = dict(islice(self.items(), KEPT))
+            self.clear()
+            self.update(first)
+        pa.default_memory_pool().release_unused()
+
     def ids(self, texts: pa.Array | list[bytes]) -> Iterator[bytes]:
         """The ids of each text, in groups of about ``GROUP`` bytes; NULL counts as empty.
 
@@ -98,7 +109,7 @@ class Runs(dict):
         coded = split.flatten().dictionary_encode()
         runs = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         if len(self) > CACHED:
-            self.clear()
+            self.trim()
         if self.ends:
             unknown = [run for run in runs if run not in self]
             if unknown:
@@ -153,6 +164,7 @@ def pieces(
                 pa.array(crc, pa.int64()),
             ] + [pa.array(ids, pa.binary())] * with_ids
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        runs.trim()
 
     return docs.select(F.col(key).alias("key"), text).mapInArrow(
         cut, f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids

@@ -141,6 +141,7 @@ def packed_rows(
                     held = 0
         if keys:
             yield from flush()
+        runs.trim()
 
     made = _in_blocks(docs.select(key, text), text, block).mapInArrow(
         pack, "length int, ids binary, cu_seqlens array<int>, positions binary, "

@@ -179,3 +179,17 @@ def test_mix_of_nothing(documents):
     empty = documents([]).where("false")
     assert copies(empty).count() == 0 and mix(empty).count() == 0
     assert [r.taken for r in copies(documents([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_a_full_cache_keeps_the_runs_met_first(monkeypatch):
+    from catalog_sync.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHED", 50)
+    monkeypatch.setattr(tokens, "KEPT", 5, raising=False)
+    runs = tokens.Runs(TOKENS)
+    texts = [b"the cat and the dog", " ".join(f"word{i}" for i in range(200)).encode(), b"the last dog"]
+    want = [b"".join(tokens.Runs(TOKENS).ids([t])) for t in texts]
+    assert [b"".join(runs.ids([t])) for t in texts] == want
+    assert b"the" in runs and len(runs) < 50
+    runs.trim()
+    assert len(runs) <= 5 and b"the" in runs and [b"".join(runs.ids([t])) for t in texts] == want
