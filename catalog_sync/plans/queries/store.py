@@ -165,7 +165,7 @@ def _drop(root: str, documents: Landing, some) -> None:
     """Land the documents of some ids as JSON files."""
     for kind, key in (("details", "id"), ("credits", "movie_id"), ("persons", "id")):
         docs = getattr(documents, kind).filter(some(F.col(key))).drop(CORRUPT)
-        write_json(docs, f"{root}/{kind}", mode="append")
+        write_json(docs, f"{root}/{kind}", mode="append", compression="gzip")
 
 
 @query(

@@ -31,7 +31,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame several outputs share and read it back: computed once, lineage cut, each
     reader prunes to the columns it needs, and a lost executor costs no recomputation."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.staged_at = path
     for frames in _RECORDS:

@@ -57,9 +57,10 @@ def parse_documents(lines: DataFrame, column: str, kind: str) -> DataFrame:
     return _documents(lines, column, DOCUMENTS[kind])
 
 
-def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Timestamps keep their microseconds (Spark writes milliseconds by default)."""
+def write_json(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    """Timestamps keep their microseconds (Spark writes milliseconds by default). Readers know a
+    compressed file by its name; each is read by one task."""
     df.write.mode(mode).options(
         timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
         timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    ).json(path)
+    ).json(path, compression=compression)

@@ -424,7 +424,7 @@ class SnapshotStore:
             return {k: seen.get[k] for k in kinds}
 
         if not slots:
-            df.observe(seen, *measures, *actions).drop(ACTION).write.parquet(place)
+            df.observe(seen, *measures, *actions).drop(ACTION).write.parquet(place, compression="zstd")
             return [part(seen.get, path, None, False)], counted()
         key = self.keys[name][0]
         clustered = self.bucket_keys.get(name) == key
@@ -435,7 +435,7 @@ class SnapshotStore:
         # of the rows is split among tasks.
         laid = dealt.repartition(slots, key) if clustered else dealt.hint("rebalance", SLOT)
         laid = laid.observe(seen, *actions).drop(ACTION) if kinds else laid
-        writer = laid.write.format("parquet").partitionBy(SLOT).option("path", place)
+        writer = laid.write.format("parquet").partitionBy(SLOT).options(path=place, compression="zstd")
         if clustered:
             declared = f"snapshot_write_{uuid.uuid4().hex}"
             writer.bucketBy(slots, key).sortBy(key).saveAsTable(declared)

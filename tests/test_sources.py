@@ -214,3 +214,19 @@ def test_two_publishers_from_one_version(spark, tmp_path):
     with pytest.raises(RuntimeError, match="changed a"):
         late.publish(replace={"a": spark.range(5)})
     assert ids() == [0, 1, 10, 11, 20] and one.version() == 3
+
+
+def test_staged_rows_parts_and_packed_lines(spark, tmp_path):
+    """What is written on the way is packed densely, and reads back the same."""
+    frame = spark.range(500).selectExpr("id", "repeat(cast(id as string), 20) AS name")
+    want = sorted(map(tuple, frame.collect()))
+    staged = stage(frame, "packed")
+    assert all(".zstd." in f for f in staged.inputFiles()) and sorted(map(tuple, staged.collect())) == want
+    for buckets in (0, 4):
+        store = SnapshotStore(spark, str(tmp_path / f"store-{buckets}"), buckets)
+        store.publish(replace={"people": frame})
+        held = store.table("people").select("id", "name")
+        assert all(".zstd." in f for f in held.inputFiles()) and sorted(map(tuple, held.collect())) == want
+    landing.write_json(frame, str(tmp_path / "lines"), compression="gzip")
+    assert list((tmp_path / "lines").glob("*.json.gz"))
+    assert sorted(map(tuple, landing.read_json(spark, str(tmp_path / "lines"), "id bigint, name string").collect())) == want
