@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalog_sync.llm.shared import components, partitions, ranked
+from catalog_sync.llm.shared import components, gathered, partitions, ranked
 from catalog_sync.llm.words import WORD_COUNT, mix, shingles
 from catalog_sync.scratch import discard, recorded, stage
 
@@ -41,6 +41,7 @@ SLAB = 128
 SMALL = 256
 FEW = 100
 PAIRS = 1 << 16
+TEXTS = 1 << 12
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -119,7 +120,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """The (src, dst) pairs whose full sets reach ``percent`` of similarity."""
     left = texts.select(F.col("__key").alias("src"), F.col("__text").alias("__ls"))
     right = texts.select(F.col("__key").alias("dst"), F.col("__text").alias("__rs"))
-    both = pairs.join(right, "dst").join(left, "src").select("src", "dst", "__ls", "__rs")
+    rows = pairs.count()
+    both = gathered(pairs.join(right, "dst"), rows, TEXTS).join(left, "src").select("src", "dst", "__ls", "__rs")
+    both = gathered(both, rows, TEXTS, 4)
 
     def confirm(batches):
         last, kept = None, None
@@ -164,7 +167,8 @@ def _small_sets(texts: DataFrame, members: DataFrame, width: int) -> DataFrame:
             sets = [h.tobytes() if len(h) <= SMALL else b"" for h in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["__key", "__set"])
 
-    own = texts.join(members.select("__key").distinct(), "__key", "left_semi")
+    keys = gathered(members.select("__key").distinct(), members.count())
+    own = gathered(texts.join(keys, "__key", "left_semi"), texts.count(), TEXTS, 4)
     return own.select("__key", "__text").mapInArrow(gather, "__key long, __set binary")
 
 
@@ -208,6 +212,8 @@ def _mixed_pairs(
     columns = [*bucket, "__i", "__j", "__block", *sketches.columns, "__component"]
     start = [F.lit(0).cast("long").alias(c) for c in ("__i", "__j", "__block")]
     met = members.where(F.col("__n") <= BLOCK).select("*", *start).join(sketches, "__key").select(*columns)
+    rows = members.count()
+    met = gathered(met, rows)
     large = members.where(F.col("__n") > BLOCK).drop("__n")
     if not large.isEmpty():
         met = met.union(_block_pairs(large, sketches).select(*columns))
@@ -282,7 +288,7 @@ def _mixed_pairs(
     # Dealt out by count: comparing takes time that the rows' size does not show.
     keys = [*bucket, "__i", "__j"]
     met = met.repartition(partitions(members.sparkSession), *keys).sortWithinPartitions(*keys, "__component", "__key")
-    return met.select(*names).mapInArrow(compare, "src long, dst long").distinct()
+    return gathered(met.select(*names), rows, TEXTS, 8).mapInArrow(compare, "src long, dst long").distinct()
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -310,27 +316,31 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 
 def _repeated_keys(filled: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges that join the classes of rows with one and the same key."""
+    rows = filled.count()
     again = filled.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
-    return (
-        filled.join(again, "__key").join(classes, ["__fa", "__fb"])
-        .select(F.col("__key").alias("src"), F.col("__rep").alias("dst")).where("src <> dst").distinct()
+    repeated = gathered(filled.select("__key", "__fa", "__fb").join(gathered(again, rows), "__key"), rows)
+    edges = (
+        repeated.join(classes, ["__fa", "__fb"])
+        .select(F.col("__key").alias("src"), F.col("__rep").alias("dst")).where("src <> dst")
     )
+    return gathered(gathered(edges, rows).distinct(), rows)
 
 
 def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     """The members of buckets that hold several components, with their components and the bucket's size."""
     bucket = ["__band", "__bucket"]
-    grouped = stage(
+    rows = members.count()
+    grouped = (
         members.join(found, members["__key"] == found["id"], "left")
-        .select(*bucket, "__key", F.coalesce("component", "__key").alias("__component")),
-        "grouped",
+        .select(*bucket, "__key", F.coalesce("component", "__key").alias("__component"))
     )
+    grouped = stage(gathered(grouped, rows), "grouped")
     mixed = (
         grouped.groupBy(*bucket).agg(
             F.min("__component").alias("__low"), F.max("__component").alias("__high"), F.count(F.lit(1)).alias("__n")
         ).where("__low <> __high").select(*bucket, "__n")
     )
-    out = stage(grouped.join(mixed, bucket), "mixed")
+    out = stage(gathered(grouped.join(mixed, bucket), rows), "mixed")
     discard(grouped)
     return out
 
@@ -348,48 +358,51 @@ def near_duplicates(
     """
     signed = stage(_signed(docs, key, text, words), "signed")
     filled = signed.where("n_shingles > 0 AND __key IS NOT NULL")
-    classes = stage(
+    total = signed.count()
+    classes = (
         filled.groupBy("__fa", "__fb").agg(
             F.min("__key").alias("__rep"), F.first("n_shingles").alias("n_shingles"),
             F.first("__bands").alias("__bands"),
             F.first("__sketch").alias("__sketch"),
-        ),
-        "classes",
+        )
     )
-    buckets = stage(
+    classes = stage(gathered(classes, total, TEXTS), "classes")
+    placed = BANDS * classes.count()
+    buckets = (
         classes.select("__rep", F.posexplode("__bands").alias("__band", "__bucket"))
         .groupBy("__band", "__bucket")
         .agg(F.min("__rep").alias("__centre"), F.count(F.lit(1)).alias("__n"))
-        .where("__n > 1"),
-        "buckets",
+        .where("__n > 1")
     )
-    members = stage(
+    buckets = stage(gathered(buckets, placed), "buckets")
+    members = (
         classes.select(F.col("__rep").alias("__key"), F.posexplode("__bands").alias("__band", "__bucket"))
         .join(buckets, ["__band", "__bucket"])
-        .select("__band", "__bucket", "__key", "__centre"),
-        "members",
+        .select("__band", "__bucket", "__key", "__centre")
     )
-    star = stage(
+    members = stage(gathered(members, placed), "members")
+    star = (
         members.where("__key <> __centre")
-        .select(F.col("__centre").alias("src"), F.col("__key").alias("dst")).distinct(),
-        "star",
+        .select(F.col("__centre").alias("src"), F.col("__key").alias("dst")).distinct()
     )
+    star = stage(gathered(star, placed), "star")
     keyed = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"))
-    texts = stage(keyed.join(members.select("__key").distinct(), "__key", "left_semi"), "texts")
+    near = gathered(members.select("__key").distinct(), placed)
+    texts = stage(gathered(keyed.join(near, "__key", "left_semi"), total, TEXTS), "texts")
     links = stage(
         _confirmed(star, texts, words, percent).union(_repeated_keys(filled, classes)), "links"
     )
     # The bands and sketches of every row have served; those of the classes are left.
     rows = stage(signed.select("__key", "n_shingles", "__fa", "__fb"), "rows")
     discard(signed, buckets)
-    found = components(links)
+    found = components(links, links.count())
     sketches = classes.select(
         F.col("__rep").alias("__key"), F.col("n_shingles").alias("__size"), "__sketch"
     )
     tested, nearest = star, True
     while True:
         mixed = _mixed(members, found)
-        open_ = mixed.select("__key").distinct().count()
+        open_ = gathered(mixed.select("__key").distinct(), mixed.count()).count()
         if not open_:
             break
         known = sketches
@@ -397,14 +410,15 @@ def near_duplicates(
             known = sketches.join(_small_sets(texts, mixed, words), "__key")
         with recorded() as used:
             found_pairs = _mixed_pairs(mixed, known, percent, nearest)
-        pairs = stage(found_pairs.join(tested, ["src", "dst"], "left_anti"), "pairs")
+        untested = found_pairs.join(tested, ["src", "dst"], "left_anti")
+        pairs = stage(gathered(untested, 2 * mixed.count()) if nearest else untested, "pairs")
         discard(mixed, *used)
         tested = tested.union(pairs)
         more = stage(_confirmed(pairs, texts, words, percent), "links")
         linked = more.count()
         if linked:
             links = links.union(more)
-            found = components(links)
+            found = components(links, links.count())
         if not nearest:
             break
         # A round that joins little leaves little: the last one settles all of it.
@@ -416,7 +430,7 @@ def near_duplicates(
     same = (F.col("__fa") == F.col("__ca")) & (F.col("__fb") == F.col("__cb")) & (F.col("n_shingles") > 0)
     component = F.when(F.col("__key").isNotNull(), F.coalesce("__component", "__key"))
     return (
-        rows.join(stage(of, "of"), same, "left")
+        gathered(rows.join(stage(gathered(of, total), "of"), same, "left"), total)
         .select(F.col("__key").alias(key), "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("component_id") == F.col(key), F.lit(True)))
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from catalog_sync.scratch import discard, stage
 
 MAX_ROUNDS = 60
+ROWS = 1 << 18
 
 
 _SHIPPED: set[str] = set()
@@ -39,6 +40,17 @@ def partitions(spark: SparkSession) -> int:
     )
 
 
+def gathered(df: DataFrame, rows: int, each: int = ROWS, least: int = 1) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in a task per ``each`` of them, ``least`` per core at least.
+
+    A shuffle's partitions are read together where their rows are too few for a task each, as AQE does
+    where it is let. Nothing is shuffled for it, and no more tasks are made than there are partitions.
+    """
+    spark = df.sparkSession
+    tasks = max(rows // each + 1, least * spark.sparkContext.defaultParallelism)
+    return df.coalesce(tasks) if tasks < partitions(spark) else df
+
+
 def ranked(df: DataFrame, group: list[str], order: list[str], rank: str = "rank") -> DataFrame:
     """``df`` with the position (from 0) of each row among the rows of its group.
 
@@ -73,55 +85,55 @@ def ranked(df: DataFrame, group: list[str], order: list[str], rank: str = "rank"
     )
 
 
-def _stars(edges: DataFrame) -> bool:
+def _stars(edges: DataFrame, rows: int) -> bool:
     """Whether each node has one edge, to a node that has none: all components are found."""
     src, dst = F.col("src"), F.col("dst")
-    nodes = edges.select(src.alias("id"), dst.alias("low"), F.lit(0).alias("root")).union(
-        edges.select(dst.alias("id"), dst.alias("low"), F.lit(1).alias("root")).distinct()
-    )
+    roots = edges.select(dst.alias("id"), dst.alias("low"), F.lit(1).alias("root")).distinct()
+    nodes = edges.select(src.alias("id"), dst.alias("low"), F.lit(0).alias("root")).union(gathered(roots, rows))
     mixed = nodes.groupBy("id").agg(
         F.min("low").alias("low"), F.max("low").alias("high"), F.min("root").alias("leaf"), F.max("root").alias("root")
     )
-    return mixed.where("low <> high OR leaf <> root").isEmpty()
+    return gathered(mixed.where("low <> high OR leaf <> root"), rows).isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(id, component): the smallest id reachable, for every id that has an edge.
 
-    ``edges`` holds (src, dst) longs in any direction. Alternating large-star and small-star
+    ``edges`` holds (src, dst) longs in any direction, ``rows`` of them if that is known. Alternating large-star and small-star
     rounds until stars are left; each round is written to the shared folder, so lineage stays short, and
     takes the place of the one before. Each node's smallest neighbour is written before it is joined
     back: both sides of that join then come from plain exchanges, and AQE can split a hub that holds
-    many edges.
+    many edges. A round makes no more edges than it is given edges and nodes.
     """
     src, dst = F.col("src"), F.col("dst")
-    now = stage(
+    now = (
         edges.where("src <> dst")
-        .select(F.greatest(src, dst).alias("src"), F.least(src, dst).alias("dst")).distinct(),
-        "edges",
+        .select(F.greatest(src, dst).alias("src"), F.least(src, dst).alias("dst")).distinct()
     )
+    now = stage(now if rows is None else gathered(now, rows), "edges")
     for _ in range(MAX_ROUNDS):
-        if _stars(now):
+        rows = 3 * now.count()
+        if _stars(now, rows):
             roots = now.select(dst.alias("id"), dst.alias("component")).distinct()
             return now.select(src.alias("id"), dst.alias("component")).union(roots)
         both = now.select("src", "dst").union(now.select(dst, src))
-        low = stage(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low")), "low")
-        large = stage(
+        low = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low"))
+        low = stage(gathered(low, rows), "low")
+        large = (
             both.where("dst > src").join(low, "src")
-            .select(dst.alias("src"), F.col("low").alias("dst")).distinct(),
-            "large",
+            .select(dst.alias("src"), F.col("low").alias("dst"))
         )
-        least = stage(large.groupBy("src").agg(F.min("dst").alias("low")), "low")
-        after = stage(
+        large = stage(gathered(gathered(large, rows).distinct(), rows), "large")
+        least = stage(gathered(large.groupBy("src").agg(F.min("dst").alias("low")), rows), "low")
+        after = gathered(
             large.join(least, "src")
             .select(
                 F.when(dst == F.col("low"), src).otherwise(dst).alias("src"),
                 F.col("low").alias("dst"),
-            )
-            .union(least.select("src", F.col("low").alias("dst")))
-            .distinct(),
-            "edges",
-        )
+            ),
+            rows,
+        ).union(least.select("src", F.col("low").alias("dst"))).distinct()
+        after = stage(gathered(after, rows), "edges")
         discard(now, low, large, least)
         now = after
     raise RuntimeError("components did not settle")

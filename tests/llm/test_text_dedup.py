@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from catalog_sync.llm import minhash
+from catalog_sync.llm import minhash, shared
 from catalog_sync.llm.line_dedup import drop_repeated_lines, filter_bits
 from catalog_sync.llm.minhash import keep_one, near_duplicates
 
@@ -150,6 +150,33 @@ def test_members_of_a_bucket_meet_once(documents, monkeypatch):
     assert out.where("kept").count() == 600 and "meet" not in labels
 
 
+def test_small_tables_are_staged_in_few_files(documents, spark, monkeypatch):
+    """Where nothing joins a shuffle's partitions, a few hundred rows are not dealt out to a file each."""
+    files, real = {}, minhash.stage
+
+    def stage(df, label):
+        out = real(df, label)
+        files.setdefault(label, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(minhash, "stage", stage)
+    monkeypatch.setattr(shared, "stage", stage)
+    rows = [(i, " ".join(f"w{i % 40}_{k}" for k in range(60)) + " end" * (i % 3)) for i in range(300)]
+    options = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(documents(rows), words=2).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == groups_by_hand(rows, 2, 80)
+    cores = spark.sparkContext.defaultParallelism
+    small = ("classes", "buckets", "members", "star", "texts", "edges", "low", "large", "of")
+    assert {label: n for label, n in files.items() if label in small and max(n) > cores} == {}
+
+
 def _signed_in_one_bucket(real):
     from pyspark.sql import functions as F
 
