@@ -57,6 +57,12 @@ def keep_known(df: DataFrame, parents: DataFrame, on: On, unique: bool = False)
     return df.join(keys, _left(on), "left_semi")
 
 
+def keep_listed(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose key is among the ids (a frame of one column). A predicate, not a join: it moves below
+    unions and whatever derives columns from the rows, so only rows that stay are taken apart."""
+    return df.where(F.col(key).isin(ids))
+
+
 def keep_unknown(df: DataFrame, parents: DataFrame, on: On, unique: bool = False) -> DataFrame:
     """Rows whose key is absent from the parents; a NULL key matches nothing and stays."""
     keys = _renamed_keys(parents, on)

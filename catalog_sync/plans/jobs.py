@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace as changed
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog_sync.functions import parse_date, parse_number, period_start
@@ -35,6 +35,7 @@ from catalog_sync.operators.joins import (
     exclude_existing,
     existing_keys,
     keep_known,
+    keep_listed,
     keep_unknown,
     key_set,
     sized,
@@ -90,6 +91,8 @@ from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, Snapsho
 Tables = Mapping[str, DataFrame]
 #: Tables that go with the catalog and are not counted among its rows.
 BESIDE = (ERRORS, MENTIONED)
+#: Releases with one of these set are not looked at.
+RELEASE_FLAGS = ("adult", "video")
 
 
 @dataclass(frozen=True)
@@ -345,11 +348,11 @@ def _documents(
     for c in REQUIRED_FIELDS:
         complete = complete & F.col(c).isNotNull()
     shaped = [*typed, genre_names(F.col("genres")).alias("_genres"), complete.alias("_complete")]
-    details = good_documents(landing.details, "id", shaped)
-    credits = good_documents(landing.credits, "movie_id", [listed_credits(landing.credits, max_cast=max_cast)])
+    details, credits = landing.details, landing.credits
     if ids is not None:
-        details = keep_known(details, ids, ["id"], unique=True)
-        credits = keep_known(credits, ids, {"movie_id": "id"}, unique=True)
+        details, credits = keep_listed(details, "id", ids), keep_listed(credits, "movie_id", ids)
+    details = good_documents(details, "id", shaped)
+    credits = good_documents(credits, "movie_id", [listed_credits(credits, max_cast=max_cast)])
     details = newest_documents(details, "id").filter("_complete").select(*CSV_COLUMNS["movies"], "_genres")
     credits = newest_documents(credits, "movie_id").select("movie_id", CREDIT_LIST)
     return enrich(details, credits, {"id": "movie_id"}, how)
@@ -436,8 +439,9 @@ def _refresh_errors(
         unknown = exclude_existing(ids, movies, ["id"])
         log.append(error_rows(unknown, "not_found", "refresh", "id"))
         movies = existing_keys(ids, movies, ["id"])
-    stale = keep_unknown(movies, docs, ["id"], unique=True)
-    details = latest_documents(landing.details, "id").dropna(subset=REQUIRED_FIELDS)
+    stale = stage(keep_unknown(movies, docs, ["id"], unique=True), "stale-ids")
+    some = keep_listed(landing.details, "id", sized(key_set(stale, ["id"])))
+    details = latest_documents(some, "id").dropna(subset=REQUIRED_FIELDS)
     removed = keep_unknown(stale, details, ["id"], unique=True)
     bare = keep_known(stale, details, ["id"], unique=True)
     return union_rows(
@@ -477,11 +481,24 @@ def _add_errors(landing: Landing, wanted: DataFrame, docs: DataFrame) -> DataFra
 
 def release_listing(landing: Landing) -> DataFrame:
     """Released titles as discovery sees them: id, date, popularity and the exclusion flags."""
-    columns = [
+    return latest_documents(landing.details, "id", _release_columns()).drop("fetched_at")
+
+
+def _release_columns() -> list[Column]:
+    return [
         F.col("title"), parse_date(F.col("release_date")).alias("release_date"),
         parse_number(F.col("popularity")).alias("popularity"), F.col("adult"), F.col("video"),
     ]
-    return latest_documents(landing.details, "id", columns).drop("fetched_at")
+
+
+def _releases_since(landing: Landing, start: dt.date) -> DataFrame:
+    """Of the listing what may have been released on or after ``start``: a document of which no fetch was
+    is left out before its fetches are compared."""
+    if landing.pages is not None:
+        return release_pages(landing.pages)
+    fetches = good_documents(landing.details, "id", _release_columns())
+    ids = stage(key_set(since(exclude_flags(fetches, RELEASE_FLAGS), "release_date", start), ["id"]), "released-ids")
+    return release_listing(changed(landing, details=keep_listed(landing.details, "id", sized(ids))))
 
 
 def release_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
@@ -499,7 +516,7 @@ def new_candidates(
     start: dt.date,
     id_: str = "id",
     date: str = "release_date",
-    flags: tuple[str, ...] = ("adult", "video"),
+    flags: tuple[str, ...] = RELEASE_FLAGS,
     max_pages: int | None = None,
     page_size: int = 20,
 ) -> DataFrame:
@@ -524,10 +541,9 @@ def add_new(
     mark = _watermark(tables, watermark_ceiling)
     if mark is None:
         return Changes()
-    releases = _releases(landing) if releases is None else releases
-    found = new_candidates(
-        releases, period_start(mark, period), max_pages=max_pages, page_size=page_size
-    )
+    start = period_start(mark, period)
+    releases = _releases_since(landing, start) if releases is None else releases
+    found = new_candidates(releases, start, max_pages=max_pages, page_size=page_size)
     return add_documents(tables, landing, found.select("id"), max_cast)
 
 

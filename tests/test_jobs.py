@@ -355,3 +355,35 @@ def test_a_replayed_batch_is_skipped(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "store"))
     store.publish(append={"t": spark.range(1)}, stream="t@one", batch=3)
     assert store.last_batch("t@one") == 3 and store.last_batch("t@two") == -1
+
+
+def test_unwanted_documents_are_not_taken_apart(spark):
+    """The wanted ids filter the documents below a union and the columns derived there."""
+    schema = "id bigint, title string, release_date string, fetched_at timestamp"
+    raw = spark.createDataFrame([(1, "a", "2020-01-01", None), (2, "b", "2020-01-01", None)], schema)
+    rest = {c: F.lit(None).cast("string") for c in ("original_title", "overview", "runtime", "status", "vote_average",
+            "vote_count", "popularity", "poster_path", "backdrop_path", "budget", "revenue")}
+    genres = F.transform(F.split("title", " "), lambda w: F.struct(w.alias("name")))
+    details = raw.withColumns({**rest, "genres": genres}).union(raw.withColumns({**rest, "genres": genres}))
+    credits = spark.createDataFrame([], f"movie_id bigint, {jobs.CREDIT_LIST} array<string>, fetched_at timestamp")
+    docs = jobs._documents(Landing(details, credits), "left", spark.createDataFrame([(2,)], "id bigint"))
+    assert [r.id for r in docs.collect()] == [2]
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    derived = [i for i, line in enumerate(lines) if "transform(split(" in line]
+    assert len(derived) == 2 and all("LeftSemi" in lines[i + 1] for i in derived), plan
+
+
+def test_add_new_goes_by_the_newest_fetch(spark, tmp_path, rows):
+    """A film listed as released by an old fetch only is not added, one by its newest fetch is."""
+    old, new = "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z"
+    lines = [doc(1, date="2020-01-01"), doc(2, date="2020-02-01", fetched=old), doc(2, date="2010-01-01", fetched=new),
+             doc(3, date="2010-01-01", fetched=old), doc(3, date="2020-02-01", fetched=new), doc(4, date="2010-01-01")]
+    (tmp_path / "details").mkdir()
+    (tmp_path / "details/a.json").write_text("\n".join(map(json.dumps, lines)))
+    (tmp_path / "credits").mkdir()
+    (tmp_path / "credits/a.json").write_text(json.dumps({"movie_id": 1, "cast": [], "crew": []}))
+    landing = Landing(read_documents(spark, str(tmp_path), "details"), read_documents(spark, str(tmp_path), "credits"))
+    tables = jobs.initial_build(landing, spark.createDataFrame([(1,)], "id bigint")).replace
+    added = jobs.add_new({**jobs.empty_tables(spark), **tables}, landing, "week")
+    assert rows(added.append["movies"], "id") == [(3,)]
