@@ -223,11 +223,11 @@ def initial_build(
 ) -> Changes:
     """Documents of the requested ids (default: all) to the four tables plus the error log. Ids are
     narrowed and credits taken apart before fetches of one id meet."""
-    details = good_documents(landing.details, "id")
+    details = landing.details
     if requested is not None:
-        requested = key_set(requested, ["id"])
-        details = keep_known(details, requested, ["id"], unique=True)
-    checked = stage(check(newest_documents(details, "id"), movie_rules()), "checked-details")
+        requested = stage(key_set(requested, ["id"]), "requested-ids")
+        details = keep_listed(details, "id", sized(requested))
+    checked = stage(check(latest_documents(details, "id"), movie_rules()), "checked-details")
     valid = checked.filter(F.col(FAILED_RULE).isNull())
 
     listed = listed_credits(landing.credits, legacy_labels, max_cast)

@@ -374,6 +374,33 @@ def test_unwanted_documents_are_not_taken_apart(spark):
     assert len(derived) == 2 and all("LeftSemi" in lines[i + 1] for i in derived), plan
 
 
+def test_a_build_takes_requested_documents_apart_only(spark, monkeypatch):
+    plans, real = {}, jobs.stage
+
+    def stage(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        return real(df, label)
+
+    monkeypatch.setattr(jobs, "stage", stage)
+    schema = "id bigint, title string, release_date string"
+    raw = spark.createDataFrame([(1, "a", "2020-01-01"), (2, "b", "2020-01-01")], schema)
+    rest = {c: F.lit(None).cast("string") for c in ("original_title", "overview", "runtime", "status", "vote_average",
+            "vote_count", "popularity", "poster_path", "backdrop_path", "budget", "revenue")}
+    genres = F.transform(F.split("title", " "), lambda w: F.struct(w.alias("name")))
+    details = raw.withColumns({**rest, "genres": genres})
+    credits = spark.createDataFrame([], f"movie_id bigint, {jobs.CREDIT_LIST} {_CREDITS}, fetched_at timestamp")
+    wanted = spark.createDataFrame([(2,), (2,), (None,)], "id bigint")
+    built = jobs.initial_build(Landing(details.union(details).withColumn("fetched_at", F.lit(None).cast("timestamp")), credits), wanted)
+    assert [r.id for r in built.replace["movies"].collect()] == [2]
+    plan = plans["checked-details"]
+    derived = [i for i, line in enumerate(plan) if "transform(split(" in line]
+    assert derived and all("LeftSemi" in plan[i + 1] for i in derived), plan
+
+
+_CREDITS = """array<struct<person_id: bigint, credit_type: string, character_name: string, credit_order: bigint,
+    department: string, job: string>>"""
+
+
 def test_add_new_goes_by_the_newest_fetch(spark, tmp_path, rows):
     """A film listed as released by an old fetch only is not added, one by its newest fetch is."""
     old, new = "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z"
