@@ -133,15 +133,20 @@ def credit_list(
     return F.concat(cast_credits(df_cast, legacy_labels, max_cast), crew_credits(df_crew))
 
 
-def good_documents(docs: DataFrame, key: str, columns: Sequence[Column] | None = None) -> DataFrame:
-    """Documents of good fetches, one row per fetch, cut down to the given columns (by default all):
-    what is taken apart in the row is not shuffled. Failed fetches and unreadable lines carry no
-    document. ``_tie`` orders fetches of one time."""
-    good = docs.filter(usable_id(F.col(key)))
+def good_fetch(docs: DataFrame, key: str) -> Column:
+    """Failed fetches and unreadable lines carry no document."""
+    good = usable_id(F.col(key))
     if CORRUPT in docs.columns:
-        good = good.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        good = good & F.col(CORRUPT).isNull()
     if "fetch_status" in docs.columns:
-        good = good.filter(F.coalesce(F.col("fetch_status"), F.lit("ok")) == "ok")
+        good = good & (F.coalesce(F.col("fetch_status"), F.lit("ok")) == "ok")
+    return good
+
+
+def good_documents(docs: DataFrame, key: str, columns: Sequence[Column] | None = None) -> DataFrame:
+    """Documents of good fetches, one row per fetch, cut down to the given columns (by default all):
+    what is taken apart in the row is not shuffled. ``_tie`` orders fetches of one time."""
+    good = docs.filter(good_fetch(docs, key)).drop(CORRUPT)
     payload = [c for c in good.columns if c not in ("fetched_at", key)]
     tie = F.col(TIE) if TIE in payload else F.xxhash64(*payload)
     kept = [F.col(c) for c in payload if c != TIE] if columns is None else list(columns)

@@ -40,6 +40,7 @@ from catalog_sync.operators.joins import (
     key_set,
     sized,
 )
+from catalog_sync.operators.places import FILE, PLACE, bitmaps, rows_at
 from catalog_sync.operators.quality import (
     FAILED_RULE,
     check,
@@ -86,7 +87,7 @@ from catalog_sync.schemas import (
 from catalog_sync.scratch import stage
 from catalog_sync.sources.csv_files import overlong_lines, read_catalog
 from catalog_sync.sources.landing import read_documents
-from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, Snapshot, SnapshotStore
+from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, Snapshot, SnapshotStore, Written
 
 Tables = Mapping[str, DataFrame]
 #: Tables that go with the catalog and are not counted among its rows.
@@ -343,11 +344,7 @@ def _documents(
     (NULL when there is no credits document and ``how`` is left). A document lacking a required
     field counts as none. Documents are cut to these columns and wanted ids filter both sides
     before anything is shuffled."""
-    typed = [c for c, name in zip(typed_movie_columns(), CSV_COLUMNS["movies"], strict=True) if name != "id"]
-    complete = F.lit(True)
-    for c in REQUIRED_FIELDS:
-        complete = complete & F.col(c).isNotNull()
-    shaped = [*typed, genre_names(F.col("genres")).alias("_genres"), complete.alias("_complete")]
+    shaped = [*_film_columns(), _complete()]
     details, credits = landing.details, landing.credits
     if ids is not None:
         details, credits = keep_listed(details, "id", ids), keep_listed(credits, "movie_id", ids)
@@ -358,6 +355,19 @@ def _documents(
     return enrich(details, credits, {"id": "movie_id"}, how)
 
 
+def _film_columns() -> list[Column]:
+    """Movie columns but the id, and the genre names."""
+    typed = [c for c, name in zip(typed_movie_columns(), CSV_COLUMNS["movies"], strict=True) if name != "id"]
+    return [*typed, genre_names(F.col("genres")).alias("_genres")]
+
+
+def _complete() -> Column:
+    complete = F.lit(True)
+    for c in REQUIRED_FIELDS:
+        complete = complete & F.col(c).isNotNull()
+    return complete.alias("_complete")
+
+
 def _credits_of(docs: DataFrame) -> DataFrame:
     rows = explode_children(docs, "id", F.col(CREDIT_LIST), child_key="movie_id")
     return rows.select(*TABLES["credits"])
@@ -367,13 +377,13 @@ def _genres_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("id").alias("movie_id"), F.explode("_genres").alias("genre_name"))
 
 
-def _update_rows(docs: DataFrame, as_of: dt.datetime) -> dict[str, Rewrite]:
+def _update_rows(docs: DataFrame, credits: DataFrame, as_of: dt.datetime) -> dict[str, Rewrite]:
     ids = lambda: docs.select("id")
     stamp = ("updated_at", as_of)
     return {
         "movies": Rewrite(ids, lambda rows: update_tagged(rows, docs, ["id"], UPDATABLE_MOVIE_COLUMNS, stamp)),
         "credits": Rewrite(
-            ids, lambda rows: replace_children_tagged(rows, docs, _credits_of(docs), "movie_id", "id")
+            ids, lambda rows: replace_children_tagged(rows, docs, credits, "movie_id", "id")
         ),
         "genres": Rewrite(
             ids, lambda rows: replace_children_tagged(rows, docs, _genres_of(docs), "movie_id", "id")
@@ -385,10 +395,10 @@ def _replaced(tables: Tables, rewrite: Mapping[str, Rewrite]) -> dict[str, DataF
     return {name: r.apply(tables[name]).drop(ACTION) for name, r in rewrite.items()}
 
 
-def _insert_rows(docs: DataFrame) -> dict[str, DataFrame]:
+def _insert_rows(docs: DataFrame, credits: DataFrame) -> dict[str, DataFrame]:
     return {
         "movies": _table_shape(docs, "movies"),
-        "credits": _credits_of(docs),
+        "credits": credits,
         "genres": _genres_of(docs),
     }
 
@@ -412,7 +422,7 @@ def refresh(
         ids = stage(key_set(ids, ["id"]), "requested-ids")
         wanted = sized(stage(existing_keys(ids, around(tables, "movies", ids), ["id"]), "known-ids"))
     docs = stage(_documents(landing, "inner", wanted, max_cast), "refreshed")
-    rewrite = _update_rows(docs, as_of)
+    rewrite = _update_rows(docs, _credits_of(docs), as_of)
     replace = _replaced(tables, rewrite)
     if with_people and landing.persons is not None:
         people = cache(lambda: stage(needed_people(_credits_of(docs), landing.persons), "people"))
@@ -459,7 +469,7 @@ def add_documents(
     candidates = stage(key_set(ids, ["id"]), "candidate-ids")
     wanted = stage(exclude_existing(candidates, around(tables, "movies", candidates), ["id"]), "new-ids")
     docs = stage(_documents(landing, "left", sized(wanted), max_cast), "new-documents")
-    append = _insert_rows(docs)
+    append = _insert_rows(docs, _credits_of(docs))
     if landing.persons is not None:
         people = stage(key_set(append["credits"], ["person_id"]), "credited-ids")
         known = around(tables, "people", people)
@@ -641,7 +651,8 @@ def sync_documents(
     def needed(credits: DataFrame) -> DataFrame | None:
         return None if landing.persons is None else needed_people(credits, landing.persons)
 
-    changes = _upserted(tables, docs, needed, as_of)
+    lists = docs.filter(F.col(CREDIT_LIST).isNotNull()).select(F.col("id").alias("movie_id"), CREDIT_LIST)
+    changes = _upserted(tables, docs.select("id"), docs, lists, needed, as_of)
     return changed(changes, errors=lambda: union_rows(*_fetch_log(landing), _bare(docs)))
 
 
@@ -652,20 +663,26 @@ def _bare(docs: DataFrame) -> DataFrame:
 
 
 def _upserted(
-    tables: Tables, docs: DataFrame, needed: Callable[[DataFrame], DataFrame | None], as_of: dt.datetime
+    tables: Tables,
+    ids: DataFrame,
+    films: DataFrame,
+    lists: DataFrame,
+    needed: Callable[[DataFrame], DataFrame | None],
+    as_of: dt.datetime,
 ) -> Changes:
-    """Upsert of staged movie documents and of the people that ``needed`` finds for their credits."""
-    ids = docs.select("id")
-    known = stage(existing_keys(ids, around(tables, "movies", ids), ["id"]), "known-ids")
-    with_credits = docs.filter(F.col(CREDIT_LIST).isNotNull())
-    changed_docs = keep_known(with_credits, known, ["id"], unique=True)
-    new = keep_unknown(docs, known, ["id"], unique=True)
-    append = _insert_rows(new)
+    """Upsert of films, given their ids, the movie documents and the credit lists of those that have a credits
+    document, and of the people that ``needed`` finds for the credits. Documents and lists meet by id only,
+    so neither is shuffled for the other."""
+    found = stage(existing_keys(ids, around(tables, "movies", ids), ["id"]), "known-ids")
+    known, listed = sized(found), sized(stage(keep_known(found, lists, {"id": "movie_id"}, unique=True), "known-listed"))
+    changed_films = keep_known(films, listed, ["id"], unique=True)
+    changed_credits = credit_rows(keep_known(lists, listed, {"movie_id": "id"}, unique=True))
+    new_credits = credit_rows(keep_unknown(lists, known, {"movie_id": "id"}, unique=True))
+    append = _insert_rows(keep_unknown(films, known, ["id"], unique=True), new_credits)
     rewrite: dict[str, Rewrite] = {}
-    if not changed_docs.isEmpty():
-        rewrite = _update_rows(changed_docs, as_of)
-    credits = _credits_of(changed_docs).unionByName(append["credits"])
-    people = needed(credits)
+    if not listed.isEmpty():
+        rewrite = _update_rows(changed_films, changed_credits, as_of)
+    people = needed(changed_credits.unionByName(new_credits))
     if people is not None:
         # People are upserted whatever else the documents hold; a table is appended to where none
         # of them is known.
@@ -674,7 +691,7 @@ def _upserted(
         append |= found.append
     return Changes(
         _replaced(tables, rewrite), append, rewrite=rewrite, base=_version(tables),
-        mentions=_credits_of(changed_docs).select("person_id"),
+        mentions=changed_credits.select("person_id"),
     )
 
 
@@ -694,30 +711,43 @@ def _people_changes(tables: Tables, needed: DataFrame) -> Changes:
     return Changes(_replaced(tables, rewrite), rewrite=rewrite, base=_version(tables))
 
 
-def sync_arrived(
-    tables: Snapshot, before: Landing, arrived: Landing, as_of: dt.datetime, max_cast: int | None = MAX_CAST
-) -> Changes:
-    """What newly arrived documents change: films whose details or credits arrived, the people of their
-    credits, and persons that arrived after the credits that mention them. Documents that came
-    ``before`` are looked up in the slots of these films and people only."""
+def sync_arrived(tables: Snapshot, arrived: Mapping[str, Written], as_of: dt.datetime) -> Changes:
+    """What newly arrived documents (by kind, as written) change: films whose details or credits arrived, the
+    people of their credits, and persons that arrived after the credits that mention them. Documents
+    that came before are looked up in the slots of these films and people only. The newest
+    fetches are picked by id, time and place; documents are then read where they lie, none is shuffled for it."""
+    movie_ids = F.col("movie_id").alias("id")
     films = stage(key_set(
-        union_rows(arrived.details.select("id"), arrived.credits.select(F.col("movie_id").alias("id"))), ["id"]
+        union_rows(arrived["details"].rows.select("id"), arrived["credits"].rows.select(movie_ids)), ["id"]
     ), "arrived-films")
-
-    def all_of(kind: str, ids: DataFrame) -> DataFrame:
-        name, new = f"landed_{kind}", getattr(arrived, kind)
-        old = around(tables, name, ids) if name in tables else getattr(before, kind)
-        return new if old is None else old.unionByName(new, allowMissingColumns=True)
-
-    both = Landing(all_of("details", films), all_of("credits", films))
-    docs = stage(_documents(both, "left", sized(films), max_cast), "documents")
+    wanted = sized(films)
+
+    def newest(kind: str, key: str, *columns: Column) -> tuple[DataFrame, DataFrame]:
+        """All fetches at hand, and the newest of each film cut down to its place and some columns."""
+        name, new = f"landed_{kind}", arrived[kind].located
+        cut = lambda docs: good_documents(docs, key, [F.col(FILE), F.col(PLACE), *columns])
+        if name not in tables:
+            return new, newest_documents(cut(new), key)
+        old = tables.located_around(name, films)
+        some = union_rows(cut(keep_listed(old, key, wanted)), cut(new))
+        return union_rows(old, new), newest_documents(some, key)
+
+    details, found = newest("details", "id", _complete())
+    found = stage(found.filter("_complete").select("id", FILE, PLACE), "found-details")
+    credits, listed = newest("credits", "movie_id")
+    listed = stage(keep_known(listed, found, {"movie_id": "id"}, unique=True), "found-credits")
+    docs = rows_at(details, bitmaps(found)).select("id", *_film_columns())
+    lists = rows_at(credits, bitmaps(listed)).select("movie_id", CREDIT_LIST)
 
     def needed(credits: DataFrame) -> DataFrame:
         mentioned = key_set(credits, ["person_id"]).withColumnRenamed("person_id", "id")
-        late = stage(key_set(arrived.persons, ["id"]), "arrived-persons")
+        late = stage(key_set(arrived["persons"].rows, ["id"]), "arrived-persons")
         known = around(tables, MENTIONED, late) if MENTIONED in tables else tables["credits"]
         late = existing_keys(late, known, {"id": "person_id"})
         ids = stage(mentioned.union(late).distinct(), "needed-ids")
-        return needed_people(ids.withColumnRenamed("id", "person_id"), all_of("persons", ids))
+        persons = arrived["persons"].rows
+        if "landed_persons" in tables:
+            persons = union_rows(around(tables, "landed_persons", ids), persons)
+        return needed_people(ids.withColumnRenamed("id", "person_id"), persons)
 
-    return _upserted(tables, docs, needed, as_of)
+    return _upserted(tables, found.select("id"), docs, lists, needed, as_of)

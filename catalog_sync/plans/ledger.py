@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from catalog_sync.operators.dedup import union_rows
 from catalog_sync.operators.joins import keep_unknown, key_set
 from catalog_sync.operators.quality import error_rows, fetch_errors
-from catalog_sync.operators.shape import TIE, good_documents, listed_credits, newest_documents
+from catalog_sync.operators.shape import TIE, good_documents, good_fetch, listed_credits, newest_documents
 from catalog_sync.plans.jobs import Changes, Landing, commit, publish, sync_arrived
 from catalog_sync.schemas import CORRUPT, LANDED_FILES, MAX_CAST
 from catalog_sync.scratch import stage
 from catalog_sync.sources.landing import DOCUMENTS, parse_documents
-from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, Snapshot, SnapshotStore
+from catalog_sync.sources.snapshots import Conflict, Published, Rewrite, Snapshot, SnapshotStore, Written
 
 #: Document kind -> its id.
 IDS = {"details": "id", "credits": "movie_id", "persons": "id"}
@@ -55,13 +55,27 @@ def arrived(lines: DataFrame, kind: str, max_cast: int | None = MAX_CAST) -> tup
         bad = docs.filter(F.col(CORRUPT).isNotNull())
         errors = error_rows(bad, "processing_error", kind, F.lit(None), F.col(CORRUPT))
         return docs.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), errors
+    key, docs = IDS[kind], stage(_as_stored(docs, kind, max_cast), f"arrived-{kind}")
+    return good_documents(docs, key), fetch_errors(docs, key, kind)
+
+
+def landed(
+    store: SnapshotStore, lines: DataFrame, kind: str, max_cast: int | None = MAX_CAST
+) -> tuple[Written, DataFrame]:
+    """The same with the documents written where they are kept, once and before their publish."""
+    key, docs = IDS[kind], _as_stored(parse_documents(lines, "value", kind), kind, max_cast)
+    columns = good_documents(docs, key).columns
+    written = store.write_ahead(f"landed_{kind}", docs, columns, good_fetch(docs, key))
+    return written, fetch_errors(written.rest, key, kind)
+
+
+def _as_stored(docs: DataFrame, kind: str, max_cast: int | None) -> DataFrame:
     key = IDS[kind]
     tie = F.xxhash64(*[c for c in docs.columns if c not in (key, "fetched_at", CORRUPT)]).alias(TIE)
     kept = [F.col(c) for c in docs.columns if c not in ("cast", "crew")]
     if kind == "credits":
         kept.append(listed_credits(docs, max_cast=max_cast))
-    docs = stage(docs.select(*kept, tie), f"arrived-{kind}")
-    return good_documents(docs, key), fetch_errors(docs, key, kind)
+    return docs.select(*kept, tie)
 
 
 def take_in(
@@ -141,14 +155,14 @@ def sync_lines(
     store: SnapshotStore, lines: DataFrame, as_of: dt.datetime, max_cast: int | None = MAX_CAST, **stream
 ) -> Published | None:
     """Take in JSON lines (``kind``, ``value``) and bring the catalog up to date with them, in one
-    version: documents, films, people and errors."""
-    found = {kind: arrived(lines.filter(F.col("kind") == kind), kind, max_cast) for kind in IDS}
-    new = Landing(**{kind: docs for kind, (docs, _) in found.items()})
+    version: documents, films, people and errors. A line is read once, for its kind."""
+    found = {kind: landed(store, lines.filter(F.col("kind") == kind), kind, max_cast) for kind in IDS}
+    new = {kind: docs for kind, (docs, _) in found.items()}
     errors = [bad for _, bad in found.values()]
 
     def job(tables: Snapshot) -> Changes:
-        changes = sync_arrived(tables, landing_of(tables), new, as_of, max_cast)
-        append = changes.append | {f"landed_{kind}": docs for kind, (docs, _) in found.items()}
+        changes = sync_arrived(tables, new, as_of)
+        append = changes.append | {f"landed_{kind}": docs for kind, docs in new.items()}
         films = changes.append["movies"].select("id")
         waiting = keep_unknown(films, changes.append["credits"], {"id": "movie_id"})
         bare = error_rows(waiting, "no_credits", "sync", "id")

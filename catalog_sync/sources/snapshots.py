@@ -29,8 +29,9 @@ import hashlib
 import json
 import re
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace as changed
 
 from py4j.protocol import Py4JJavaError
@@ -39,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalog_sync.operators.places import located, nowhere
 from catalog_sync.operators.upsert import ACTION, INSERT, SKIPPED, UNCHANGED, UPDATE
 from catalog_sync.schemas import KEYS, LOOSE, SIDE_KEYS
 
@@ -46,6 +48,12 @@ SLOT = "_slot"
 BUCKET_KEYS = {"movies": "id", "people": "id"}
 FULL_EVERY = 32
 MOST_PARTS = 4
+#: The slot of rows that are written beside a table's and are no part of it.
+REST = -1
+#: Up to so many slots are dealt out by the tasks that compute the rows, which then hold a file of each
+#: open. Their row groups share the size of one.
+OPEN_SLOTS = 16
+ROW_GROUP = 128 << 20
 
 
 class Conflict(RuntimeError):
@@ -108,6 +116,17 @@ class Rewrite:
     apply: Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Written:
+    """Rows of a table written before they are published, as an append may name them. ``rest`` holds the
+    rows that were kept out of the table."""
+
+    table: Table
+    rows: DataFrame = field(repr=False, compare=False)
+    located: DataFrame = field(repr=False, compare=False)
+    rest: DataFrame = field(repr=False, compare=False)
+
+
 @dataclass
 class _Change:
     columns: str
@@ -171,9 +190,16 @@ class Snapshot(dict):
         known = self.layout.tables.get(name)
         if known is None or not known.slots:
             return self[name]
+        return self.store._open(name, self._around(known, keys))
+
+    def located_around(self, name: str, keys: DataFrame) -> DataFrame:
+        """The same with the places of the rows, of a table the store holds."""
+        known = self.layout.tables[name]
+        return self.store._located(name, self._around(known, keys) if known.slots else known)
+
+    def _around(self, known: Table, keys: DataFrame) -> Table:
         slots = self.store._touched(keys, known.slots)
-        parts = tuple(p for p in known.parts if p.slot in slots)
-        return self.store._open(name, changed(known, parts=parts))
+        return changed(known, parts=tuple(p for p in known.parts if p.slot in slots))
 
     def split(
         self, name: str, version: int, keys: DataFrame | None = None
@@ -256,6 +282,10 @@ class SnapshotStore:
             return self._open_clustered(name, table, schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p.path}" for p in table.parts])
 
+    def _located(self, name: str, table: Table) -> DataFrame:
+        df = self._open(name, table)
+        return located(df) if table.parts else nowhere(df)
+
     def _open_clustered(self, name: str, table: Table, schema: T.StructType) -> DataFrame:
         # Spark keeps the bucket layout in its catalog, not with the files: declare it again, each
         # part being a partition with a place of its own.
@@ -300,7 +330,7 @@ class SnapshotStore:
     def publish(
         self,
         replace: Mapping[str, DataFrame] | None = None,
-        append: Mapping[str, DataFrame] | None = None,
+        append: Mapping[str, DataFrame | Written] | None = None,
         stream: str | None = None,
         batch: int | None = None,
         rewrite: Mapping[str, Rewrite] | None = None,
@@ -353,6 +383,14 @@ class SnapshotStore:
             add(name, _Change(old.columns, old.slots, not old.slots, {p.path for p in parts}), new, parts)
         for name, df in (append or {}).items():
             old = then.tables.get(name)
+            if isinstance(df, Written):
+                if name not in made and (old is None or old.slots == df.table.slots):
+                    rows[name] = sum(p.rows for p in df.table.parts)
+                    actions = {INSERT: rows[name], UPDATE: 0, UNCHANGED: 0, "delete": 0}
+                    columns = old.columns if old else df.table.columns
+                    made[name] = _Change(columns, df.table.slots, added=list(df.table.parts), actions=actions)
+                    continue
+                df = df.rows  # dealt out for another number of slots
             fresh = _Change(old.columns if old else df.schema.json(), old.slots if old else self._slots(name))
             add(name, made.get(name, fresh), df)
         self._together(writes.values())
@@ -409,23 +447,17 @@ class SnapshotStore:
         path = f"{name}/v={version}-{uuid.uuid4().hex[:8]}"
         place = f"{self.root}/{path}"
         columns = self._stats(df, name)
-        measures = [F.count(F.lit(1)).alias("_rows")]
-        for c, alias in columns.items():
-            measures += [F.min(c).alias(f"{alias}low"), F.max(c).alias(f"{alias}high")]
+        measures = _measures(columns)
         kinds = (INSERT, UPDATE, UNCHANGED, SKIPPED) if ACTION in df.columns else ()
         actions = [F.count_if(F.col(ACTION) == k).alias(k) for k in kinds]
         seen = Observation()
 
-        def part(row: Mapping, at: str, slot: int | None, clustered: bool) -> Part:
-            stats = {c: [_plain(row[f"{a}low"]), _plain(row[f"{a}high"])] for c, a in columns.items()}
-            return Part(at, slot, row["_rows"], clustered, stats)
-
         def counted() -> dict[str, int]:
             return {k: seen.get[k] for k in kinds}
 
         if not slots:
             df.observe(seen, *measures, *actions).drop(ACTION).write.parquet(place, compression="zstd")
-            return [part(seen.get, path, None, False)], counted()
+            return [_part(seen.get, columns, path, None, False)], counted()
         key = self.keys[name][0]
         clustered = self.bucket_keys.get(name) == key
         # A row without key is in slot 0.
@@ -445,9 +477,42 @@ class SnapshotStore:
         fields = [f for f in df.schema.fields if f.name != ACTION]
         schema = T.StructType([*fields, T.StructField(SLOT, T.IntegerType())])
         found = self.spark.read.schema(schema).parquet(place).groupBy(SLOT).agg(*measures)
-        parts = [part(r.asDict(), f"{path}/{SLOT}={r[SLOT]}", r[SLOT], clustered) for r in found.collect()]
+        parts = [_part(r, columns, f"{path}/{SLOT}={r[SLOT]}", r[SLOT], clustered) for r in found.collect()]
         return parts, counted()
 
+    def write_ahead(self, name: str, df: DataFrame, columns: Sequence[str], keep: Column) -> Written:
+        """Write rows for a keyed table that is not clustered before it is known what else is published with
+        them, so that the rest of a publish reads them from there and they are written once. They are no part
+        of the table until ``publish`` appends them. Rows of which ``keep`` is not true, and columns other than
+        those named, are written beside them. With few slots the rows are not shuffled: each task writes
+        a file per slot."""
+        now = self._layout()
+        old = now.tables.get(name)
+        slots = old.slots if old else self._slots(name)
+        path = f"{name}/v={now.version + 1}-{uuid.uuid4().hex[:8]}"
+        place = f"{self.root}/{path}"
+        slot = F.coalesce(slot_of(self.keys[name][0], slots), F.lit(0)) if slots else F.lit(0)
+        dealt = df.withColumn(SLOT, F.when(keep, slot).otherwise(F.lit(REST)))
+        if slots <= OPEN_SLOTS:
+            with _open_files(df.sparkSession, OPEN_SLOTS + 1):
+                dealt.write.partitionBy(SLOT).option("parquet.block.size", ROW_GROUP // max(slots, 1)).parquet(
+                    place, compression="zstd"
+                )
+        else:
+            dealt.hint("rebalance", SLOT).write.partitionBy(SLOT).parquet(place, compression="zstd")
+        schema = df.select(*columns).schema
+        stats = self._stats(df.select(*columns), name)
+        read = self.spark.read.schema(T.StructType([*schema, T.StructField(SLOT, T.IntegerType())])).parquet(place)
+        found = {r[SLOT]: r for r in read.groupBy(SLOT).agg(*_measures(stats)).collect()}
+        parts = tuple(
+            _part(r, stats, f"{path}/{SLOT}={at}", at if slots else None, False) for at, r in found.items() if at != REST
+        )
+        table = Table(schema.json(), slots, parts)
+        rest = self.spark.createDataFrame([], df.schema)
+        if REST in found:
+            rest = self.spark.read.schema(df.schema).parquet(f"{place}/{SLOT}={REST}")
+        return Written(table, self._open(name, table), self._located(name, table), rest)
+
     def _commit(self, then: Layout, now: Layout, made: dict[str, _Change], stream, batch) -> int:
         """Record the changes on top of the newest version, which may not be the one they came from."""
         while True:
@@ -562,6 +627,28 @@ class SnapshotStore:
         return True
 
 
+def _measures(columns: Mapping[str, str]) -> list[Column]:
+    bounds = [[F.min(c).alias(f"{alias}low"), F.max(c).alias(f"{alias}high")] for c, alias in columns.items()]
+    return [F.count(F.lit(1)).alias("_rows"), *sum(bounds, [])]
+
+
+def _part(row: Mapping, columns: Mapping[str, str], at: str, slot: int | None, clustered: bool) -> Part:
+    stats = {c: [_plain(row[f"{a}low"]), _plain(row[f"{a}high"])] for c, a in columns.items()}
+    return Part(at, slot, row["_rows"], clustered, stats)
+
+
+@contextmanager
+def _open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Lets a task keep so many files open instead of sorting its rows by them first, which spills."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _parts(records: Iterable[dict]) -> tuple[Part, ...]:
     return tuple(Part(**p) for p in records)
 

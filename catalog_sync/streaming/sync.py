@@ -120,9 +120,9 @@ def stream_catalog(
 ) -> StreamingQuery:
     """Sync the four catalog tables as documents land. A film is synced when its details or its
     credits arrive, whichever comes last; a person who arrives later than the credits that mention
-    them is added then. A batch parses the lines that arrived, keeps their documents beside the catalog,
-    and looks up earlier ones by slot; all of it is one publish, so no version holds films without
-    their people."""
+    them is added then. A batch parses the lines that arrived, writes their documents beside the catalog,
+    reads them from there and looks up earlier ones by slot; all of it is one publish, so no version holds
+    films without their people."""
     root = landing_root.rstrip("/")
 
     def arriving(kind: str) -> DataFrame:
@@ -132,6 +132,6 @@ def stream_catalog(
     lines = kinds[0].union(kinds[1]).union(kinds[2])
 
     def apply(batch: DataFrame, mark: dict) -> None:
-        sync_lines(store, stage(batch, "arrived-lines"), now(), max_cast, **mark)
+        sync_lines(store, batch, now(), max_cast, **mark)
 
     return _start(lines, store, "catalog", checkpoint, apply, trigger)
